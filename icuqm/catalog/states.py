@@ -132,9 +132,9 @@ def step_sum(t: Tables):
     _SEG
     + ","
     + _SUM
-    + f""",g AS (SELECT user_id, unnest(generate_series(min(us) // {DAY} * {DAY}, max(us) // {DAY} * {DAY}, {6 * HOUR})) AS at FROM line GROUP BY user_id)
-SELECT g.user_id, g.at, round(coalesce(tot.total, 0), 6) AS total, coalesce(tot.assessable, true) AS assessable
-FROM g ASOF LEFT JOIN tot ON g.user_id = tot.user_id AND g.at >= tot.t""",
+    + f""",g AS (SELECT user_id, unnest(generate_series(min(us) // {DAY} * {DAY}, max(us) // {DAY} * {DAY}, {6 * HOUR})) AS at_us FROM line GROUP BY user_id)
+SELECT g.user_id, g.at_us, round(coalesce(tot.total, 0), 6) AS total, coalesce(tot.assessable, true) AS assessable
+FROM g ASOF LEFT JOIN tot ON g.user_id = tot.user_id AND g.at_us >= tot.t""",
 )
 def step_samples(t: Tables):
     segs = drug_segments(t).withColumn("known", F.col("value") >= 1)
@@ -143,7 +143,7 @@ def step_samples(t: Tables):
     ends = t.line.groupBy("user_id").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
     grid = ends.select("user_id", F.explode(F.sequence("lo", "hi", F.lit(6 * HOUR))).alias("at"))
     out = sample_steps(grid, steps, ["user_id"], "at", "t", {"total": 0.0, "assessable": True})
-    return out.select("user_id", "at", F.round("total", 6).alias("total"), "assessable")
+    return out.select("user_id", F.col("at").alias("at_us"), F.round("total", 6).alias("total"), "assessable")
 
 
 @query(
@@ -213,12 +213,12 @@ def dose_ratio(t: Tables):
 @query(
     "hourly_scaffold",
     f"""WITH {LINE},
-n AS (SELECT user_id, us AS at, CASE WHEN event_type = 'view' THEN value END AS setting, false AS sc FROM line),
-e AS (SELECT user_id, min(at) // {HOUR} * {HOUR} AS lo, max(at) // {HOUR} * {HOUR} AS hi FROM n GROUP BY user_id),
-g AS (SELECT user_id, unnest(generate_series(lo, hi, {HOUR})) + {HOUR - 1_000_000} AS at, CAST(NULL AS DOUBLE) AS setting, true AS sc FROM e),
-f AS (SELECT user_id, at, sc, last_value(setting IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY at, sc ROWS UNBOUNDED PRECEDING) AS setting
+n AS (SELECT user_id, us AS t_us, CASE WHEN event_type = 'view' THEN value END AS setting, false AS sc FROM line),
+e AS (SELECT user_id, min(t_us) // {HOUR} * {HOUR} AS lo, max(t_us) // {HOUR} * {HOUR} AS hi FROM n GROUP BY user_id),
+g AS (SELECT user_id, unnest(generate_series(lo, hi, {HOUR})) + {HOUR - 1_000_000} AS t_us, CAST(NULL AS DOUBLE) AS setting, true AS sc FROM e),
+f AS (SELECT user_id, t_us, sc, last_value(setting IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY t_us, sc ROWS UNBOUNDED PRECEDING) AS setting
    FROM (SELECT * FROM n UNION ALL SELECT * FROM g))
-SELECT user_id, strftime(make_timestamp(at), '%Y-%m-%d') AS day, sum(CASE WHEN sc THEN 1 ELSE 0 END)::BIGINT AS n_scaffold,
+SELECT user_id, strftime(make_timestamp(t_us), '%Y-%m-%d') AS day, sum(CASE WHEN sc THEN 1 ELSE 0 END)::BIGINT AS n_scaffold,
   sum(CASE WHEN sc THEN 0 ELSE 1 END)::BIGINT AS n_native, count(setting) AS n_filled, round(coalesce(sum(setting), 0), 6) AS total FROM f GROUP BY 1, 2""",
 )
 def scaffold(t: Tables):

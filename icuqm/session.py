@@ -14,7 +14,7 @@ def build_session(app: str = "icuqm", tz: str = "UTC", master: str | None = None
         builder = builder.master(master)
         if cores:
             builder = builder.config("spark.sql.shuffle.partitions", str(cores))
-        builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "12g")
+        builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "12g")
     spark = (
         builder.config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
