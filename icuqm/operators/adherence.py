@@ -84,12 +84,19 @@ def status_counts(days: DataFrame, by: Sequence[str], measures: Sequence[str]) -
 
 
 def cutoff_sweep(
-    pieces: DataFrame, by: Sequence[str], value: str, cutoffs: Sequence[float], extras: Mapping[str, Measure], span: tuple[str, str] = ("start", "end")
+    pieces: DataFrame,
+    by: Sequence[str],
+    value: str,
+    cutoffs: Sequence[float],
+    extras: Mapping[str, Measure],
+    span: tuple[str, str] = ("start", "end"),
+    spine: DataFrame | None = None,
 ) -> DataFrame:
     """Time at or under each cutoff per key and measure, all cutoffs in one pass.
 
     ``extras`` maps a measure to its presence mask and the fixed part of its passing rule. The result is
-    long: ``measure``, ``cutoff``, ``assessable_us``, ``in_us``.
+    long: ``measure``, ``cutoff``, ``assessable_us``, ``in_us``. With a ``spine`` every spine row appears,
+    with 0 where it has no pieces.
     """
     length = F.col(span[1]) - F.col(span[0])
     sums, rows = [], []
@@ -102,12 +109,15 @@ def cutoff_sweep(
                 F.struct(
                     F.lit(m).alias("measure"),
                     F.lit(float(cut)).alias("cutoff"),
-                    F.col(f"_{m}_all").alias("assessable_us"),
-                    F.col(f"_{m}_{i}").alias("in_us"),
+                    F.coalesce(F.col(f"_{m}_all"), F.lit(0)).alias("assessable_us"),
+                    F.coalesce(F.col(f"_{m}_{i}"), F.lit(0)).alias("in_us"),
                 )
             )
     wide = pieces.groupBy(*by).agg(*sums)
-    return wide.select(*by, F.explode(F.array(*rows)).alias("_r")).select(*by, "_r.*")
+    if spine is not None:
+        wide = spine.join(wide, list(by), "left")
+    keep = list(by) if spine is None else spine.columns
+    return wide.select(*keep, F.explode(F.array(*rows)).alias("_r")).select(*keep, "_r.*")
 
 
 def sweep_counts(swept: DataFrame, by: Sequence[str], floor: int = 60 * MINUTE, fraction: float = 0.80) -> DataFrame:

@@ -13,24 +13,41 @@ from icuqm.operators.overlap import Span, intersect_intervals, list_buckets
 
 
 def carry_forward(
-    df: DataFrame, by: Sequence[str], on: str, carries: dict[str, tuple[Column, int | None]], tiebreak: Sequence[str] = (), width: int = DAY
+    df: DataFrame,
+    by: Sequence[str],
+    on: str,
+    carries: dict[str, tuple[Column, int | None]],
+    tiebreak: Sequence[str] = (),
+    width: int = DAY,
+    lead: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Latest non-NULL value per entry, blanked once older than its window (T-CF, T-CO).
 
     ``carries`` maps a new column to (value, window in microseconds or None for no limit). To carry a
     value seen together with another one, pass it masked: ``F.when(other.isNotNull(), value)``.
+    ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI).
     """
     with_at = df.withColumn("_cf_at", micros(df, on))
     stamped = {
         name: last_seen(F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("_cf_at").alias("at"))))
         for name, (value, _) in carries.items()
     }
+    if lead:
+        stamped["_next"] = following_at()
     seen = along(with_at, by, on, stamped, tiebreak, width)
     out = {}
     for name, (_, window) in carries.items():
         fresh = F.lit(True) if window is None else F.col("_cf_at") - F.col(f"{name}.at") <= F.lit(window)
         out[name] = F.when(fresh, F.col(f"{name}.v"))
-    return seen.withColumns(out).drop("_cf_at")
+    if lead:
+        out["start"] = F.col("_cf_at")
+        out["end"] = _lead_end(F.col("_cf_at"), *lead)
+    return seen.withColumns(out).drop("_cf_at", "_next")
+
+
+def _lead_end(start: Column, max_gap: int, trail: int) -> Column:
+    held = F.when(F.col("_next") - start <= F.lit(max_gap), F.col("_next"))
+    return F.coalesce(held, start + F.lit(trail))
 
 
 def lead_intervals(
@@ -39,8 +56,7 @@ def lead_intervals(
     """``[t, next)`` per row; the last row and rows before a longer gap hold for ``trail`` (T-LI)."""
     stamped = df.withColumn("start", micros(df, on))
     ahead = along(stamped, by, on, {"_next": following_at()}, tiebreak, width)
-    held = F.when(F.col("_next") - F.col("start") <= F.lit(max_gap), F.col("_next"))
-    return ahead.withColumn("end", F.coalesce(held, F.col("start") + F.lit(trail))).drop("_next")
+    return ahead.withColumn("end", _lead_end(F.col("start"), max_gap, trail)).drop("_next")
 
 
 def step_segments(

@@ -83,24 +83,39 @@ def _left_join_filled(days: DataFrame, hits: DataFrame, keys: Sequence[str], fil
     return joined.withColumns({n: F.coalesce(F.col(n), F.lit(v)) for n, v in fill.items()})
 
 
+def overlap_aggregate(
+    days: DataFrame,
+    spans: DataFrame,
+    by: Sequence[str],
+    key: Sequence[str],
+    window: Span,
+    span: Span,
+    aggs: dict[str, tuple[Column, object]],
+    width: int = DAY,
+) -> DataFrame:
+    """Aggregates over the intervals that overlap each row's window, whose shared part is ``start, end``.
+
+    ``by`` + ``key`` identify a row; ``aggs`` maps a name to (aggregate, value for rows without overlap).
+    """
+    keys = [*by, *key]
+    pairs = intersect_intervals(days.select(*keys, *window), spans, by, window, span, width)
+    found = pairs.groupBy(*keys).agg(*[c.alias(n) for n, (c, _) in aggs.items()])
+    return _left_join_filled(days, found, keys, {n: v for n, (_, v) in aggs.items()})
+
+
 def overlap_flag(
     days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY
 ) -> DataFrame:
-    """Whether any interval overlaps the row's window (J11). ``by`` + ``key`` identify a row."""
-    keys = [*by, *key]
-    pairs = intersect_intervals(days.select(*keys, *window), spans.select(*by, *span), by, window, span, width)
-    hits = pairs.select(*keys).distinct().withColumn(name, F.lit(True))
-    return _left_join_filled(days, hits, keys, {name: False})
+    """Whether any interval overlaps the row's window."""
+    return overlap_aggregate(days, spans.select(*by, *span), by, key, window, span, {name: (F.count(F.lit(1)) > 0, False)}, width)
 
 
 def overlap_minutes(
     days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY
 ) -> DataFrame:
     """Minutes of all intervals inside the row's window."""
-    keys = [*by, *key]
-    pairs = intersect_intervals(days.select(*keys, *window), spans.select(*by, *span), by, window, span, width)
-    sums = pairs.groupBy(*keys).agg((F.sum(F.col("end") - F.col("start")) / F.lit(60_000_000.0)).alias(name))
-    return _left_join_filled(days, sums, keys, {name: 0.0})
+    total = F.sum(F.col("end") - F.col("start")) / F.lit(60_000_000.0)
+    return overlap_aggregate(days, spans.select(*by, *span), by, key, window, span, {name: (total, 0.0)}, width)
 
 
 def not_in_any(

@@ -23,7 +23,7 @@ FEED_SCHEMA = (
     f"segments array<struct<key: string, label: string, color: string, cells: {_CELLS}>>, "
     "dims struct<type: array<string>, name: array<string>, parent: map<string, string>, labels: map<string, string>>, "
     "ui struct<weeks: array<string>, week_label: map<string, string>, months: array<string>, month_label: map<string, string>, units: array<string>>, "
-    "provenance struct<site_id: string, code_version: string, clif_version: string, definition_version: string, generated: string>, "
+    "provenance struct<site_id: string, code_version: string, data_version: string, definition_version: string, generated: string>, "
     "_corrupt_record string"
 )
 
@@ -126,7 +126,7 @@ def build_feed(
         F.struct(
             text(site.name).alias("site_id"),
             text(site.code_version).alias("code_version"),
-            text(site.data_version).alias("clif_version"),
+            text(site.data_version).alias("data_version"),
             text(definition_version).alias("definition_version"),
             text(generated).alias("generated"),
         ).alias("provenance"),

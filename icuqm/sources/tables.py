@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icuqm.functions.clinical import category, label, number
+from icuqm.functions.clinical import category, number
 from icuqm.functions.time import localise
 
 
@@ -73,7 +73,7 @@ def conform(df: DataFrame, fields: Sequence[Field]) -> DataFrame:
             case "category":
                 clean = category(c)
             case "label":
-                clean = label(c)
+                clean = F.nullif(F.trim(c.cast("string")), F.lit(""))
             case "number":
                 clean = number(c)
             case "time":
