@@ -8,7 +8,8 @@ from icuqm.catalog.base import DAY, HOUR, Tables, query
 from icuqm.catalog.roles import SQL, icu_tables
 from icuqm.config import Config
 from icuqm.operators import checks
-from icuqm.plans import lpv, severity
+from icuqm.plans import common, lpv, proning, sat, sbt, severity
+from icuqm.session import cut_lineage
 
 CFG = Config()
 MIN = 60_000_000
@@ -46,12 +47,12 @@ _DAY = "strftime(make_timestamp(d * 86400000000), '%Y-%m-%d') AS day"
 
 @query(
     "lpv_cohort_days",
-    _COHORT + f"SELECT hid AS hospitalization_id, pid AS patient_id, {_DAY}, u AS assigned_unit, un AS assigned_unit_name, round(height_cm, 4) AS height_cm, round(pbw_kg, 4) AS pbw_kg, n_imv_rows FROM days",
+    _COHORT + f"SELECT hid AS hospitalization_id, pid AS patient_id, {_DAY}, u AS assigned_unit, un AS assigned_unit_name, round(height_cm, 6) AS height_cm, round(pbw_kg, 6) AS pbw_kg, n_imv_rows FROM days",
 )
 def lpv_cohort(t: Tables):
     days = lpv.cohort_days(icu_tables(t), CFG.lpv)
     cols = ["hospitalization_id", "patient_id", "day", "assigned_unit", "assigned_unit_name", "height_cm", "pbw_kg", "n_imv_rows"]
-    return text_day(days).withColumns({c: F.round(c, 4) for c in ("height_cm", "pbw_kg")}).select(*cols)
+    return text_day(days).withColumns({c: F.round(c, 6) for c in ("height_cm", "pbw_kg")}).select(*cols)
 
 
 @query(
@@ -121,14 +122,14 @@ ss AS (SELECT st.*, sev.severity, strftime(make_timestamp(d * {DAY}), '%Y-%m-%d'
 
 def lpv_parts(t: Tables):
     tables = icu_tables(t)
-    days = lpv.cohort_days(tables, CFG.lpv)
-    return tables, days
+    return tables, cut_lineage(lpv.cohort_days(tables, CFG.lpv))
 
 
 def lpv_status(t: Tables):
+    """The stages of the measure, each stored before the next one reads it, as a site run does."""
     tables, days = lpv_parts(t)
-    pieces = lpv.interval_pieces(tables, days, CFG.lpv)
-    return tables, days, pieces, lpv.day_status(days, pieces, CFG.lpv)
+    pieces = cut_lineage(lpv.interval_pieces(tables, days, CFG.lpv))
+    return tables, days, pieces, cut_lineage(lpv.day_status(days, pieces, CFG.lpv))
 
 
 @query(
@@ -278,3 +279,108 @@ SELECT rule, count(*) FILTER (WHERE bad) AS n_violations FROM r GROUP BY rule"""
 )
 def lpv_checks(t: Tables):
     return checks.violations(lpv_status(t)[3], lpv.integrity_rules())
+
+
+# ---------------------------------------------------------------- sedation interruption
+
+def sat_parts(t: Tables):
+    tables = icu_tables(t)
+    days, inf, imv = sat.cohort(tables, CFG.sat)
+    segs = cut_lineage(sat.drug_segments(inf, CFG.sat))
+    days = cut_lineage(sat.eligibility(days, segs, CFG.sat))
+    return tables, days, inf, imv, segs, cut_lineage(sat.holds(days, segs, CFG.sat))
+
+
+@query("sat_observation", None)
+def sat_observation(t: Tables):
+    _, days, _, imv, _, found = sat_parts(t)
+    cols = ["encounter_block", "day", "unit", "unit_name", "vented_icu_minutes", "day_in", "day_out", "on_sat_sedation", "on_paralytic", "on_dex", "eligible"]
+    cols += ["sat_performed", "n_holds", "longest_off_min", "sat_resumed", "extubated_eod"]
+    out = text_day(sat.observation(days, found, imv, CFG.sat)).select(*cols)
+    return out.withColumns({c: F.round(c, 6) for c in ("vented_icu_minutes", "longest_off_min")})
+
+
+@query("sat_slices", None)
+def sat_slices(t: Tables):
+    _, days, _, imv, _, found = sat_parts(t)
+    return sat.slices(cut_lineage(sat.observation(days, found, imv, CFG.sat)), CFG.sat)
+
+
+@query("sat_dose_resumption", None)
+def sat_resumption(t: Tables):
+    _, days, inf, _, segs, found = sat_parts(t)
+    return sat.resumption_summary(sat.dose_resumption(days, found, segs, inf, CFG.sat), CFG.sat)
+
+
+# ---------------------------------------------------------------- breathing trials
+
+def sbt_parts(t: Tables):
+    tables = icu_tables(t)
+    days, filled, mapping = sbt.cohort(tables)
+    elig = sbt.eligibility(tables, days, filled, mapping, CFG.sbt)
+    eps = cut_lineage(sbt.support_episodes(filled, CFG.sbt))
+    return elig, filled, eps
+
+
+@query("sbt_observation", None)
+def sbt_observation(t: Tables):
+    elig, filled, eps = sbt_parts(t)
+    out = sbt.observation(elig, filled, eps, CFG.sbt)
+    cols = ["encounter_block", "day", "unit", "prior_controlled_h", "n_stable_hours", "n_scaffold_hours", "n_assessable_hours", "eligibility_status", "notelig_reason"]
+    cols += [*sbt.MASK_BITS, "n_transitions", "n_transitions_strict", "longest_support_min", "sbt_arm", "spont_minutes"]
+    return text_day(out).select(*cols).withColumns({c: F.round(c, 6) for c in ("longest_support_min", "spont_minutes")})
+
+
+@query("sbt_slices", None)
+def sbt_slices(t: Tables):
+    elig, filled, eps = sbt_parts(t)
+    return sbt.slices(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+
+
+@query("sbt_masks", None)
+def sbt_masks(t: Tables):
+    elig, filled, eps = sbt_parts(t)
+    return sbt.mask_table(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+
+
+# ---------------------------------------------------------------- proning
+
+def proning_people(t: Tables):
+    tables = icu_tables(t)
+    people, held, filled = proning.cohort(tables, CFG.proning)
+    return tables, people, cut_lineage(proning.eligibility(people, held, filled, CFG.proning))
+
+
+@query("proning_eligibility", None)
+def proning_eligibility(t: Tables):
+    _, _, elig = proning_people(t)
+    cols = ["patient_id", "encounter_block", "t0", "pf_at_t0", "eligible", "t_first", "t_eligible", "n_qualifying", "ineligibility_reason"]
+    return elig.select(*cols).withColumn("pf_at_t0", F.round("pf_at_t0", 6))
+
+
+@query(
+    "prone_sessions",
+    f"""WITH {SQL.strip()}, k AS (SELECT * FROM pos WHERE p <> 'chair'),
+r AS (SELECT *, lag(p) OVER (PARTITION BY hid ORDER BY t) AS was FROM k),
+o AS (SELECT hid, t FROM r WHERE p = 'prone' AND (was IS NULL OR was <> 'prone')), c AS (SELECT hid, t FROM r WHERE p = 'not_prone' AND was = 'prone'),
+l AS (SELECT hid, max(t) AS t FROM k WHERE p = 'prone' GROUP BY hid),
+j AS (SELECT o.hid, o.t AS s, min(c.t) AS e FROM o LEFT JOIN c ON c.hid = o.hid AND c.t >= o.t GROUP BY o.hid, o.t)
+SELECT j.hid AS hospitalization_id, s AS "start", coalesce(e, l.t) AS "end", (coalesce(e, l.t) - s) / 3600000000.0 AS duration_hours,
+  CASE WHEN e IS NULL THEN 'end_of_record' ELSE 'not_prone' END AS ended_by FROM j JOIN l USING (hid)""",
+)
+def prone_sessions(t: Tables):
+    pos = icu_tables(t)["position"]
+    rows = pos.where(F.col("position_category").isin("prone", "not_prone")).select(
+        "hospitalization_id", F.unix_micros("recorded_dttm").alias("at"), "position_category"
+    )
+    return proning.sessions(rows)
+
+
+@query("proning_slices", None)
+def proning_slices(t: Tables):
+    tables, _, elig = proning_people(t)
+    rows = cut_lineage(proning.position_rows(tables, elig))
+    seen = proning.per_stay(rows, proning.sessions(rows), CFG.proning)
+    people = proning.patient_level(elig, seen)
+    icu = common.icu_stays(tables, common.mapping_of(common.blocks(tables)))
+    return proning.slices(cut_lineage(proning.with_unit(people, icu)), CFG.proning)

@@ -149,7 +149,7 @@ adt AS (SELECT hid, CASE WHEN value < 60 THEN 'icu' ELSE 'ward' END AS cat,
    CASE WHEN value < 7 THEN 'M1' WHEN value < 15 THEN 'M2' WHEN value < 25 THEN 'S1' WHEN value < 35 THEN 'S2' WHEN value < 50 THEN 'G1' END AS unit_name,
    us AS i, CASE WHEN value <= 55 THEN us + {30 * HOUR} END AS o FROM ev WHERE event_type = 'signup'
    UNION ALL SELECT hid, 'icu', 'burn_icu', 'B1', lo - {HOUR}, lo + {40 * HOUR} FROM ends),
-rs AS (SELECT hid, us + f * {MINUTE} AS t, CASE WHEN value < 90 THEN 'imv' WHEN value < 120 THEN 'cpap' ELSE 'nasal cannula' END AS dev,
+rs AS (SELECT hid, us + f::BIGINT * {MINUTE} AS t, CASE WHEN value < 90 THEN 'imv' WHEN value < 120 THEN 'cpap' ELSE 'nasal cannula' END AS dev,
    CASE WHEN f IN (0, 100) AND event_type = 'purchase' THEN 'assist control-volume control' WHEN f IN (0, 100) AND event_type = 'view' THEN 'pressure support/cpap' END AS mode,
    value > 160 AS trach, CASE WHEN f = 100 THEN value * 4 + 280 END AS vt_obs, CASE WHEN f = 0 THEN value * 4 + 300 END AS vt_set,
    CASE WHEN f = 50 THEN value / 3 + 10 END AS plat, CASE WHEN f = 50 THEN value / 9 END AS peep_obs, CASE WHEN f = 0 THEN value / 8 END AS peep_set,

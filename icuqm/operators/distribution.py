@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from icuqm.session import cut_lineage
+
 RANGES = 64
 
 
@@ -29,6 +31,8 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in (extra or {}).items()])
     )
+    # read three times below; counts per distinct value are far fewer than the rows
+    counted = cut_lineage(counted)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, probs, 1000).alias("_cuts"))
     ranged = counted.join(cuts, keys).withColumn(

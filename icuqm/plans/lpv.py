@@ -18,6 +18,7 @@ from icuqm.operators.intervals import carry_forward, split_by_day
 from icuqm.operators.profile import day_span
 from icuqm.operators.slices import ALL, attach_periods, slice_cube
 from icuqm.plans.common import ICU, IMV, Tables
+from icuqm.session import cut_lineage
 from icuqm.sources.feeds import build_feed
 
 KEY = ("hospitalization_id", "day")
@@ -69,6 +70,7 @@ def cohort_days(t: Tables, cfg: LungProtection) -> DataFrame:
     who = adults(t, cfg)
     inside = attributed_rows(t, cfg).where("in_icu")
     days = majority_nested(inside, list(KEY), "assigned_unit", "assigned_unit_name").withColumnRenamed("n_rows", "n_imv_rows")
+    days = cut_lineage(days)
     out = days.join(who, "hospitalization_id", "left").join(heights(t, days, who, cfg), "hospitalization_id", "left")
     return out.withColumn("pbw_kg", predicted_body_weight(F.col("height_cm"), F.col("sex_category"), cfg.min_pbw))
 
