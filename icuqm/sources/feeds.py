@@ -77,7 +77,7 @@ def build_feed(
             for p, cell in parts.items()
         ]
     )
-    cells = per_unit.agg(*[F.map_from_entries(F.array_sort(F.collect_list(F.struct("unit", F.col(p).alias("v"))))).alias(p) for p in parts])
+    cells = per_unit.agg(*[F.map_from_entries(F.collect_list(F.struct("unit", F.col(p).alias("v")))).alias(p) for p in parts])
     names = F.map_from_entries
     friendly = dict(site.unit_labels)
     is_unit = typed & (F.col("unit") != ALL)
@@ -143,16 +143,16 @@ def write_feed(feed: DataFrame, path: str) -> None:
 
 def feed_problems(text: Column, feed: Column) -> Column:
     """Every broken rule of a parsed feed as an array of short codes; empty when valid."""
-    cells = F.flatten(F.transform(F.map_values(feed["headline.cells"]), F.map_values))
+    cells = F.flatten(F.transform(F.map_values(feed["headline"]["cells"]), F.map_values))
     negative = F.exists(cells, lambda c: c["num"].isNull() | c["den"].isNull() | (c["num"] < 0) | (c["den"] < 0))
     rules = {
         "unreadable": feed.isNull() | feed["_corrupt_record"].isNotNull(),
         "schema_version": ~feed["schema_version"].eqNullSafe(F.lit(1)),
         "metric_id": ~F.coalesce(feed["metric_id"].rlike("^[a-z0-9_]+$"), F.lit(False)),
         "title": feed["title"].isNull(),
-        "grain": F.coalesce(F.size(feed["grain.units"]) < 1, F.lit(True)) | F.coalesce(F.size(feed["grain.periods"]) < 1, F.lit(True)),
-        "periods": F.exists(F.coalesce(feed["grain.periods"], F.array()), lambda p: ~p.isin("all", "month", "week")),
-        "headline": feed["headline.cells"].isNull(),
+        "grain": F.coalesce(F.size(feed["grain"]["units"]) < 1, F.lit(True)) | F.coalesce(F.size(feed["grain"]["periods"]) < 1, F.lit(True)),
+        "periods": F.exists(F.coalesce(feed["grain"]["periods"], F.array()), lambda p: ~p.isin("all", "month", "week")),
+        "headline": feed["headline"]["cells"].isNull(),
         "counts": F.coalesce(negative, F.lit(False)),
         "goal": F.coalesce((feed["goal"] < 0) | (feed["goal"] > 1), F.lit(False)),
         "segments": F.coalesce(F.size(feed["segments"]) > 3, F.lit(False)),
