@@ -281,6 +281,57 @@ def lpv_checks(t: Tables):
     return checks.violations(lpv_status(t)[3], lpv.integrity_rules())
 
 
+# ---------------------------------------------------------------- block-level cohort in SQL
+
+_FILLED = f"""
+WITH {SQL.strip()},
+ho AS (SELECT hid, pid, adm, dis, age, discharge, max(dis) OVER (PARTITION BY pid ORDER BY adm, hid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM hosp),
+hg AS (SELECT *, sum(CASE WHEN reach IS NULL OR adm - reach > {6 * HOUR} THEN 1 ELSE 0 END) OVER (PARTITION BY pid ORDER BY adm, hid) AS g FROM ho),
+blk AS (SELECT *, first_value(hid) OVER (PARTITION BY pid, g ORDER BY adm, hid) AS b FROM hg),
+icu AS (SELECT b, i, o, unit, coalesce(unit_name, 'unknown') AS un FROM adt JOIN blk USING (hid) WHERE cat = 'icu' AND o > i),
+hr AS (SELECT hid, min(t) // {HOUR} * {HOUR} AS lo, max(t) // {HOUR} * {HOUR} AS hi FROM rs GROUP BY hid),
+al AS (SELECT hid, t, false AS sc, dev, mode, trach, peep_set, fio2, ps FROM rs
+   UNION ALL SELECT hid, unnest(generate_series(lo, hi, {HOUR})) + {HOUR - 1_000_000}, true, NULL, NULL, NULL, NULL, NULL, NULL FROM hr),
+fl AS (SELECT b, al.hid, t, sc, last_value(dev IGNORE NULLS) OVER w AS dev, last_value(mode IGNORE NULLS) OVER w AS mode, last_value(trach IGNORE NULLS) OVER w AS trach,
+   last_value(peep_set IGNORE NULLS) OVER w AS peep, last_value(fio2 IGNORE NULLS) OVER w AS fio2, last_value(ps IGNORE NULLS) OVER w AS ps
+   FROM al JOIN blk USING (hid) WINDOW w AS (PARTITION BY al.hid ORDER BY t, sc ROWS UNBOUNDED PRECEDING))
+"""
+_VDAYS = f"""
+sg AS (SELECT *, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t, sc, dev), t + {DAY}) AS e FROM fs),
+im AS (SELECT b, t AS s, e FROM sg WHERE dev = 'imv' AND e > t),
+vi AS (SELECT im.b, greatest(s, i) AS s, least(e, o) AS e, unit, un FROM im JOIN icu ON im.b = icu.b AND s < o AND e > i),
+vd AS (SELECT b, d, unit, un, greatest(s, d * {DAY}) AS s, least(e, (d + 1) * {DAY}) AS e FROM (SELECT *, unnest(generate_series(s // {DAY}, (e - 1) // {DAY})) AS d FROM vi WHERE e > s)),
+vu AS (SELECT * FROM (SELECT b, d, unit, row_number() OVER (PARTITION BY b, d ORDER BY e - s DESC, unit) AS rn FROM vd WHERE unit IS NOT NULL) WHERE rn = 1),
+vn0 AS (SELECT vd.b, vd.d, un, sum(e - s) AS us FROM vd JOIN vu ON vd.b = vu.b AND vd.d = vu.d AND vd.unit = vu.unit GROUP BY ALL),
+vn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b, d ORDER BY us DESC, un) AS rn FROM vn0) WHERE rn = 1),
+vw AS (SELECT b, d, sum(e - s)::DOUBLE / 60000000 AS minutes, min(s) AS lo, max(e) AS hi FROM vd GROUP BY b, d),
+dd AS (SELECT vw.*, coalesce(vu.unit, 'unknown') AS unit, coalesce(vn.un, 'unknown') AS unit_name FROM vw LEFT JOIN vu ON vu.b = vw.b AND vu.d = vw.d LEFT JOIN vn ON vn.b = vw.b AND vn.d = vw.d)
+"""
+_SAT_SQL = _FILLED + f""",
+mb AS (SELECT b, t, drug, dose, act, CASE WHEN drug IN ('propofol', 'midazolam', 'fentanyl') THEN 'sedative' WHEN drug = 'cisatracurium' THEN 'paralytic' WHEN drug = 'dexmedetomidine' THEN 'dex' END AS kind FROM med JOIN blk USING (hid)),
+fs AS (SELECT * FROM fl WHERE b IN (SELECT b FROM icu) AND b IN (SELECT b FROM mb WHERE kind = 'sedative')),
+{_VDAYS.strip()},
+ds AS (SELECT *, coalesce(lead(t) OVER (PARTITION BY b, drug ORDER BY t), t + {DAY}) AS e FROM mb WHERE kind IS NOT NULL),
+da AS (SELECT b, drug, kind, dose, t AS s, e FROM ds WHERE e > t AND dose > 0 AND act <> 'stop'),
+fg AS (SELECT dd.b, dd.d, coalesce(bool_or(kind = 'sedative'), false) AS sed, coalesce(bool_or(kind = 'paralytic'), false) AS par, coalesce(bool_or(kind = 'dex'), false) AS dex
+   FROM dd LEFT JOIN da ON da.b = dd.b AND da.s < dd.hi AND da.e > dd.lo GROUP BY dd.b, dd.d),
+el AS (SELECT dd.*, sed, par, dex, sed AND NOT par AS eligible FROM dd JOIN fg USING (b, d)),
+c0 AS (SELECT el.b, el.d, el.hi, greatest(s, lo) AS s, least(e, el.hi) AS e FROM el JOIN da ON da.b = el.b AND da.kind = 'sedative' AND s < el.hi AND e > lo WHERE eligible),
+c1 AS (SELECT *, max(e) OVER (PARTITION BY b, d ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS reach, lead(s) OVER (PARTITION BY b, d ORDER BY s, e) AS ns FROM c0),
+gp AS (SELECT b, d, reach AS g0, coalesce(ns, hi) AS g1, ns IS NOT NULL AS resumed FROM c1 WHERE coalesce(ns, hi) > reach),
+hq AS (SELECT * FROM gp WHERE g1 - g0 >= 1800000000),
+hd AS (SELECT b, d, count(*) AS n, max(g1 - g0) / 60000000.0 AS longest, bool_or(resumed) AS resumed FROM hq GROUP BY b, d),
+pid1 AS (SELECT b, any_value(pid) AS pid FROM blk GROUP BY b),
+off AS (SELECT dd.b, dd.d, NOT bool_or(coalesce(im.s <= (dd.d + 1) * {DAY} AND (dd.d + 1) * {DAY} < im.e, false)) AS off_dev FROM dd LEFT JOIN im ON im.b = dd.b GROUP BY dd.b, dd.d),
+ob AS (SELECT el.*, hd.n IS NOT NULL AS performed, coalesce(hd.n, 0) AS n_holds, coalesce(longest, 0) AS longest, coalesce(resumed, false) AS resumed,
+   off_dev AND (death_us IS NULL OR death_us > (el.d + 1) * {DAY}) AS extubated, strftime(make_timestamp(el.d * {DAY}), '%Y-%m-%d') AS day, strftime(make_timestamp(el.d * {DAY}), '%Y-%m') AS month, strftime(make_timestamp(el.d * {DAY}), '%G-W%V') AS week
+   FROM el LEFT JOIN hd USING (b, d) JOIN off USING (b, d) JOIN pid1 USING (b) JOIN pat USING (pid))
+"""
+# every patient-day under each of its slices
+_SLICES = """gr AS (SELECT *, 'all' AS granularity, 'all' AS period FROM ob UNION ALL SELECT *, 'month', month FROM ob UNION ALL SELECT *, 'week', week FROM ob),
+sl AS (SELECT * REPLACE ('__ALL__' AS unit), 'type' AS dim FROM gr UNION ALL SELECT *, 'type' FROM gr UNION ALL SELECT * REPLACE (unit_name AS unit), 'name' FROM gr)
+"""
+
 # ---------------------------------------------------------------- sedation interruption
 
 def sat_parts(t: Tables):
@@ -291,7 +342,12 @@ def sat_parts(t: Tables):
     return tables, days, inf, imv, segs, cut_lineage(sat.holds(days, segs, CFG.sat))
 
 
-@query("sat_observation", None)
+@query(
+    "sat_observation",
+    _SAT_SQL
+    + """SELECT b AS encounter_block, day, unit, unit_name, round(minutes, 6) AS vented_icu_minutes, lo AS day_in, hi AS day_out, sed AS on_sat_sedation, par AS on_paralytic, dex AS on_dex, eligible,
+   performed AS sat_performed, n_holds, round(longest, 6) AS longest_off_min, resumed AS sat_resumed, extubated AS extubated_eod FROM ob""",
+)
 def sat_observation(t: Tables):
     _, days, _, imv, _, found = sat_parts(t)
     cols = ["encounter_block", "day", "unit", "unit_name", "vented_icu_minutes", "day_in", "day_out", "on_sat_sedation", "on_paralytic", "on_dex", "eligible"]
@@ -300,16 +356,34 @@ def sat_observation(t: Tables):
     return out.withColumns({c: F.round(c, 6) for c in ("vented_icu_minutes", "longest_off_min")})
 
 
-@query("sat_slices", None)
+@query(
+    "sat_slices",
+    _SAT_SQL
+    + ", "
+    + _SLICES
+    + """SELECT unit, dim, granularity, period, count(*) AS n_vent_days, count(*) FILTER (WHERE eligible) AS n_eligible, count(*) FILTER (WHERE eligible AND performed) AS n_sat,
+   count(*) FILTER (WHERE eligible AND performed AND resumed) AS n_resumed, count(*) FILTER (WHERE eligible AND performed AND NOT resumed) AS n_notresumed, count(*) FILTER (WHERE eligible AND performed AND extubated) AS n_extubated FROM sl GROUP BY ALL""",
+)
 def sat_slices(t: Tables):
     _, days, _, imv, _, found = sat_parts(t)
-    return sat.slices(cut_lineage(sat.observation(days, found, imv, CFG.sat)), CFG.sat)
+    cube = sat.slices(cut_lineage(sat.observation(days, found, imv, CFG.sat)), CFG.sat)
+    return cube.select("unit", "dim", "granularity", "period", *sat.COUNTS)
 
 
-@query("sat_dose_resumption", None)
+@query(
+    "sat_dose_resumption",
+    _SAT_SQL
+    + """, f1 AS (SELECT b, d, min(g0) AS g0, min_by(g1, g0) AS g1 FROM hq WHERE resumed GROUP BY b, d),
+x AS (SELECT f1.*, dd.hi, da.drug, da.s, da.dose FROM f1 JOIN dd USING (b, d) JOIN da ON da.b = f1.b AND da.kind = 'sedative'),
+pr AS (SELECT b, d, drug, max_by(dose, s) FILTER (WHERE s < g0) AS pre, min_by(dose, s) FILTER (WHERE s >= g1 AND s <= hi) AS post FROM x GROUP BY b, d, drug),
+ra AS (SELECT drug, post / pre AS r FROM pr WHERE pre > 0 AND post IS NOT NULL), rb AS (SELECT * FROM ra UNION ALL SELECT '__ALL__', r FROM ra)
+SELECT drug, count(*) AS n_resumptions, round(quantile_cont(r, 0.25), 6) AS q1_ratio, round(median(r), 6) AS median_ratio, round(quantile_cont(r, 0.75), 6) AS q3_ratio,
+  round(100.0 * count(*) FILTER (WHERE r <= 0.5) / count(*), 6) AS pct_at_or_below_half FROM rb GROUP BY drug""",
+)
 def sat_resumption(t: Tables):
     _, days, inf, _, segs, found = sat_parts(t)
-    return sat.resumption_summary(sat.dose_resumption(days, found, segs, inf, CFG.sat), CFG.sat)
+    out = sat.resumption_summary(cut_lineage(sat.dose_resumption(days, found, segs, inf, CFG.sat)), CFG.sat)
+    return out.withColumns({c: F.round(c, 6) for c in ("q1_ratio", "median_ratio", "q3_ratio", "pct_at_or_below_half")})
 
 
 # ---------------------------------------------------------------- breathing trials
