@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from icuqm.catalog.base import DAY, HOUR, Tables, query
@@ -297,7 +299,7 @@ fl AS (SELECT b, al.hid, t, sc, last_value(dev IGNORE NULLS) OVER w AS dev, last
    FROM al JOIN blk USING (hid) WINDOW w AS (PARTITION BY al.hid ORDER BY t, sc ROWS UNBOUNDED PRECEDING))
 """
 _VDAYS = f"""
-sg AS (SELECT *, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t, sc, dev), t + {DAY}) AS e FROM fs),
+sg AS (SELECT *, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t, sc, dev NULLS FIRST), t + {DAY}) AS e FROM fs),
 im AS (SELECT b, t AS s, e FROM sg WHERE dev = 'imv' AND e > t),
 vi AS (SELECT im.b, greatest(s, i) AS s, least(e, o) AS e, unit, un FROM im JOIN icu ON im.b = icu.b AND s < o AND e > i),
 vd AS (SELECT b, d, unit, un, greatest(s, d * {DAY}) AS s, least(e, (d + 1) * {DAY}) AS e FROM (SELECT *, unnest(generate_series(s // {DAY}, (e - 1) // {DAY})) AS d FROM vi WHERE e > s)),
@@ -388,6 +390,58 @@ def sat_resumption(t: Tables):
 
 # ---------------------------------------------------------------- breathing trials
 
+_CTRL = "('assist control-volume control', 'pressure control', 'pressure-regulated volume control', 'simv')"
+_SUP = "'pressure support/cpap'"
+
+
+def _run(flag: str) -> str:
+    """Rows of the hour table with the position inside the current run of one flag."""
+    return f"""r_{flag} AS (SELECT b, d, {flag}, row_number() OVER (PARTITION BY b, d, g ORDER BY t) AS k FROM (SELECT *, sum(brk) OVER (PARTITION BY b, d ORDER BY t) AS g FROM
+   (SELECT *, CASE WHEN lag(t) OVER w IS NULL OR t - lag(t) OVER w > {90 * MIN} OR lag({flag}) OVER w <> {flag} THEN 1 ELSE 0 END AS brk FROM hf WINDOW w AS (PARTITION BY b, d ORDER BY t)))),
+a_{flag} AS (SELECT b, d, bool_or({flag} AND k >= 2) AS long_{flag} FROM r_{flag} GROUP BY b, d)"""
+
+
+_SBT_SQL = _FILLED + f""",
+fs AS (SELECT * FROM fl WHERE b IN (SELECT b FROM icu)),
+{_VDAYS.strip()},
+pc AS (SELECT dd.b, dd.d, count(c.t) AS prior FROM dd LEFT JOIN (SELECT b, t FROM fs WHERE sc AND dev = 'imv' AND mode IN {_CTRL}) c ON c.b = dd.b AND c.t < dd.lo GROUP BY dd.b, dd.d),
+sn AS (SELECT dd.b, dd.d, coalesce(bool_or(f.trach), false) AS trach, coalesce(bool_or(f.mode = {_SUP}), false) AS spont FROM dd LEFT JOIN fs f ON f.b = dd.b AND f.t >= dd.lo AND f.t < dd.hi GROUP BY dd.b, dd.d),
+wt AS (SELECT hid, t AS wt_t, v AS w FROM vit WHERE cat = 'weight_kg'),
+vp AS (SELECT med.hid, t, dose, act FROM med WHERE drug = 'norepinephrine' AND hid IN (SELECT hid FROM blk WHERE b IN (SELECT b FROM icu))),
+vw2 AS (SELECT vp.*, w FROM vp ASOF LEFT JOIN wt ON vp.hid = wt.hid AND vp.t >= wt_t),
+ne AS (SELECT b, t AS nt, coalesce(CASE WHEN dose > 0 AND coalesce(act <> 'stop', true) THEN dose / w ELSE 0 END, 0) AS ne, NOT (dose > 0 AND coalesce(act <> 'stop', true) AND w IS NULL) AS ok FROM vw2 JOIN blk USING (hid)),
+sp2 AS (SELECT b, t AS st, v AS spo2 FROM vit JOIN blk USING (hid) WHERE cat = 'spo2' AND v BETWEEN 50 AND 100),
+g1 AS (SELECT f.b, f.t, f.fio2, f.peep, CASE WHEN f.t - st <= {HOUR} THEN spo2 END AS spo2 FROM (SELECT * FROM fs WHERE sc) f ASOF LEFT JOIN sp2 ON sp2.b = f.b AND f.t >= st),
+g2 AS (SELECT g1.*, coalesce(ne, 0) AS ne, coalesce(ok, true) AS ok FROM g1 ASOF LEFT JOIN ne ON ne.b = g1.b AND g1.t >= nt),
+hf AS (SELECT dd.b, dd.d, t, coalesce(fio2 <= 0.5 AND peep <= 8 AND spo2 >= 88, false) AS oxy, ne <= 0.2 AS vaso, coalesce(fio2 <= 0.5 AND peep <= 8 AND spo2 >= 88, false) AND ne <= 0.2 AS bothf,
+   fio2 IS NOT NULL AND peep IS NOT NULL AND spo2 IS NOT NULL AND ok AS known FROM g2 JOIN dd ON dd.b = g2.b AND t >= lo AND t < hi),
+{_run("oxy")}, {_run("vaso")}, {_run("bothf")},
+hc AS (SELECT b, d, count(*) FILTER (WHERE bothf) AS n_stable, count(*) AS n_sc, count(*) FILTER (WHERE known) AS n_known FROM hf GROUP BY b, d),
+ps1 AS (SELECT b, t, dose, act, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t), t + {DAY}) AS e FROM med JOIN blk USING (hid) WHERE drug = 'cisatracurium'),
+pl AS (SELECT dd.b, dd.d, count(ps1.t) > 0 AS par FROM dd LEFT JOIN ps1 ON ps1.b = dd.b AND dose > 0 AND coalesce(act <> 'stop', true) AND ps1.t < dd.hi AND ps1.e > dd.lo AND ps1.e > ps1.t GROUP BY dd.b, dd.d),
+nr AS (SELECT b, t, CASE WHEN dev = 'imv' AND mode IN {_CTRL} THEN 'controlled' WHEN mode = {_SUP} AND (dev = 'cpap' OR ps IS NULL OR ps = 0) AND peep <= 5 THEN 'cpap'
+   WHEN mode = {_SUP} AND NOT coalesce(dev = 'cpap' OR ps IS NULL OR ps = 0, false) AND peep <= 8 THEN 'ps' WHEN mode = {_SUP} THEN 'weak' ELSE 'other' END AS c FROM fs WHERE NOT sc),
+n1 AS (SELECT *, coalesce(lead(t) OVER w, t + {HOUR}) AS e, CASE WHEN lag(c) OVER w IS NULL OR lag(c) OVER w <> c THEN 1 ELSE 0 END AS chg FROM nr WINDOW w AS (PARTITION BY b ORDER BY t, c)),
+n2 AS (SELECT *, sum(chg) OVER (PARTITION BY b ORDER BY t, c) AS ep FROM n1),
+n3 AS (SELECT b, ep, min(c) AS c, min(t) AS s, max(e) AS e FROM n2 GROUP BY b, ep),
+n4 AS (SELECT *, coalesce(lag(c) OVER (PARTITION BY b ORDER BY ep) = 'controlled', false) AS tr, (e - s) / 60000000.0 AS dur, c IN ('ps', 'cpap') AS lp FROM n3),
+se AS (SELECT * FROM n4 WHERE c IN ('ps', 'cpap', 'weak')),
+nb AS (SELECT dd.b, dd.d, coalesce(bool_or(tr), false) AS nb_t, coalesce(bool_or(dur >= 2), false) AS nb_d, coalesce(bool_or(lp), false) AS nb_p, coalesce(bool_or(tr AND dur >= 2), false) AS nb_td,
+   coalesce(bool_or(tr AND lp), false) AS nb_tp, coalesce(bool_or(dur >= 2 AND lp), false) AS nb_dp, coalesce(bool_or(tr AND dur >= 2 AND lp), false) AS nb_tdp,
+   count(*) FILTER (WHERE tr AND lp) AS n_tr, count(*) FILTER (WHERE tr AND lp AND dur >= 2) AS n_trs, coalesce(max(CASE WHEN tr AND lp THEN dur END), 0) AS longest,
+   coalesce(string_agg(DISTINCT CASE WHEN tr AND lp THEN c END, ',' ORDER BY CASE WHEN tr AND lp THEN c END), '') AS arms FROM dd LEFT JOIN se ON se.b = dd.b AND se.s >= dd.lo AND se.s < dd.hi GROUP BY dd.b, dd.d),
+ms AS (SELECT b, t AS s, mode, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t, sc, mode NULLS FIRST), t + {HOUR}) AS e FROM fs),
+sm AS (SELECT dd.b, dd.d, coalesce(sum(CASE WHEN ms.s IS NOT NULL THEN least(ms.e, dd.hi) - greatest(ms.s, dd.lo) END), 0)::DOUBLE / 60000000 AS spent FROM dd LEFT JOIN ms ON ms.b = dd.b AND mode = {_SUP} AND ms.s < dd.hi AND ms.e > dd.lo GROUP BY dd.b, dd.d),
+o1 AS (SELECT dd.b, dd.d, unit, unit_name, prior, trach, spont, par, coalesce(long_oxy, false) AS oxy, coalesce(long_vaso, false) AS vaso, coalesce(long_bothf, false) AS stable, coalesce(n_stable, 0) AS n_stable, coalesce(n_sc, 0) AS n_sc,
+   coalesce(n_known, 0) AS n_known, nb.* EXCLUDE (b, d), spent FROM dd JOIN pc USING (b, d) JOIN sn USING (b, d) JOIN pl USING (b, d) JOIN nb USING (b, d) JOIN sm USING (b, d)
+   LEFT JOIN a_oxy USING (b, d) LEFT JOIN a_vaso USING (b, d) LEFT JOIN a_bothf USING (b, d) LEFT JOIN hc USING (b, d)),
+o2 AS (SELECT *, CASE WHEN trach THEN 'excluded_trach' WHEN par THEN 'excluded_paralytic' WHEN prior >= 12 AND stable THEN 'eligible' WHEN prior >= 12 AND n_known = 0 THEN 'not_assessable' ELSE 'not_eligible' END AS status FROM o1),
+ob AS (SELECT *, CASE WHEN status <> 'not_eligible' THEN '' WHEN prior < 12 THEN 'lt12h_controlled' WHEN oxy THEN 'failed_vasopressor' ELSE 'failed_oxy_peep' END AS reason,
+   strftime(make_timestamp(d * {DAY}), '%Y-%m-%d') AS day, strftime(make_timestamp(d * {DAY}), '%Y-%m') AS month, strftime(make_timestamp(d * {DAY}), '%G-W%V') AS week,
+   trach::INT + 2 * par::INT + 4 * (prior >= 12)::INT + 8 * oxy::INT + 16 * vaso::INT + 32 * stable::INT + 64 * spont::INT + 128 * nb_t::INT + 256 * nb_d::INT + 512 * nb_p::INT + 1024 * nb_td::INT + 2048 * nb_tp::INT + 4096 * nb_dp::INT + 8192 * nb_tdp::INT AS mask,
+   (SELECT any_value(pid) FROM blk WHERE blk.b = o2.b) AS pid FROM o2)
+"""
+
 def sbt_parts(t: Tables):
     tables = icu_tables(t)
     days, filled, mapping = sbt.cohort(tables)
@@ -396,7 +450,13 @@ def sbt_parts(t: Tables):
     return elig, filled, eps
 
 
-@query("sbt_observation", None)
+@query(
+    "sbt_observation",
+    _SBT_SQL
+    + """SELECT b AS encounter_block, day, unit, prior AS prior_controlled_h, n_stable AS n_stable_hours, n_sc AS n_scaffold_hours, n_known AS n_assessable_hours, status AS eligibility_status, reason AS notelig_reason,
+   trach AS db_trach, par AS db_paralytic, prior >= 12 AS db_accrued12, oxy AS db_stable_oxy, vaso AS db_stable_vaso, stable AS db_stable_both, spont AS on_spontaneous, nb_t, nb_d, nb_p, nb_td, nb_tp, nb_dp, nb_tdp,
+   n_tr AS n_transitions, n_trs AS n_transitions_strict, round(longest, 6) AS longest_support_min, CASE WHEN arms = 'cpap,ps' THEN 'both' ELSE arms END AS sbt_arm, round(spent, 6) AS spont_minutes FROM ob""",
+)
 def sbt_observation(t: Tables):
     elig, filled, eps = sbt_parts(t)
     out = sbt.observation(elig, filled, eps, CFG.sbt)
@@ -405,27 +465,76 @@ def sbt_observation(t: Tables):
     return text_day(out).select(*cols).withColumns({c: F.round(c, 6) for c in ("longest_support_min", "spont_minutes")})
 
 
-@query("sbt_slices", None)
+@query(
+    "sbt_slices",
+    _SBT_SQL
+    + ", "
+    + _SLICES
+    + """SELECT unit, dim, granularity, period, count(*) AS n_vent_days, count(*) FILTER (WHERE status <> 'excluded_trach') AS n_nontrach, count(*) FILTER (WHERE status = 'eligible') AS n_eligible,
+   count(*) FILTER (WHERE status = 'eligible' AND NOT (spont AND NOT nb_t)) AS n_eligible_txcand, count(*) FILTER (WHERE status = 'not_assessable') AS n_not_assessable, count(*) FILTER (WHERE reason = 'lt12h_controlled') AS n_notelig_lt12h,
+   count(*) FILTER (WHERE status = 'eligible' AND nb_tdp) AS n_sbt, count(*) FILTER (WHERE nb_tp) AS n_sbtany_all, count(*) FILTER (WHERE status = 'eligible' AND spont) AS n_spont_elig,
+   count(DISTINCT pid) AS n_pts, count(DISTINCT CASE WHEN status = 'eligible' THEN pid END) AS n_pts_elig, count(DISTINCT CASE WHEN nb_tdp THEN pid END) AS n_pts_strict_all, count(DISTINCT CASE WHEN spont THEN pid END) AS n_pts_spont_all FROM sl GROUP BY ALL""",
+)
 def sbt_slices(t: Tables):
     elig, filled, eps = sbt_parts(t)
-    return sbt.slices(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+    cube = sbt.slices(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+    shown = ["n_vent_days", "n_nontrach", "n_eligible", "n_eligible_txcand", "n_not_assessable", "n_notelig_lt12h", "n_sbt", "n_sbtany_all", "n_spont_elig"]
+    return cube.select("unit", "dim", "granularity", "period", *shown, "n_pts", "n_pts_elig", "n_pts_strict_all", "n_pts_spont_all")
 
 
-@query("sbt_masks", None)
+@query(
+    "sbt_masks",
+    _SBT_SQL + ", " + _SLICES + "SELECT unit, dim, granularity, period, mask::BIGINT AS mask, count(*) AS count FROM sl GROUP BY ALL",
+)
 def sbt_masks(t: Tables):
     elig, filled, eps = sbt_parts(t)
-    return sbt.mask_table(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+    return sbt.mask_table(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt))).drop("parent")
 
 
 # ---------------------------------------------------------------- proning
 
+# milder limits than the measure's own, so that the derived tables reach every outcome
+PRONE = replace(CFG.proning, onset_peep_min=1.0, onset_fio2_min=0.32, pf_max=250.0, fio2_min=0.32, peep_min=1.0)
+
+_PRONE_SQL = _FILLED + f""",
+f0 AS (SELECT b, hid, t, sc, dev, fio2, peep FROM fl WHERE hid IN (SELECT hid FROM lab)),
+sc0 AS (SELECT CASE WHEN quantile_cont(fio2, 0.95) > 1.5 THEN 100.0 ELSE 1.0 END AS k FROM f0),
+f1 AS (SELECT b, t AS ft, sc, dev, CASE WHEN fio2 / k BETWEEN 0.15::DOUBLE AND 1 THEN fio2 / k END AS fio2, CASE WHEN peep BETWEEN 0 AND 40 THEN peep END AS peep FROM f0, sc0),
+ga AS (SELECT b, lab.hid, col_t AS t, v FROM lab JOIN blk USING (hid) WHERE v > 0),
+gb AS (SELECT ga.*, dev, fio2, peep, v / fio2 AS pf FROM ga ASOF LEFT JOIN f1 ON f1.b = ga.b AND ga.t >= ft WHERE ga.t - ft <= {6 * HOUR} AND fio2 IS NOT NULL),
+gc AS (SELECT gb.*, i FROM gb JOIN icu ON icu.b = gb.b AND t BETWEEN i AND o WHERE pf BETWEEN 10 AND 1000),
+gd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b, hid, t ORDER BY i) AS rn FROM gc) WHERE rn = 1),
+t0b AS (SELECT * FROM (SELECT gd.*, pid, row_number() OVER (PARTITION BY gd.b ORDER BY t, gd.hid) AS r2 FROM gd JOIN blk ON blk.hid = gd.hid WHERE dev = 'imv' AND peep >= 1 AND fio2 >= 0.32::DOUBLE AND pf <= 300 AND age >= 18) WHERE r2 = 1),
+t0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY t, b) AS r3 FROM t0b) WHERE r3 = 1),
+me AS (SELECT gd.b, gd.t, gd.dev = 'imv' AND gd.peep >= 1 AND gd.fio2 >= 0.32::DOUBLE AND gd.pf <= 250 AS m FROM gd JOIN t0 ON t0.b = gd.b AND gd.t >= t0.t),
+tf AS (SELECT b, min(t) AS tf FROM me WHERE m GROUP BY b),
+ag AS (SELECT t0.b, max(me.t) FILTER (WHERE m) >= any_value(tf) + {12 * HOUR} AS again, count(*) FILTER (WHERE m AND me.t <= tf + {12 * HOUR}) AS n FROM t0 JOIN tf USING (b) JOIN me USING (b) GROUP BY t0.b),
+br AS (SELECT DISTINCT tf.b FROM tf JOIN f1 ON f1.b = tf.b AND ft > tf AND ft <= tf + {12 * HOUR} AND dev <> 'imv'),
+pe AS (SELECT t0.pid, t0.b, t0.hid, t0.t AS t0, pf, coalesce(again AND br.b IS NULL, false) AS eligible, tf, n,
+   CASE WHEN tf IS NULL THEN 'no ABG meets PROSEVA-strict thresholds' WHEN NOT again THEN 'qualifying ABG at T_first but no qualifying ABG ≥12h later (weaned, extubated, or no ABG coverage)'
+   WHEN br.b IS NOT NULL THEN 'extubation event during 12h stabilization window' END AS reason FROM t0 LEFT JOIN tf ON tf.b = t0.b LEFT JOIN ag ON ag.b = t0.b LEFT JOIN br ON br.b = t0.b)
+"""
+_SESSIONS = """
+pk AS (SELECT * FROM pos WHERE p <> 'chair'),
+pr AS (SELECT *, lag(p) OVER (PARTITION BY hid ORDER BY t) AS was FROM pk),
+po AS (SELECT hid, t FROM pr WHERE p = 'prone' AND (was IS NULL OR was <> 'prone')), pcl AS (SELECT hid, t FROM pr WHERE p = 'not_prone' AND was = 'prone'),
+pla AS (SELECT hid, max(t) AS t FROM pk WHERE p = 'prone' GROUP BY hid),
+pj AS (SELECT po.hid, po.t AS s, min(pcl.t) AS e FROM po LEFT JOIN pcl ON pcl.hid = po.hid AND pcl.t >= po.t GROUP BY po.hid, po.t),
+ses AS (SELECT pj.hid, s, (coalesce(e, pla.t) - s) / 3600000000.0 AS h FROM pj JOIN pla USING (hid))
+"""
+
 def proning_people(t: Tables):
     tables = icu_tables(t)
-    people, held, filled = proning.cohort(tables, CFG.proning)
-    return tables, people, cut_lineage(proning.eligibility(people, held, filled, CFG.proning))
+    people, held, filled = proning.cohort(tables, PRONE)
+    return tables, people, cut_lineage(proning.eligibility(people, held, filled, PRONE))
 
 
-@query("proning_eligibility", None)
+@query(
+    "proning_eligibility",
+    _PRONE_SQL
+    + f"""SELECT pid AS patient_id, b AS encounter_block, t0, round(pf, 6) AS pf_at_t0, eligible, CASE WHEN eligible THEN tf END AS t_first, CASE WHEN eligible THEN tf + {12 * HOUR} END AS t_eligible,
+   CASE WHEN eligible THEN n ELSE 0 END AS n_qualifying, reason AS ineligibility_reason FROM pe""",
+)
 def proning_eligibility(t: Tables):
     _, _, elig = proning_people(t)
     cols = ["patient_id", "encounter_block", "t0", "pf_at_t0", "eligible", "t_first", "t_eligible", "n_qualifying", "ineligibility_reason"]
@@ -450,11 +559,27 @@ def prone_sessions(t: Tables):
     return proning.sessions(rows)
 
 
-@query("proning_slices", None)
+@query(
+    "proning_slices",
+    _PRONE_SQL
+    + ", "
+    + _SESSIONS.strip()
+    + f""", pv AS (SELECT pe.b, any_value(pe.tf) + {12 * HOUR} AS te, bool_or(pk2.hid IS NOT NULL) AS seen, count(ses.s) > 0 AS prone, coalesce(bool_or(h >= 16), false) AS good, min(ses.s) AS fp
+   FROM pe JOIN blk ON blk.b = pe.b LEFT JOIN (SELECT DISTINCT hid FROM pk) pk2 ON pk2.hid = blk.hid LEFT JOIN ses ON ses.hid = blk.hid WHERE eligible GROUP BY pe.b),
+pu AS (SELECT * FROM (SELECT pv.*, icu.unit, icu.un, row_number() OVER (PARTITION BY pv.b ORDER BY i) AS rn FROM pv LEFT JOIN icu ON icu.b = pv.b AND te BETWEEN i AND o) WHERE rn = 1),
+ob AS (SELECT b, seen, prone, good, (fp - te) / 3600000000.0 AS ttp, coalesce(unit, 'unknown') AS unit, coalesce(un, 'unknown') AS unit_name, strftime(make_timestamp(te), '%Y') AS year, strftime(make_timestamp(te), '%Y-%m') AS month, strftime(make_timestamp(te), '%G-W%V') AS week FROM pu),
+"""
+    + _SLICES.replace("FROM ob),", "FROM ob UNION ALL SELECT *, 'year', year FROM ob),")
+    + """SELECT unit, dim, granularity, period, count(*) AS n_eligible, count(*) FILTER (WHERE prone) AS n_ever_proned, count(*) FILTER (WHERE good) AS n_adherent, count(*) FILTER (WHERE seen) AS n_documented,
+   round(quantile_cont(ttp, 0.25), 6) AS ttp_q1_h, round(median(ttp), 6) AS ttp_median_h, round(quantile_cont(ttp, 0.75), 6) AS ttp_q3_h FROM sl GROUP BY ALL""",
+)
 def proning_slices(t: Tables):
     tables, _, elig = proning_people(t)
     rows = cut_lineage(proning.position_rows(tables, elig))
-    seen = proning.per_stay(rows, proning.sessions(rows), CFG.proning)
+    seen = proning.per_stay(rows, proning.sessions(rows), PRONE)
     people = proning.patient_level(elig, seen)
     icu = common.icu_stays(tables, common.mapping_of(common.blocks(tables)))
-    return proning.slices(cut_lineage(proning.with_unit(people, icu)), CFG.proning)
+    cube = proning.slices(cut_lineage(proning.with_unit(people, icu)), PRONE)
+    times = ["ttp_q1_h", "ttp_median_h", "ttp_q3_h"]
+    cols = ["unit", "dim", "granularity", "period", "n_eligible", "n_ever_proned", "n_adherent", "n_documented"]
+    return cube.select(*cols, *[F.round(c, 6).alias(c) for c in times])
