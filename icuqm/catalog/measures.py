@@ -12,6 +12,7 @@ from icuqm.config import Config
 from icuqm.operators import checks
 from icuqm.plans import common, lpv, proning, sat, sbt, severity
 from icuqm.session import cut_lineage
+from icuqm.sources import feeds
 
 CFG = Config()
 MIN = 60_000_000
@@ -151,16 +152,16 @@ def lpv_day_status(t: Tables):
 @query(
     "lpv_interval_table",
     _LPV
-    + f"""SELECT p2.hid AS hospitalization_id, strftime(make_timestamp(p2.d * {DAY}), '%Y-%m-%d') AS day, count(*) AS n, round(sum(p2.us) / 60000000.0, 4) AS minutes, round(coalesce(sum(vt), 0), 4) AS vt, round(coalesce(sum(p2.plat), 0), 4) AS plateau,
-   round(coalesce(sum(dp), 0), 4) AS dp, round(coalesce(sum(peep), 0), 4) AS peep, round(coalesce(sum(fio2), 0), 4) AS fio2 FROM p2 JOIN days ON p2.hid = days.hid AND p2.d = days.d WHERE el GROUP BY p2.hid, p2.d""",
+    + f"""SELECT p2.hid AS hospitalization_id, strftime(make_timestamp(p2.d * {DAY}), '%Y-%m-%d') AS day, count(*) AS n, round(sum(p2.us) / 60000000.0, 6) AS minutes, round(coalesce(sum(vt), 0), 6) AS vt, round(coalesce(sum(p2.plat), 0), 6) AS plateau,
+   round(coalesce(sum(dp), 0), 6) AS dp, round(coalesce(sum(peep), 0), 6) AS peep, round(coalesce(sum(fio2), 0), 6) AS fio2 FROM p2 JOIN days ON p2.hid = days.hid AND p2.d = days.d WHERE el GROUP BY p2.hid, p2.d""",
 )
 def lpv_intervals(t: Tables):
     _, days, pieces, _ = lpv_status(t)
     table = lpv.interval_table(pieces, days)
-    total = lambda c: F.round(F.coalesce(F.sum(c), F.lit(0.0)), 4)
+    total = lambda c: F.round(F.coalesce(F.sum(c), F.lit(0.0)), 6)
     return text_day(table).groupBy("hospitalization_id", "day").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.sum(F.col("end") - F.col("start")) / F.lit(60000000.0), 4).alias("minutes"),
+        F.round(F.sum(F.col("end") - F.col("start")) / F.lit(60000000.0), 6).alias("minutes"),
         total("vt_per_pbw").alias("vt"),
         total("plateau").alias("plateau"),
         total("driving_pressure").alias("dp"),
@@ -583,3 +584,39 @@ def proning_slices(t: Tables):
     times = ["ttp_q1_h", "ttp_median_h", "ttp_q3_h"]
     cols = ["unit", "dim", "granularity", "period", "n_eligible", "n_ever_proned", "n_adherent", "n_documented"]
     return cube.select(*cols, *[F.round(c, 6).alias(c) for c in times])
+
+
+# ---------------------------------------------------------------- feeds
+
+def parsed_lpv_feed(t: Tables):
+    """The ventilation feed as JSON text, parsed and validated again as the combiner would."""
+    text = lpv.feed(cut_lineage(lpv_cube(t)), CFG.site, CFG.lpv, "2024-02-01T00:00")
+    return feeds.valid_feeds(feeds.parse_feeds(cut_lineage(text)))
+
+
+_FEED = (
+    _LPV
+    + """, gr AS (SELECT *, 'all' AS granularity, 'all' AS period FROM ss UNION ALL SELECT *, 'month', month FROM ss UNION ALL SELECT *, 'week', week FROM ss),
+hd AS (SELECT *, '__ALL__' AS unit FROM gr UNION ALL SELECT *, u FROM gr WHERE u IN ('medical_icu', 'mixed_cardiothoracic_icu', 'surgical_icu', 'mixed_neuro_icu', 'general_icu', 'burn_icu') UNION ALL SELECT *, un FROM gr WHERE un <> 'unknown'),
+cb AS (SELECT unit, period, count(*) AS n, CAST(round_even(sum(total_us) / 3600000000.0, 0) AS DOUBLE) AS hrs, count(*) FILTER (WHERE vt8_status = 'adherent') AS n1, count(*) FILTER (WHERE vt8_status <> 'not_assessable') AS d1,
+   count(*) FILTER (WHERE plat_status = 'adherent') AS n2, count(*) FILTER (WHERE plat_status <> 'not_assessable') AS d2, count(*) FILTER (WHERE dp_status = 'adherent') AS n3, count(*) FILTER (WHERE dp_status <> 'not_assessable') AS d3,
+   count(*) FILTER (WHERE severity = 'severe' AND vt8_status = 'adherent') AS n4, count(*) FILTER (WHERE severity = 'severe' AND vt8_status <> 'not_assessable') AS d4 FROM hd GROUP BY unit, period),
+cells AS (SELECT 'lpv' AS metric_id, 'headline' AS part, unit, period, n1 AS num, d1 AS den, n, hrs FROM cb UNION ALL SELECT 'lpv', 'plat', unit, period, n2, d2, NULL, NULL FROM cb
+   UNION ALL SELECT 'lpv', 'dp', unit, period, n3, d3, NULL, NULL FROM cb UNION ALL SELECT 'lpv', 'vt8sev', unit, period, n4, d4, NULL, NULL FROM cb)
+"""
+)
+
+
+@query("lpv_feed_cells", _FEED + "SELECT * FROM cells")
+def lpv_feed_cells(t: Tables):
+    return feeds.feed_cells(parsed_lpv_feed(t)).select("metric_id", "part", "unit", "period", "num", "den", "n", "hrs")
+
+
+@query(
+    "pooled_feed",
+    _FEED
+    + "SELECT metric_id, 'lpv-v1' AS definition_version, part, period, 1::BIGINT AS n_sites, num, den, false AS drift, round(CASE WHEN den > 0 THEN num / den END, 6) AS rate FROM cells WHERE unit = '__ALL__'",
+)
+def pooled_feed(t: Tables):
+    pooled = feeds.pool_sites(feeds.feed_cells(parsed_lpv_feed(t)))
+    return pooled.withColumn("rate", F.round("rate", 6))
