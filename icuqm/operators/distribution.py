@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from icuqm.session import cut_lineage
 
-RANGES = 64
+RANGES = 32
 
 
 def value_ranks(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str, Column] | None = None, ranges: int = RANGES) -> DataFrame:
@@ -35,9 +36,9 @@ def value_ranks(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str
     counted = cut_lineage(counted)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, probs, 1000).alias("_cuts"))
-    ranged = counted.join(cuts, keys).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col(value)))
-    ).drop("_cuts")
+    # spelled out per cut, because array functions with a lambda leave generated code
+    passed = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(len(probs))]
+    ranged = counted.join(cuts, keys).withColumn("_range", reduce(lambda a, b: a + b, passed)).drop("_cuts")
     span = Window.partitionBy(*keys).orderBy("_range")
     offsets = ranged.groupBy(*keys, "_range").agg(F.sum("n").alias("_in")).select(
         *keys,
