@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,18 +32,30 @@ def use_timezone(spark: SparkSession, tz: str) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's shared checkpoint folder and read it back.
+def shared_root(spark: SparkSession) -> str:
+    """The folder for intermediate data that driver and executors share.
+
+    ``spark.checkpoint.dir`` names it; where that is unset it lies in the warehouse
+    folder. The rule is the same for every master.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+
 
-    The folder comes from ``spark.checkpoint.dir``. Only where that is unset and the
-    session is a single local process does this choose a folder of its own.
+def write_stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet into a new folder under ``shared_root`` and read it back.
+
+    Unlike a checkpoint the stage is columnar, so later readers fetch only the columns
+    they use, and it survives lost executors. Every call has a folder of its own.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="icuqm-checkpoint-"))
-    elif context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    path = f"{shared_root(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder, so that later plans start from its rows."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
