@@ -16,6 +16,8 @@ from icuqm.llm.text import WIDTH, batches_of, byte_texts, overlap, shingle_keys
 from icuqm.session import write_stage
 
 SHARE = 75
+#: A set of n is indexed under n / SLACK tokens more than one common token would need.
+SLACK = 10
 #: Counters of the token sketch and bits of the filter of opened documents; both are bounded
 #: broadcasts. Any size gives the same result, a larger one fewer candidates.
 SKETCH_BITS = 22
@@ -35,7 +37,7 @@ def needed(n: int | np.ndarray, share: int):
 
 def hits_needed(n: int | np.ndarray):
     """Prefix tokens that two similar sets share at least, beyond the usual one."""
-    return 1 + n // 32
+    return 1 + n // SLACK
 
 
 def _measure(share: int, width: int):
@@ -194,7 +196,7 @@ def _verify(share: int, width: int):
     return run
 
 
-def linked_pairs(candidates: DataFrame, opened: DataFrame, share: int, width: int, per_task: int = 2000) -> DataFrame:
+def linked_pairs(candidates: DataFrame, opened: DataFrame, share: int, width: int, per_task: int = 250) -> DataFrame:
     """Those of ``candidates (a, b)`` whose sets have the similarity. A leader with many partners is salted."""
     parts = candidates.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("parts"))
     members = candidates.join(parts, "a").join(opened.withColumnRenamed("id", "b"), "b")
@@ -204,6 +206,11 @@ def linked_pairs(candidates: DataFrame, opened: DataFrame, share: int, width: in
     return rows.mapInArrow(_verify(share, width), "a long, b long")
 
 
+def _wanted(n: str, m: str):
+    """``hits_needed`` of the smaller of two sets."""
+    return 1 + F.floor(F.least(F.col(n), F.col(m)) / SLACK)
+
+
 def compatible(n: str, m: str, share: int):
     """Sizes that allow the similarity."""
     return (F.col(n) * share <= F.col(m) * 100) & (F.col(m) * share <= F.col(n) * 100)
@@ -220,10 +227,11 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     2. Each token's smallest document leads the others. Pairs of leader and follower are
        checked on the whole sets, and those that link form groups.
     3. The token-group matrix holds each group's token union with its range of set sizes. A
-       document is a query against the other groups: the tokens it has in a group's union
-       bound its overlap with every member. Only groups that reach the bound are opened, and
-       only there are pairs of documents checked. Documents of one group are connected
-       already and need no pair.
+       document is a query against the other groups, found without its most crowded tokens:
+       it may leave out as many as a partner shares beyond one, by true counts. All its
+       tokens in a group's union then bound its overlap with every member. Only groups that
+       reach the bound are opened, and only there are pairs of documents checked. Documents
+       of one group are connected already and need no pair.
 
     Defined results: null or wordless text has 0 shingles and is a component of its own. A
     null ``doc_id`` links with nothing and has a null component. Rows that repeat a
@@ -243,17 +251,20 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
 
     tokens = docs.mapInArrow(_prefixes(held, share, width), "token long, salt int, id long, n int, head long")
     led = tokens.withColumns(
-        {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(id)"), ("last", "max(id)"))}
+        {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(struct(id, n))"), ("last", "max(id)"), ("held", "count(*)"))}
+    )
+    shared = write_stage(
+        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m"), "held"),
+        "ngram-shared",
     )
-    shared = write_stage(led.where("head is not null or leader <> last or salt > 0").drop("last"), "ngram-shared")
     copies = shared.where("head is not null").select(F.col("head").alias("a"), F.col("id").alias("b"))
     index = shared.where("head is null")
 
-    stars = index.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-    salted = index.where("id = leader").select("token", "id").join(
-        index.where("salt > 0 and id = leader").groupBy("token").agg(F.min("id").alias("first")), "token"
-    )
-    stars = stars.union(salted.where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))).distinct()
+    stars = index.where("id <> leader").select(F.col("leader").alias("a"), "m", F.col("id").alias("b"), "n")
+    firsts = index.where("salt > 0 and id = leader").groupBy("token").agg(F.min(F.struct("id", "n")).alias("first"))
+    salted = index.where("salt > 0 and id = leader").select("token", "id", "n").join(firsts, "token").where("id <> first.id")
+    stars = stars.union(salted.select("first.id", "first.n", "id", "n")).where(compatible("n", "m", share)).groupBy("a", "b").agg(F.count("*").alias("hits"), F.min("n").alias("n"), F.min("m").alias("m"))
+    stars = write_stage(stars.where(F.col("hits") >= _wanted("n", "m")).select("a", "b"), "ngram-stars")
 
     parts = index.select("id").mapInArrow(_filter_of, "bits binary").rdd.map(lambda r: np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), dtype=np.uint8))
     bits = parts.treeAggregate(np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8), np.bitwise_or, np.bitwise_or)
@@ -262,22 +273,24 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     first = write_stage(copies.union(linked_pairs(stars, opened, share, width)), "ngram-links")
     group = components(first, "ngram-groups")
 
-    owned = index.select("token", "id", "n").distinct().join(group, "id", "left").select("token", "id", "n", F.coalesce("component", "id").alias("own"))
-    owned = write_stage(owned, "ngram-owned")
-    mixed = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
-    owned = write_stage(owned.join(mixed, "token"), "ngram-mixed")
-    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    met = owned.join(matrix, "token").where(
-        (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
-    )
-    bound = F.least(1 + F.floor(F.col("n") / 32), 1 + F.floor(F.col("least") / 32))
-    open_to = met.groupBy("id", "other").agg(F.count("*").alias("hits"), F.min(bound).alias("wanted")).where("hits >= wanted").select("id", "other")
-    asked = owned.join(open_to, "id").select("token", "id", "n", "other")
+    crowd = index.where("salt > 0").groupBy("token").agg(F.sum("held").alias("all"))
+    owned = index.groupBy("token", "id", "n").agg(F.max("held").alias("held")).join(crowd, "token", "left").join(group, "id", "left")
+    owned = owned.select("token", "id", "n", F.coalesce("all", "held").alias("held"), F.coalesce("component", "id").alias("own"))
+    place = F.expr("row_number() over (partition by id, n order by held desc, token)")
+    least_n = -F.floor(-F.col("n") * share / 100)
+    owned = write_stage(owned.withColumn("probe", place > F.floor(least_n / SLACK)).drop("held"), "ngram-owned")
+    torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
+    owned = write_stage(owned.join(torn, "token"), "ngram-torn")
+    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("probe").alias("probed"))
+    fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
+    near = owned.where("probe").join(matrix.where("probed"), "token").where(fits).select("id", "n", "other").distinct()
+    bound = owned.join(near, ["id", "n"]).join(matrix, ["token", "other"]).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
+    opened_to = bound.where(F.col("hits") >= _wanted("n", "least")).select("id", "n", "other")
+    asked = owned.join(opened_to, ["id", "n"]).select("token", "id", "n", "other")
     inside = owned.select("token", F.col("own").alias("other"), F.col("id").alias("member"), F.col("n").alias("m"))
-    pairs = asked.join(inside, ["token", "other"]).where(compatible("n", "m", share))
-    wanted = F.least(1 + F.floor(F.min("n") / 32), 1 + F.floor(F.min("m") / 32))
-    pairs = pairs.groupBy("id", "member").agg(F.count("*").alias("hits"), wanted.alias("wanted")).where("hits >= wanted")
-    pairs = write_stage(pairs.select(F.col("id").alias("a"), F.col("member").alias("b")), "ngram-pairs")
+    pairs = asked.join(inside, ["token", "other"]).where(compatible("n", "m", share)).groupBy("id", "n", "member", "m").agg(F.count("*").alias("hits"))
+    pairs = pairs.where(F.col("hits") >= _wanted("n", "m")).select(F.col("id").alias("a"), F.col("member").alias("b")).distinct()
+    pairs = write_stage(pairs, "ngram-pairs")
     second = linked_pairs(pairs, opened, share, width)
     final = components(group.select(F.col("component").alias("a"), F.col("id").alias("b")).union(second), "ngram-final")
     return sizes.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
