@@ -52,7 +52,7 @@ def format_chats(rows: DataFrame) -> DataFrame:
 
     ``formatted`` is the rendered text, ``turns`` what the parser recovers from it, ``loss``
     the recovered assistant texts in order, ``escaped`` the number of turns that had to be
-    escaped. A turn stays as written if it alone survives the round trip; then the whole is
+    escaped. A turn stays as written if it holds no control string and alone survives the round trip; then the whole is
     parsed again, and where it still differs every turn is escaped, which no content can
     break. A whole that differed even then would stop the job.
 
@@ -64,7 +64,8 @@ def format_chats(rows: DataFrame) -> DataFrame:
     """
     rows = rows.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     alone = F.array(F.struct("role", "text"))
-    rows = rows.withColumn("safe", F.coalesce(parse(render(alone)) == alone, F.lit(False)))
+    marked = F.rlike(F.concat_ws("\n", "role", "text"), F.lit(r"<\|im_(start|end)\|>"))
+    rows = rows.withColumn("safe", F.coalesce(parse(render(alone)) == alone, F.lit(False)) & ~marked)
     rows = rows.withColumns(
         {"shown_role": F.when(F.col("safe"), F.col("role")).otherwise(escape_role(F.col("role"))), "shown": F.when(F.col("safe"), F.col("text")).otherwise(escape(F.col("text")))}
     )
