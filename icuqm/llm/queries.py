@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuqm.llm import chat, exact_dedup, quality, url_filter
+from icuqm.llm import bpe, chat, exact_dedup, packing, quality, toxicity, url_filter
 from icuqm.llm.ngram_join import ngram_groups
 
 
@@ -14,6 +14,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where the public vocabulary files lie on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_groups(_table(spark, folder, "documents"))
 
@@ -25,11 +32,23 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.union(added)))
 
 
+def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return exact_dedup.exact_groups(docs, exact_dedup.newer_half(docs))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -41,7 +60,16 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    known = (op1_ngram_jaccard_join, op2_chat_formatting, op7_exact_dedup, op9_url_filters, op10_quality_rules)
+    known = (
+        op1_ngram_jaccard_join,
+        op2_chat_formatting,
+        op4_bpe_encoding,
+        op6_best_fit_packing,
+        op7_exact_dedup,
+        op8_toxicity,
+        op9_url_filters,
+        op10_quality_rules,
+    )
     return {f.__name__: f for f in known}
 
 
