@@ -17,7 +17,7 @@ from icuqm.session import write_stage
 
 SHARE = 75
 #: A set of n is indexed under n / SLACK tokens more than one common token would need.
-SLACK = 10
+SLACK = 16
 #: Counters of the token sketch and bits of the filter of opened documents; both are bounded
 #: broadcasts. Any size gives the same result, a larger one fewer candidates.
 SKETCH_BITS = 22
@@ -89,17 +89,18 @@ def _levels(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(levels, share: int, width: int):
-    """Rows ``(token, salt, id, n, head)``: the rarest tokens of each set under one order for all documents.
+    """Rows ``(token, salt, id, n, pos, head)``: the rarest tokens of each set under one order for all documents.
 
     Order: frequency level, then key. Of two sets with the wanted similarity, the prefixes of
     ``n - needed(n) + hits_needed(n)`` tokens share at least the smaller ``hits_needed``. A
+    ``pos`` is a token's place in its set under that order. A
     copy met again in the same task is not indexed; its row names the first one as ``head``.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = levels.value, {}
         for frame in batches_of(frames):
-            tokens, salts, ids, sizes, copies, heads = [], [], [], [], [], []
+            tokens, salts, ids, sizes, places, copies, heads = [], [], [], [], [], [], []
             for doc_id, data in zip(frame.column("doc_id").to_pylist(), byte_texts(frame.column("text")), strict=True):
                 keys = shingle_keys(data, width)
                 if doc_id is None or len(keys) == 0:
@@ -116,25 +117,22 @@ def _prefixes(levels, share: int, width: int):
                 take = len(keys) - needed(len(keys), share) + hits_needed(len(keys))
                 if take < len(keys):
                     # ties at the border all stay
-                    kept = order <= np.partition(order, take - 1)[take - 1]
-                    order, level = order[kept], level[kept]
-                spread = (2.0 ** (level.astype(np.float64) / LEVEL_STEP) // PER_TASK).astype(np.int64) + 1
+                    order = order[order <= np.partition(order, take - 1)[take - 1]]
+                order.sort()
+                spread = (2.0 ** ((order >> np.uint64(56)).astype(np.float64) / LEVEL_STEP) // PER_TASK).astype(np.int64) + 1
                 tokens.append(order.view(np.int64))
                 salts.append(np.where(spread > 1, 1 + hash(doc_id) % spread, 0))
                 ids.append(np.full(len(order), doc_id, dtype=np.int64))
-                sizes.append(np.full(len(order), len(keys), dtype=np.int64))
+                sizes.append(np.full(len(order), len(keys), dtype=np.int32))
+                places.append(np.arange(len(order), dtype=np.int32))
+            names = ["token", "salt", "id", "n", "pos", "head"]
             if tokens:
-                columns = [np.concatenate(x) for x in (tokens, salts, ids, sizes)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1].astype(np.int32)), pa.array(columns[2]), pa.array(columns[3].astype(np.int32)), pa.nulls(len(columns[0]), pa.int64())],
-                    ["token", "salt", "id", "n", "head"],
-                )
+                columns = [pa.array(np.concatenate(x)) for x in (tokens, salts, ids, sizes, places)]
+                columns[1] = columns[1].cast(pa.int32())
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.int64())], names)
             if copies:
-                k = len(copies)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(copies, pa.int64()), pa.array([-1] * k, pa.int32()), pa.array(copies, pa.int64()), pa.array([0] * k, pa.int32()), pa.array(heads, pa.int64())],
-                    ["token", "salt", "id", "n", "head"],
-                )
+                none = pa.array([0] * len(copies), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(copies, pa.int64()), none, pa.array(copies, pa.int64()), none, none, pa.array(heads, pa.int64())], names)
 
     return run
 
@@ -226,12 +224,12 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     1. Documents are indexed under their rarest tokens (``_prefixes``).
     2. Each token's smallest document leads the others. Pairs of leader and follower are
        checked on the whole sets, and those that link form groups.
-    3. The token-group matrix holds each group's token union with its range of set sizes. A
-       document is a query against the other groups, found without its most crowded tokens:
-       it may leave out as many as a partner shares beyond one, by true counts. All its
-       tokens in a group's union then bound its overlap with every member. Only groups that
-       reach the bound are opened, and only there are pairs of documents checked. Documents
-       of one group are connected already and need no pair.
+    3. The token-group matrix holds each group's token union with its range of set sizes and
+       the most that a member can still share from the token on. A document is a query
+       against the other groups: the first token it has in common bounds its overlap by what
+       is left on both sides, then the number of its tokens in the group's union does. Only
+       groups that reach both bounds are opened, and only there are pairs of documents
+       checked. Documents of one group are connected already and need no pair.
 
     Defined results: null or wordless text has 0 shingles and is a component of its own. A
     null ``doc_id`` links with nothing and has a null component. Rows that repeat a
@@ -249,12 +247,12 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
         level[row["part"]] = np.frombuffer(row["level"], dtype=np.uint8)
     held = spark.sparkContext.broadcast(level.ravel())
 
-    tokens = docs.mapInArrow(_prefixes(held, share, width), "token long, salt int, id long, n int, head long")
+    tokens = docs.mapInArrow(_prefixes(held, share, width), "token long, salt int, id long, n int, pos int, head long")
     led = tokens.withColumns(
-        {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(struct(id, n))"), ("last", "max(id)"), ("held", "count(*)"))}
+        {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(struct(id, n))"), ("last", "max(id)"))}
     )
     shared = write_stage(
-        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m"), "held"),
+        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "pos", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m")),
         "ngram-shared",
     )
     copies = shared.where("head is not null").select(F.col("head").alias("a"), F.col("id").alias("b"))
@@ -273,17 +271,17 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     first = write_stage(copies.union(linked_pairs(stars, opened, share, width)), "ngram-links")
     group = components(first, "ngram-groups")
 
-    crowd = index.where("salt > 0").groupBy("token").agg(F.sum("held").alias("all"))
-    owned = index.groupBy("token", "id", "n").agg(F.max("held").alias("held")).join(crowd, "token", "left").join(group, "id", "left")
-    owned = owned.select("token", "id", "n", F.coalesce("all", "held").alias("held"), F.coalesce("component", "id").alias("own"))
-    place = F.expr("row_number() over (partition by id, n order by held desc, token)")
-    least_n = -F.floor(-F.col("n") * share / 100)
-    owned = write_stage(owned.withColumn("probe", place > F.floor(least_n / SLACK)).drop("held"), "ngram-owned")
+    owned = index.groupBy("token", "id", "n").agg(F.min("pos").alias("pos")).join(group, "id", "left")
+    owned = owned.select("token", "id", "n", "pos", F.coalesce("component", "id").alias("own"))
     torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
     owned = write_stage(owned.join(torn, "token"), "ngram-torn")
-    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("probe").alias("probed"))
+    # what a set can still share from this place on, against the least that similar sets share
+    room = F.col("n") * 100 - F.col("pos") * (100 + share)
+    first = room >= -F.floor(-F.col("n") * share / 100) * share
+    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(room).alias("room"))
     fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
-    near = owned.where("probe").join(matrix.where("probed"), "token").where(fits).select("id", "n", "other").distinct()
+    fits = fits & (F.col("asked") >= F.col("least") * share) & (F.col("room") >= F.col("n") * share)
+    near = owned.where(first).select("token", "id", "n", "own", room.alias("asked")).join(matrix, "token").where(fits).select("id", "n", "other").distinct()
     bound = owned.join(near, ["id", "n"]).join(matrix, ["token", "other"]).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
     opened_to = bound.where(F.col("hits") >= _wanted("n", "least")).select("id", "n", "other")
     asked = owned.join(opened_to, ["id", "n"]).select("token", "id", "n", "other")
