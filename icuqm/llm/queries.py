@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuqm.llm import bpe, chat, exact_dedup, packing, quality, toxicity, url_filter
+from icuqm.llm import bpe, chat, exact_dedup, packing, pii, quality, toxicity, url_filter
 from icuqm.llm.ngram_join import ngram_groups
 
 
@@ -36,6 +36,14 @@ def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+#: The key of the query's surrogates; a deployment passes its own secret.
+KEY = "query key"
+
+
+def op5_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymise(_table(spark, folder, "documents").select("doc_id", "text"), KEY)
+
+
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -64,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_ngram_jaccard_join,
         op2_chat_formatting,
         op4_bpe_encoding,
+        op5_pii_surrogates,
         op6_best_fit_packing,
         op7_exact_dedup,
         op8_toxicity,
