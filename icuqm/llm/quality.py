@@ -140,9 +140,11 @@ def judge(docs: DataFrame, max_class: float = MAX_CLASS, max_common: float = MAX
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
         distance([*classes, rest], PROSE).alias("class_distance"),
         F.least(*nearest).alias("common_distance"),
-    )
+    )
     far = (F.col("class_distance") > max_class) | ((F.col("n_words") >= MIN_COMMON_WORDS) & (F.col("common_distance") > max_common))
-    return scored.withColumn("kept", ~F.col("base_failed") & ~far)
+    scored = scored.withColumn("kept", ~F.col("base_failed") & ~far)
+    # a filter on the verdict would be pushed below and repeat every expression above; it stops at this step
+    return scored.select(F.inline(F.array(F.struct(*scored.columns))))
 
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
