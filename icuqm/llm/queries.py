@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuqm.llm import bpe, chat, exact_dedup, packing, pii, quality, toxicity, url_filter
+from icuqm.llm import bpe, chat, class_lm, exact_dedup, packing, pii, quality, toxicity, url_filter
 from icuqm.llm.ngram_join import ngram_groups
 
 
@@ -32,6 +32,10 @@ def op2_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_chats(rows.union(added)))
 
 
+def op3_class_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return class_lm.score(_table(spark, folder, "documents"))
+
+
 def op4_bpe_encoding(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(_table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -71,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (
         op1_ngram_jaccard_join,
         op2_chat_formatting,
+        op3_class_lm,
         op4_bpe_encoding,
         op5_pii_surrogates,
         op6_best_fit_packing,
