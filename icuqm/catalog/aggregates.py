@@ -428,31 +428,32 @@ def sizing(t: Tables):
 
 @query(
     "unit_year_matrix",
-    """SELECT o_orderpriority, count(*) FILTER (WHERE y = 1995) AS "1995", count(*) FILTER (WHERE y = 1996) AS "1996", count(*) FILTER (WHERE y = 1997) AS "1997", count(*) AS total
-FROM (SELECT *, year(o_orderdate) AS y FROM orders) GROUP BY o_orderpriority""",
+    """SELECT o_orderpriority, y, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY o_orderpriority) AS BIGINT) AS total
+FROM (SELECT *, year(o_orderdate) AS y FROM orders) GROUP BY o_orderpriority, y""",
 )
 def matrix(t: Tables):
-    return profile.count_matrix(t.orders.withColumn("y", F.year("o_orderdate")), "o_orderpriority", "y", [1995, 1996, 1997])
+    return profile.count_matrix(t.orders.withColumn("y", F.year("o_orderdate")), "o_orderpriority", "y")
 
 
-_MONTHLY = """WITH c AS (SELECT date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders WHERE o_totalprice > 400000 GROUP BY 1),
-cal AS (SELECT unnest(generate_series((SELECT min(m) FROM c)::TIMESTAMP, (SELECT max(m) FROM c)::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m),
-f AS (SELECT cal.m, coalesce(c.n, 0) AS n FROM cal LEFT JOIN c ON c.m = cal.m),
-l AS (SELECT *, lag(n) OVER (ORDER BY m) AS b FROM f),
-s AS (SELECT strftime(m, '%Y-%m') AS month, n, CASE WHEN b > 0 THEN (n - b) / b END AS change FROM l)
+_MONTHLY = """WITH c AS (SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS m, count(*) AS n FROM orders GROUP BY 1, 2),
+span AS (SELECT o_custkey, min(m) AS lo, max(m) AS hi FROM c GROUP BY 1),
+cal AS (SELECT o_custkey, unnest(generate_series(lo::TIMESTAMP, hi::TIMESTAMP, INTERVAL 1 MONTH))::DATE AS m FROM span),
+f AS (SELECT cal.o_custkey, cal.m, coalesce(c.n, 0) AS n FROM cal LEFT JOIN c ON c.m = cal.m AND c.o_custkey = cal.o_custkey),
+l AS (SELECT *, lag(n) OVER (PARTITION BY o_custkey ORDER BY m) AS b FROM f),
+s AS (SELECT o_custkey, strftime(m, '%Y-%m') AS month, n, CASE WHEN b > 0 THEN (n - b) / b END AS change FROM l)
 """
 
 
-@query("monthly_series", _MONTHLY + "SELECT month, n, round(change, 6) AS change FROM s")
+@query("monthly_series", _MONTHLY + "SELECT o_custkey, month, n, round(change, 6) AS change FROM s")
 def monthly(t: Tables):
-    big = t.orders.where("o_totalprice > 400000").withColumn("day", F.col("o_orderdate").cast("date"))
-    return profile.monthly_series(big, "day").withColumn("change", F.round("change", 6))
+    days = t.orders.withColumn("day", F.col("o_orderdate").cast("date"))
+    return profile.monthly_series(days, ["o_custkey"], "day").withColumn("change", F.round("change", 6))
 
 
-@query("monthly_swings", _MONTHLY + "SELECT month, n, round(change, 6) AS change FROM s WHERE change IS NOT NULL ORDER BY abs(change) DESC, month LIMIT 5")
+@query("monthly_swings", _MONTHLY + "SELECT o_custkey, month, n, round(change, 6) AS change FROM s WHERE change IS NOT NULL ORDER BY abs(change) DESC, month, o_custkey LIMIT 5")
 def swings(t: Tables):
-    big = t.orders.where("o_totalprice > 400000").withColumn("day", F.col("o_orderdate").cast("date"))
-    return profile.top_swings(profile.monthly_series(big, "day"), 5).withColumn("change", F.round("change", 6))
+    days = t.orders.withColumn("day", F.col("o_orderdate").cast("date"))
+    return profile.top_swings(profile.monthly_series(days, ["o_custkey"], "day"), ["o_custkey"], 5).withColumn("change", F.round("change", 6))
 
 
 @query(
@@ -585,12 +586,10 @@ SELECT o_custkey, bool_or(k IS NOT NULL) AS present, coalesce(bool_or(m >= 45),
   coalesce(max(m), 0) AS longest, strftime(min(f), '%Y-%m-%d') AS first_day FROM orders LEFT JOIN s ON l_orderkey = o_orderkey GROUP BY o_custkey""",
 )
 def rollup(t: Tables):
-    # one list of order keys per customer, exploded back before the join, as block-level data arrive
-    blocks = t.orders.groupBy("o_custkey").agg(F.collect_list("o_orderkey").alias("ids"))
     per = t.lineitem.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("k"), F.sum("l_quantity").alias("h"), F.max("l_quantity").alias("m"), F.min("l_shipdate").alias("f")
     )
-    keyed = blocks.select("o_custkey", F.explode("ids").alias("l_orderkey")).join(per, "l_orderkey", "left")
+    keyed = t.orders.select("o_custkey", F.col("o_orderkey").alias("l_orderkey")).join(per, "l_orderkey", "left")
     return keyed.groupBy("o_custkey").agg(
         F.bool_or(F.col("k").isNotNull()).alias("present"),
         F.coalesce(F.bool_or(F.col("m") >= 45), F.lit(False)).alias("any_long"),
@@ -641,9 +640,18 @@ def violations(t: Tables):
     return checks.violations(user_days(t), rules)
 
 
+_TOTALS = f"""WITH {_USER_DAYS.strip()[4:]},
+u AS (SELECT unit, count(*) AS n FROM sd GROUP BY unit), a AS (SELECT count(*) AS n FROM sd),
+g AS (SELECT 'units' AS part, sum(n) AS n FROM u UNION ALL SELECT 'month', sum(n) FROM (SELECT count(*) AS n FROM sd GROUP BY month)
+      UNION ALL SELECT 'week', sum(n) FROM (SELECT count(*) AS n FROM sd GROUP BY week)),
+nm AS (SELECT unit, sum(n) AS n FROM (SELECT unit, unit_name, count(*) AS n FROM sd GROUP BY unit, unit_name) GROUP BY unit)
+"""
+
+
 @query(
     "cube_reconciles",
-    f"WITH {_USER_DAYS.strip()[4:]} SELECT count(*) - count(*) AS n_mismatching_groups, count(*) AS n_days FROM sd",
+    _TOTALS
+    + """SELECT (SELECT count(*) FROM g, a WHERE g.n <> a.n) + (SELECT count(*) FROM u JOIN nm USING (unit) WHERE u.n <> nm.n) AS n_mismatching_groups, (SELECT n FROM a) AS n_days""",
 )
 def integrity(t: Tables):
     days = user_days(t)
@@ -651,6 +659,26 @@ def integrity(t: Tables):
     return bad.agg(F.count(F.lit(1)).alias("n_mismatching_groups")).crossJoin(F.broadcast(days.agg(F.count(F.lit(1)).alias("n_days"))))
 
 
+@query(
+    "damaged_cube_is_reported",
+    _TOTALS
+    + """, w AS (SELECT min(unit) AS unit FROM u),
+d AS (SELECT u.unit, u.n + CASE WHEN u.unit = w.unit THEN 1 ELSE 0 END AS n FROM u, w)
+SELECT 'units' AS "group", (SELECT n FROM a) AS n_total, CAST((SELECT sum(n) FROM d) AS BIGINT) AS n_found
+UNION ALL SELECT d.unit, d.n, CAST(nm.n AS BIGINT) FROM d JOIN nm USING (unit) WHERE d.n <> nm.n""",
+)
+def damaged(t: Tables):
+    """A cube with one day too many in its first unit: the units' sum and that unit's names must be reported."""
+    cube = slice_cube(user_days(t), {"n": F.count(F.lit(1))})
+    unit_rows = (F.col("dim") == "type") & (F.col("granularity") == "all") & (F.col("unit") != "__ALL__")
+    first = cube.where(unit_rows).agg(F.min("unit").alias("first"))
+    cube = cube.join(F.broadcast(first)).withColumn("n", F.col("n") + F.when(unit_rows & (F.col("unit") == F.col("first")), 1).otherwise(0)).drop("first")
+    bad = checks.slice_integrity(cube, ["n"])
+    total = F.when(F.col("group") == "units", F.col("other_n")).otherwise(F.col("other_n"))
+    found = F.col("n")
+    return bad.select("group", total.alias("n_total"), found.alias("n_found"))
+
+
 @query(
     "names_that_do_not_nest",
     "SELECT p_brand, min(p_type) AS lowest, max(p_type) AS highest FROM part GROUP BY p_brand HAVING min(p_type) <> max(p_type)",

@@ -419,7 +419,7 @@ hf AS (SELECT dd.b, dd.d, t, coalesce(fio2 <= 0.5 AND peep <= 8 AND spo2 >= 88,
 {_run("oxy")}, {_run("vaso")}, {_run("bothf")},
 hc AS (SELECT b, d, count(*) FILTER (WHERE bothf) AS n_stable, count(*) AS n_sc, count(*) FILTER (WHERE known) AS n_known FROM hf GROUP BY b, d),
 ps1 AS (SELECT b, t, dose, act, coalesce(lead(t) OVER (PARTITION BY b ORDER BY t), t + {DAY}) AS e FROM med JOIN blk USING (hid) WHERE drug = 'cisatracurium'),
-pl AS (SELECT dd.b, dd.d, count(ps1.t) > 0 AS par FROM dd LEFT JOIN ps1 ON ps1.b = dd.b AND dose > 0 AND coalesce(act <> 'stop', true) AND ps1.t < dd.hi AND ps1.e > dd.lo AND ps1.e > ps1.t GROUP BY dd.b, dd.d),
+pl AS (SELECT dd.b, dd.d, count(ps1.t) > 0 AS par FROM dd LEFT JOIN ps1 ON ps1.b = dd.b AND dose > 0 AND act <> 'stop' AND ps1.t < dd.hi AND ps1.e > dd.lo AND ps1.e > ps1.t GROUP BY dd.b, dd.d),
 nr AS (SELECT b, t, CASE WHEN dev = 'imv' AND mode IN {_CTRL} THEN 'controlled' WHEN mode = {_SUP} AND (dev = 'cpap' OR ps IS NULL OR ps = 0) AND peep <= 5 THEN 'cpap'
    WHEN mode = {_SUP} AND NOT coalesce(dev = 'cpap' OR ps IS NULL OR ps = 0, false) AND peep <= 8 THEN 'ps' WHEN mode = {_SUP} THEN 'weak' ELSE 'other' END AS c FROM fs WHERE NOT sc),
 n1 AS (SELECT *, coalesce(lead(t) OVER w, t + {HOUR}) AS e, CASE WHEN lag(c) OVER w IS NULL OR lag(c) OVER w <> c THEN 1 ELSE 0 END AS chg FROM nr WINDOW w AS (PARTITION BY b ORDER BY t, c)),
@@ -504,7 +504,7 @@ f1 AS (SELECT b, t AS ft, sc, dev, CASE WHEN fio2 / k BETWEEN 0.15::DOUBLE AND 1
 ga AS (SELECT b, lab.hid, col_t AS t, v FROM lab JOIN blk USING (hid) WHERE v > 0),
 gb AS (SELECT ga.*, dev, fio2, peep, v / fio2 AS pf FROM ga ASOF LEFT JOIN f1 ON f1.b = ga.b AND ga.t >= ft WHERE ga.t - ft <= {6 * HOUR} AND fio2 IS NOT NULL),
 gc AS (SELECT gb.*, i FROM gb JOIN icu ON icu.b = gb.b AND t BETWEEN i AND o WHERE pf BETWEEN 10 AND 1000),
-gd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b, hid, t ORDER BY i) AS rn FROM gc) WHERE rn = 1),
+gd AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY b, t ORDER BY i, hid, v) AS rn FROM gc) WHERE rn = 1),
 t0b AS (SELECT * FROM (SELECT gd.*, pid, row_number() OVER (PARTITION BY gd.b ORDER BY t, gd.hid) AS r2 FROM gd JOIN blk ON blk.hid = gd.hid WHERE dev = 'imv' AND peep >= 1 AND fio2 >= 0.32::DOUBLE AND pf <= 300 AND age >= 18) WHERE r2 = 1),
 t0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY t, b) AS r3 FROM t0b) WHERE r3 = 1),
 me AS (SELECT gd.b, gd.t, gd.dev = 'imv' AND gd.peep >= 1 AND gd.fio2 >= 0.32::DOUBLE AND gd.pf <= 250 AS m FROM gd JOIN t0 ON t0.b = gd.b AND gd.t >= t0.t),

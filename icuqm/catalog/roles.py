@@ -103,12 +103,14 @@ def icu_tables(t: Tables) -> dict[str, DataFrame]:
         at(40).alias("lab_result_dttm"),
         (v * 1.5 + 40).alias("lab_value_numeric"),
     )
+    # a second gas at the same time, with another value
+    labs = labs.unionByName(labs.where("lab_value_numeric < 100").withColumn("lab_value_numeric", F.col("lab_value_numeric") + 30))
     drug = (
         F.when(kind == "view", "propofol")
         .when(kind == "click", "fentanyl")
         .when(kind == "purchase", "norepinephrine")
         .when(kind == "signup", "dexmedetomidine")
-        .when(v > 60, "cisatracurium")
+        .when((v > 60) | v.between(7, 8), "cisatracurium")
         .otherwise("midazolam")
     )
     meds = ev.select(
@@ -159,9 +161,10 @@ vit AS (SELECT hid, 'spo2' AS cat, us + {20 * MINUTE} AS t, value / 10 + 85 AS v
    UNION ALL SELECT hid, 'spo2', us + {55 * MINUTE}, value / 10 + 88 FROM ev WHERE event_type = 'purchase'
    UNION ALL SELECT hid, 'height_cm', us, value / 4 + 150 FROM ev WHERE event_type = 'signup'
    UNION ALL SELECT hid, 'weight_kg', us, value / 2 + 50 FROM ev WHERE event_type = 'signup'),
-lab AS (SELECT hid, us + {10 * MINUTE} AS col_t, us + {40 * MINUTE} AS res_t, value * 1.5 + 40 AS v FROM ev WHERE event_type = 'view'),
+lab0 AS (SELECT hid, us + {10 * MINUTE} AS col_t, us + {40 * MINUTE} AS res_t, value * 1.5 + 40 AS v FROM ev WHERE event_type = 'view'),
+lab AS (SELECT * FROM lab0 UNION ALL SELECT hid, col_t, res_t, v + 30 FROM lab0 WHERE v < 100),
 med AS (SELECT hid, us AS t, CASE event_type WHEN 'view' THEN 'propofol' WHEN 'click' THEN 'fentanyl' WHEN 'purchase' THEN 'norepinephrine' WHEN 'signup' THEN 'dexmedetomidine'
-   ELSE CASE WHEN value > 60 THEN 'cisatracurium' ELSE 'midazolam' END END AS drug, CASE WHEN value < 5 THEN 0 ELSE value / 10 END AS dose,
+   ELSE CASE WHEN value > 60 OR value BETWEEN 7 AND 8 THEN 'cisatracurium' ELSE 'midazolam' END END AS drug, CASE WHEN value < 5 THEN 0 ELSE value / 10 END AS dose,
    CASE WHEN event_type = 'view' THEN 'mcg/kg/min' ELSE 'mcg/min' END AS unit,
    CASE WHEN value BETWEEN 5 AND 7 THEN 'stop' WHEN value NOT BETWEEN 7 AND 9 THEN 'start' END AS act FROM ev),
 pos AS (SELECT hid, us AS t, CASE WHEN value < 20 THEN 'prone' WHEN value < 60 THEN 'not_prone' ELSE 'chair' END AS p FROM ev WHERE event_type = 'click')

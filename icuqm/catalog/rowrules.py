@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from icuqm.config import UNIT_ORDER
 from icuqm.catalog.base import Tables, query
 from icuqm.functions import clinical
 from icuqm.operators.distribution import exact_quantiles
@@ -64,17 +65,26 @@ def percent(t: Tables):
 
 @query(
     "keyword_buckets",
-    """SELECT CASE WHEN regexp_matches(lower(p_name), 'rocuronium|vecuronium') THEN 'paralytic' WHEN regexp_matches(lower(p_name), 'precedex|dexmedetomidine') THEN 'dexmedetomidine'
-   WHEN regexp_matches(lower(p_name), 'propofol|midazolam|fentanyl|ketamine|morphine') THEN 'sat_relevant' ELSE 'other' END AS bucket, count(*) AS n FROM part GROUP BY 1""",
+    """WITH drug AS (SELECT CASE p_partkey % 7 WHEN 0 THEN 'Rocuronium inj' WHEN 1 THEN 'PRECEDEX drip' WHEN 2 THEN 'propofol 1%' WHEN 3 THEN 'Fentanyl/morphine'
+   WHEN 4 THEN 'cisatracurium+midazolam' WHEN 5 THEN NULL ELSE 'saline' END AS txt FROM part)
+SELECT CASE WHEN txt ILIKE '%curonium%' OR txt ILIKE '%atracurium%' THEN 'paralytic' WHEN txt ILIKE '%precedex%' THEN 'dexmedetomidine'
+   WHEN txt ILIKE '%propofol%' OR txt ILIKE '%fentanyl%' OR txt ILIKE '%midazolam%' THEN 'sat_relevant' ELSE 'other' END AS bucket, count(*) AS n FROM drug GROUP BY 1""",
 )
 def keywords(t: Tables):
-    return t.part.groupBy(clinical.drug_bucket(F.col("p_name")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    texts = ["Rocuronium inj", "PRECEDEX drip", "propofol 1%", "Fentanyl/morphine", "cisatracurium+midazolam", None, "saline"]
+    text = F.get(F.array(*[F.lit(x) for x in texts]), (F.col("p_partkey") % 7).cast("int"))
+    return t.part.groupBy(clinical.drug_bucket(text).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
     "canonical_order",
-    """SELECT c_mktsegment, CASE c_mktsegment WHEN 'medical_icu' THEN 0 ELSE 99 END AS rank, count(*) AS n FROM customer GROUP BY c_mktsegment""",
+    """WITH u AS (SELECT CASE c_custkey % 7 WHEN 0 THEN 'burn_icu' WHEN 1 THEN 'general_icu' WHEN 2 THEN 'medical_icu' WHEN 3 THEN 'mixed_cardiothoracic_icu'
+   WHEN 4 THEN 'mixed_neuro_icu' WHEN 5 THEN 'surgical_icu' ELSE c_mktsegment END AS unit FROM customer)
+SELECT unit, CASE unit WHEN 'medical_icu' THEN 0 WHEN 'mixed_cardiothoracic_icu' THEN 1 WHEN 'surgical_icu' THEN 2 WHEN 'mixed_neuro_icu' THEN 3
+   WHEN 'general_icu' THEN 4 WHEN 'burn_icu' THEN 5 ELSE 99 END AS rank, count(*) AS n FROM u GROUP BY unit""",
 )
 def ordered_units(t: Tables):
-    out = t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).withColumn("rank", unit_rank(F.col("c_mktsegment")))
-    return out.orderBy("rank", F.desc("n"), "c_mktsegment").select("c_mktsegment", "rank", "n")
+    slugs = F.array(*[F.lit(u) for u in sorted(UNIT_ORDER)])
+    unit = F.coalesce(F.get(slugs, (F.col("c_custkey") % 7).cast("int")), "c_mktsegment")
+    out = t.customer.groupBy(unit.alias("unit")).agg(F.count(F.lit(1)).alias("n")).withColumn("rank", unit_rank(F.col("unit")))
+    return out.orderBy("rank", F.desc("n"), "unit").select("unit", "rank", "n")

@@ -46,8 +46,8 @@ FORBIDDEN_IN_FEEDS = ("hospitalization_id", "patient_id")
 
 @dataclass(frozen=True)
 class Site:
-    name: str = "unknown"
-    timezone: str = "US/Central"
+    name: str
+    timezone: str
     data_version: str | None = None
     code_version: str | None = None
     unit_labels: tuple[tuple[str, str], ...] = ()
@@ -166,6 +166,7 @@ class BreathingTrial:
     cap: int = DAY
     assessable_gates_stability: bool = False
     close_at_cap: bool = False
+    null_action_is_running: bool = False
     definition_version: str = "sbt-v1"
 
 
@@ -194,7 +195,7 @@ class Proning:
 
 @dataclass(frozen=True)
 class Config:
-    site: Site = field(default_factory=Site)
+    site: Site | None = None
     lpv: LungProtection = field(default_factory=LungProtection)
     severity: Severity = field(default_factory=Severity)
     sat: Sedation = field(default_factory=Sedation)

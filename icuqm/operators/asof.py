@@ -26,7 +26,7 @@ def asof_join(
 
     ``tolerance`` (microseconds, inclusive) blanks an older match. ``strict`` asks for an
     earlier time instead of an equal one. Of right rows at one time the last by ``tiebreak``
-    wins. Left rows need a key and a time.
+    wins. A left row without a key or a time matches nothing and stays.
     """
     by = list(by)
     extra = [c for c in right.columns if c not in by]
@@ -42,7 +42,11 @@ def asof_join(
         F.struct(*order).alias("_order"),
         match.alias("_right"),
     )
-    asked = left.select(
+    placed = F.col(left_on).isNotNull()
+    for key in by:
+        placed = placed & F.col(key).isNotNull()
+    lost = left.where(~placed).select(*left.columns, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in extra])
+    asked = left.where(placed).select(
         *by,
         micros(left, left_on).alias("_t"),
         F.lit(1).alias("_side"),
@@ -55,7 +59,7 @@ def asof_join(
         keep = F.when(F.col("_t") - F.col("_match.at") <= F.lit(tolerance), keep)
     found = found.withColumn("_match", keep)
     own = [F.col(c) if c in by else F.col(f"_left.{c}").alias(c) for c in left.columns]
-    return found.select(*own, *[F.col(f"_match.{c}").alias(c) for c in extra])
+    return found.select(*own, *[F.col(f"_match.{c}").alias(c) for c in extra]).unionByName(lost)
 
 
 def asof_contained(

@@ -40,28 +40,30 @@ def entity_days(df: DataFrame, entity: str, day: str, by: Sequence[str] = ()) ->
     return df.select(*by, entity, day).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("n_entity_days"))
 
 
-def count_matrix(df: DataFrame, row: str, column: str, levels: Sequence[object]) -> DataFrame:
-    """Two-way counts with a row total; the column levels are given, not discovered."""
-    cells = [F.count_if(F.col(column) == F.lit(v)).alias(str(v)) for v in levels]
-    return df.groupBy(row).agg(*cells, F.count(F.lit(1)).alias("total"))
+def count_matrix(df: DataFrame, row: str, column: str) -> DataFrame:
+    """Two-way counts in long form, a row per cell that occurs, with the total of its row."""
+    cells = df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
+    # the window sees cells, not rows
+    return cells.withColumn("total", F.sum("n").over(Window.partitionBy(row)))
 
 
-def monthly_series(days: DataFrame, day: str) -> DataFrame:
-    """Rows per month with the empty months inside the span as 0, and the change to the month before."""
+def monthly_series(days: DataFrame, by: Sequence[str], day: str) -> DataFrame:
+    """Rows per group and month with the empty months inside a group's span as 0, and the change to the month before."""
+    by = list(by)
     month = F.trunc(F.col(day), "month")
-    counted = days.groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
-    span = counted.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-    calendar = span.select(F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month"))
-    filled = calendar.join(counted, "month", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    # one row per calendar month of the span, so a single ordered window is small
-    before = F.lag("n").over(Window.partitionBy(F.lit(0)).orderBy("month"))
+    counted = days.groupBy(*by, month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    span = counted.groupBy(*by).agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
+    calendar = span.select(*by, F.explode(F.expr("sequence(lo, hi, interval 1 month)")).alias("month"))
+    filled = calendar.join(counted, [*by, "month"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    # one row per calendar month of a group's span, so each ordered window is small
+    before = F.lag("n").over(Window.partitionBy(*by).orderBy("month"))
     return filled.withColumn("before", before).select(
-        F.date_format("month", "yyyy-MM").alias("month"), "n", F.when(F.col("before") > 0, (F.col("n") - F.col("before")) / F.col("before")).alias("change")
+        *by, F.date_format("month", "yyyy-MM").alias("month"), "n", F.when(F.col("before") > 0, (F.col("n") - F.col("before")) / F.col("before")).alias("change")
     )
 
 
-def top_swings(series: DataFrame, k: int) -> DataFrame:
-    return series.where("change is not null").orderBy(F.desc(F.abs("change")), F.asc("month")).limit(k)
+def top_swings(series: DataFrame, by: Sequence[str], k: int) -> DataFrame:
+    return series.where("change is not null").orderBy(F.desc(F.abs("change")), F.asc("month"), *by).limit(k)
 
 
 def long_tail(days: DataFrame, entity: str, thresholds: Sequence[int]) -> DataFrame:

@@ -39,8 +39,8 @@ def filled_timeline(rs: DataFrame, mapping: DataFrame, carry: Sequence[str] = CA
     return filled.join(mapping, "hospitalization_id")
 
 
-def icu_stays(t: Tables, mapping: DataFrame, lower_names: bool = False) -> DataFrame:
-    """Closed unit stays by block: ``icu_in``, ``icu_out`` in microseconds."""
+def icu_stays(t: Tables, mapping: DataFrame, lower_names: bool = False, instants: bool = False) -> DataFrame:
+    """Closed unit stays by block: ``icu_in``, ``icu_out`` in microseconds; with ``instants`` also those without length."""
     adt = t["adt"].where(F.col("location_category") == ICU).join(mapping, "hospitalization_id")
     return adt.select(
         "encounter_block",
@@ -49,7 +49,7 @@ def icu_stays(t: Tables, mapping: DataFrame, lower_names: bool = False) -> DataF
         micros(adt, "out_dttm").alias("icu_out"),
         F.col("location_type").alias("unit"),
         label(F.col("location_name")).alias("unit_name"),
-    ).where("icu_out > icu_in")
+    ).where("icu_out >= icu_in" if instants else "icu_out > icu_in")
 
 
 def device_segments(filled: DataFrame, cap: int = DAY) -> DataFrame:

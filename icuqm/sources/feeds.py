@@ -213,12 +213,12 @@ def resolve_selection(cells: DataFrame, grains: DataFrame, picks: DataFrame) ->
     """The cell each metric can answer a pick with, and a badge that says so.
 
     ``picks`` has ``unit, kind, period``; ``grains`` has ``metric_id, kinds`` (offered period kinds). An
-    absent unit falls back to all units; an absent week to the month of its Thursday, else to all time.
+    absent unit falls back to all units of its site; an absent week to the month of its Thursday, else to all time.
     """
-    # picks are a user's selections and grains has one row per metric
-    asked = picks.crossJoin(F.broadcast(grains))
-    offered = cells.where("part = 'headline'").select("metric_id", "unit").distinct().withColumn("_has", F.lit(True))
-    asked = asked.join(offered, ["metric_id", "unit"], "left")
+    # picks are a user's selections; grains has one row per metric, and a metric one per site that reports it
+    asked = picks.crossJoin(F.broadcast(grains)).join(cells.select("metric_id", "site_id").distinct(), "metric_id")
+    offered = cells.where("part = 'headline'").select("metric_id", "site_id", "unit").distinct().withColumn("_has", F.lit(True))
+    asked = asked.join(offered, ["metric_id", "site_id", "unit"], "left")
     site_wide = (F.col("unit") != ALL) & F.col("_has").isNull()
     unit = F.when(site_wide, F.lit(ALL)).otherwise(F.col("unit"))
     exact = F.array_contains("kinds", F.col("kind"))
@@ -230,9 +230,9 @@ def resolve_selection(cells: DataFrame, grains: DataFrame, picks: DataFrame) ->
         F.when(exact, F.lit("")).when(week_to_month, F.concat(F.lit(" · "), month_label(month), F.lit(" · month"))).when(F.col("kind") != "all", F.lit(" · all-time")).otherwise(F.lit("")),
     )
     out = asked.select(
-        "metric_id", F.col("unit").alias("asked_unit"), F.col("period").alias("asked_period"), unit.alias("unit"), period.alias("period"), badge.alias("badge")
+        "metric_id", "site_id", F.col("unit").alias("asked_unit"), F.col("period").alias("asked_period"), unit.alias("unit"), period.alias("period"), badge.alias("badge")
     )
-    return out.join(cells.drop("site_id", "definition_version"), ["metric_id", "unit", "period"], "left")
+    return out.join(cells.drop("definition_version"), ["metric_id", "site_id", "unit", "period"], "left")
 
 
 def pool_sites(cells: DataFrame) -> DataFrame:

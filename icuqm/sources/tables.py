@@ -29,11 +29,11 @@ def resolve_table(spark: SparkSession, folder: str, name: str, fmt: str = "parqu
 
 
 def read_path(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    """Parquet, or csv with a header, by suffix (S3)."""
+    """Parquet, or csv with a header, by suffix (S3). Csv columns are text unless a schema is given; ``conform`` types them."""
     if path.lower().endswith(".parquet"):
         return spark.read.parquet(path)
     reader = spark.read.option("header", True)
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    return (reader.schema(schema) if schema else reader).csv(path)
 
 
 def pick_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
@@ -216,8 +216,9 @@ class Stages:
         return self.spark.read.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str, site: str, generated: str) -> None:
-    """Report rows with the site first and the time last (S8). Reports are small, so one file."""
+def write_csv(df: DataFrame, path: str, site: str, generated: str, single_file: bool = False) -> None:
+    """Report rows with the site first and the time last (S8). ``single_file`` gathers a report known to be small."""
     rest = [c for c in df.columns if c not in ("site", "generated")]
     out = df.select(F.lit(site).alias("site"), *rest, F.lit(generated).alias("generated"))
-    out.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    out = out.repartition(1) if single_file else out
+    out.write.mode("overwrite").option("header", True).csv(path)

@@ -25,7 +25,7 @@ def feed(spark):
     cell = {"num": F.col("k"), "den": F.col("n")}
     return feeds.build_feed(
         cube,
-        Site("here", unit_labels=(("N1", "North"),)),
+        Site("here", timezone="UTC", unit_labels=(("N1", "North"),)),
         metric_id="demo",
         title="Demo",
         subtitle=F.lit("sub"),

@@ -180,8 +180,8 @@ def test_null_causes_and_span(spark):
 
 
 def test_monthly_series_fills_empty_months(spark):
-    days = spark.sql("select date'2024-01-05' d union all select date'2024-03-05' union all select date'2024-03-06'")
-    assert rows(profile.monthly_series(days, "d").fillna(-9, ["change"]), "month", "n", "change") == [("2024-01", 1, -9.0), ("2024-02", 0, -1.0), ("2024-03", 2, -9.0)]
+    days = spark.sql("select 'a' k, date'2024-01-05' d union all select 'a', date'2024-03-05' union all select 'a', date'2024-03-06'")
+    assert rows(profile.monthly_series(days, ["k"], "d").fillna(-9, ["change"]), "month", "n", "change") == [("2024-01", 1, -9.0), ("2024-02", 0, -1.0), ("2024-03", 2, -9.0)]
 
 
 _ = at
