@@ -138,19 +138,17 @@ def _exchange(classes, cells):
         of, total = classes.value.copy(), cells.value.astype(np.float64).copy()
         size, wide = total.sum(axis=1), len(total)
         words, classes_out = [], []
-        seen: dict[int, np.ndarray] = {}
-        own: dict[int, float] = defaultdict(float)
+        counts, own = np.zeros((2, CLUSTERED * wide)), np.zeros(CLUSTERED)
         for frame in frames:
             word, other, after, n = (frame.column(c).to_numpy(zero_copy_only=False) for c in ("word", "other", "after", "n"))
-            for w in np.unique(word):
-                at = word == w
-                counts = seen.setdefault(int(w), np.zeros((2, wide)))
-                for side in (0, 1):
-                    part = at & (after == side)
-                    counts[side] += np.bincount(of[other[part]], weights=n[part], minlength=wide)
-                # a word beside itself stands on both sides
-                own[int(w)] += n[at & (after == 1) & (other == w)].sum()
-        for w, (before, behind) in sorted(seen.items(), key=lambda x: -x[1][0].sum()):
+            np.add.at(counts, (after, word * wide + of[other]), n)
+            # a word beside itself stands on both sides
+            same = (word == other) & (after == 1)
+            np.add.at(own, word[same], n[same])
+        counts = counts.reshape(2, CLUSTERED, wide)
+        mine = np.flatnonzero(counts.sum(axis=(0, 2)))
+        for w in mine.tolist():
+            before, behind = counts[0, w], counts[1, w]
             now, mass = of[w], before.sum()
             total[:, now] -= before
             total[now, :] -= behind
@@ -227,12 +225,12 @@ def _scored(model):
             for doc_id, data in zip(frame.column("doc_id").to_pylist(), byte_texts(frame.column("text")), strict=True):
                 words = words_of(data)
                 ids = np.fromiter(map(places.__getitem__, words), dtype=np.int64, count=len(words))
-                shapes = np.array(rare_shapes, dtype=np.int64)
                 rare = ids >= limit
+                shapes = np.array([rare_shapes[i] for i in (ids[rare] - limit).tolist()], dtype=np.int64)
                 classes = np.full(len(ids) + 2, CLASSES, dtype=np.int64)
                 held = ids[~rare]
                 classes[1:-1][~rare] = of[held]
-                classes[1:-1][rare] = CLASSES + 1 + shapes[ids[rare] - limit]
+                classes[1:-1][rare] = CLASSES + 1 + shapes
                 score = float(flow[classes[:-1], classes[1:]].sum() + emit[held].sum())
                 rid = uuid.uuid4().hex
                 for column, value in zip(out, (rid, doc_id, len(ids) + 1, len(held) + 1, float(base[held].sum()), score, None, None, None), strict=True):
