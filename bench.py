@@ -30,6 +30,10 @@ HEADLINE = [
     "mask_histogram",
     "exact_quantiles",
     "majority_unit_nested",
+    "lpv_day_status",
+    "sat_observation",
+    "sbt_observation",
+    "proning_eligibility",
 ]
 
 

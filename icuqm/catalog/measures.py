@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from icuqm.catalog.base import DAY, HOUR, Tables, query
 from icuqm.catalog.roles import SQL, icu_tables
-from icuqm.config import Config
+from icuqm.config import Config, Site
 from icuqm.operators import checks
 from icuqm.plans import common, lpv, proning, sat, sbt, severity
 from icuqm.session import cut_lineage
 from icuqm.sources import feeds
 
 CFG = Config()
+SITE = Site("unknown", timezone="UTC")
 MIN = 60_000_000
 
 
@@ -590,7 +591,7 @@ def proning_slices(t: Tables):
 
 def parsed_lpv_feed(t: Tables):
     """The ventilation feed as JSON text, parsed and validated again as the combiner would."""
-    text = lpv.feed(cut_lineage(lpv_cube(t)), CFG.site, CFG.lpv, "2024-02-01T00:00")
+    text = lpv.feed(cut_lineage(lpv_cube(t)), SITE, CFG.lpv, "2024-02-01T00:00")
     return feeds.valid_feeds(feeds.parse_feeds(cut_lineage(text)))
 
 

@@ -34,9 +34,9 @@ def _slices(grains: Sequence[str], unit: str, name: str | None) -> Column:
     )
 
 
-def parents(days: DataFrame, unit: str, name: str) -> DataFrame:
-    """The most frequent unit of each name, ties alphabetical."""
-    counted = days.groupBy(name, unit).agg(F.count(F.lit(1)).alias("_n"))
+def parents(fine: DataFrame, unit: str, name: str) -> DataFrame:
+    """The most frequent unit of each name, ties alphabetical (A38), from finest slices with their ``_rows``."""
+    counted = fine.groupBy(name, unit).agg(F.sum("_rows").alias("_n"))
     return counted.groupBy(F.col(name).alias("unit")).agg(F.min(F.struct(-F.col("_n"), F.col(unit).alias("u"))).alias("_p")).select(
         "unit", F.lit("name").alias("dim"), F.col("_p.u").alias("parent")
     )
@@ -56,12 +56,13 @@ def slice_cube(
     that only those few rows are repeated for the coarser ones and shuffled.
     """
     finest = [unit, *([name] if name else []), *grains, *by]
-    fine = days.groupBy(*finest).agg(*[c.alias(n) for n, c in counts.items()])
+    rows = [F.count(F.lit(1)).alias("_rows")] if name else []
+    fine = days.groupBy(*finest).agg(*[c.alias(n) for n, c in counts.items()], *rows)
     listed = fine.select(*by, *counts, F.explode(_slices(grains, unit, name)).alias("_s")).select(*by, "_s.*", *counts)
     cube = listed.groupBy(*SLICE, *by).agg(*[F.sum(n).alias(n) for n in counts])
     if not name:
         return cube
-    return cube.join(parents(days, unit, name), ["unit", "dim"], "left").select("unit", "dim", "parent", "granularity", "period", *by, *counts)
+    return cube.join(parents(fine, unit, name), ["unit", "dim"], "left").select("unit", "dim", "parent", "granularity", "period", *by, *counts)
 
 
 def distinct_cube(
