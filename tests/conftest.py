@@ -1,3 +1,4 @@
+import os
 import pathlib
 import sys
 
@@ -10,8 +11,9 @@ from icuqm.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    # the shared folder can only be named before the session starts
+    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", f"--conf spark.checkpoint.dir=file://{tmp_path_factory.mktemp('shared')} pyspark-shell")
     session = build_session("icuqm-tests", "UTC", "local[4]", 4)
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
