@@ -226,10 +226,11 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
        checked on the whole sets, and those that link form groups.
     3. The token-group matrix holds each group's token union with its range of set sizes and
        the most that a member can still share from the token on. A document is a query
-       against the other groups: the first token it has in common bounds its overlap by what
-       is left on both sides, then the number of its tokens in the group's union does. Only
-       groups that reach both bounds are opened, and only there are pairs of documents
-       checked. Documents of one group are connected already and need no pair.
+       against the other groups: the first token it has in common bounds its overlap by the
+       sizes and by what is left on both sides. Only groups that reach the bound are opened.
+       Inside, the number of tokens in common bounds each pair, and pairs that reach that
+       are checked on the whole sets. Documents of one group are connected already and need
+       no pair.
 
     Defined results: null or wordless text has 0 shingles and is a component of its own. A
     null ``doc_id`` links with nothing and has a null component. Rows that repeat a
@@ -271,8 +272,8 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     first = write_stage(copies.union(linked_pairs(stars, opened, share, width)), "ngram-links")
     group = components(first, "ngram-groups")
 
-    owned = index.groupBy("token", "id", "n").agg(F.min("pos").alias("pos")).join(group, "id", "left")
-    owned = owned.select("token", "id", "n", "pos", F.coalesce("component", "id").alias("own"))
+    owned = index.select("token", "id", "n", "pos").join(group, "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("own"))
+    owned = write_stage(owned, "ngram-owned")
     torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
     owned = write_stage(owned.join(torn, "token"), "ngram-torn")
     # what a set can still share from this place on, against the least that similar sets share
@@ -282,9 +283,7 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
     fits = fits & (F.col("asked") >= F.col("least") * share) & (F.col("room") >= F.col("n") * share)
     near = owned.where(first).select("token", "id", "n", "own", room.alias("asked")).join(matrix, "token").where(fits).select("id", "n", "other").distinct()
-    bound = owned.join(near, ["id", "n"]).join(matrix, ["token", "other"]).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
-    opened_to = bound.where(F.col("hits") >= _wanted("n", "least")).select("id", "n", "other")
-    asked = owned.join(opened_to, ["id", "n"]).select("token", "id", "n", "other")
+    asked = owned.join(near, ["id", "n"]).select("token", "id", "n", "other")
     inside = owned.select("token", F.col("own").alias("other"), F.col("id").alias("member"), F.col("n").alias("m"))
     pairs = asked.join(inside, ["token", "other"]).where(compatible("n", "m", share)).groupBy("id", "n", "member", "m").agg(F.count("*").alias("hits"))
     pairs = pairs.where(F.col("hits") >= _wanted("n", "m")).select(F.col("id").alias("a"), F.col("member").alias("b")).distinct()
