@@ -50,4 +50,6 @@ def test_csv_report(spark, tmp_path):
     write_csv(spark.createDataFrame([("m", 1)], "metric string, num int"), str(tmp_path / "out.csv"), "here", "now")
     back = read_path(spark, str(tmp_path / "out.csv"))
     assert back.columns == ["site", "metric", "num", "generated"]
-    assert back.select(F.col("num")).first()[0] == 1
+    # csv columns are text; conform types them
+    assert back.select(F.col("num")).first()[0] == "1"
+    assert conform(back, [Field("num", "number")]).first()["num"] == 1.0
