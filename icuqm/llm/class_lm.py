@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from icuqm.llm.text import batches_of, byte_texts, word_keys, words_of
 from icuqm.session import write_stage
 
-#: Words whose class the exchange finds, and words whose counts every task holds; both are
-#: the most frequent ones, and both bound a broadcast.
+#: Words whose class the exchange finds, and at most how many words' counts every task holds;
+#: both are the most frequent ones, and both bound a broadcast.
 CLUSTERED = 4096
 HELD = 1 << 18
 #: Classes of the exchange, then one class for text ends, then one for each shape of other words.
@@ -266,7 +266,15 @@ def score(docs: DataFrame) -> DataFrame:
     words = write_stage(words, "lm-words")
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("shape") < 0, F.col("n"))).alias("ends")).first()
     tokens, types = sums["n"] or 0, sums["v"]
-    top = words.where("shape >= 0").orderBy(F.desc("n"), "key").limit(HELD).collect()
+    # frequency levels in eighths of a doubling, a few hundred at most, tell from which level on words are held
+    level, left, lowest = F.floor(F.log2("n") * 8), HELD, None
+    for r in sorted(words.where("shape >= 0").groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        left -= r["count"]
+        if left < 0:
+            break
+        lowest = r["level"]
+    top = [] if lowest is None else words.where("shape >= 0").where(level >= lowest).collect()
+    top.sort(key=lambda r: (-r["n"], r["key"]))
     counts = np.array([r["n"] for r in top], dtype=np.int64)
     shapes = np.array([r["shape"] for r in top], dtype=np.int64)
     keys = np.array([r["key"] for r in top], dtype=np.int64).view(np.uint64)
