@@ -1,5 +1,6 @@
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
@@ -111,6 +112,22 @@ def test_rare_counts_are_joined(spark, sf, monkeypatch):
     assert all(abs(got[i] - want[i]) < 1e-6 * abs(want[i]) for i in want)
 
 
+def test_words_beyond_the_first_clustered_learn_their_contexts(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CLUSTERED", 40)
+    # words of one look: kinds a and b alternate, low numbers are frequent, and only those are clustered first
+    draw = random.Random(3).random
+    kinds = [[f"w{chr(97 + i // 26)}{chr(97 + i % 26)}{k}x" for i in range(200)] for k in "ab"]
+    texts = [" ".join(kinds[j % 2][int(200 * draw() ** 2)] for j in range(120)) for _ in range(100)]
+    probes = [(1000, " ".join(kinds[j % 2][150 + j] for j in range(40))), (1001, " ".join(kinds[j // 20][150 + j] for j in range(40)))]
+    docs = spark.createDataFrame([*enumerate(texts), *probes], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in class_lm.score(docs).collect()}
+    assert got[1000] > got[1001] + 5
+    # what the tasks hold steers cost alone
+    monkeypatch.setattr(class_lm, "HELD", 50)
+    again = {r["doc_id"]: r["score"] for r in class_lm.score(docs).collect()}
+    assert all(abs(got[i] - again[i]) < 1e-6 * abs(got[i]) for i in got)
+
+
 def test_toxic_documents_are_found(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.judge(docs, labels)
