@@ -56,6 +56,22 @@ def test_many_repeated_windows_take_the_sorted_way(spark):
     check_quality(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_each_distance_alone_rejects_junk(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    clean = quality.judge(docs.join(labels.where("quality = 1"), "doc_id", "left_semi")).where("not base_failed and n_words >= 100")
+    texts = [r["text"] for r in docs.join(clean.where("kept"), "doc_id", "left_semi").limit(20).collect()]
+    assert len(texts) == 20 and clean.where("kept").count() >= 0.99 * clean.count()
+    common = {w for ws in quality.COMMON.values() for w in ws.split()}
+    rows = []
+    for i, text in enumerate(texts):
+        words = text.split()
+        rows.append((i, " ".join(w + "u" if w.lower() in common else w for w in words)))
+        rows.append((100 + i, " ".join(w if w.lower() in common else w + "0" * 9 for w in words)))
+    for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        far = r["class_distance"] > quality.MAX_CLASS, r["common_distance"] > quality.MAX_COMMON
+        assert far == (r["doc_id"] >= 100, r["doc_id"] < 100) and not r["kept"]
+
+
 def test_quality_keeps_prose_and_drops_junk(spark, sf, odd, nothing):
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     seen = quality.judge(docs).join(labels, "doc_id").where("not base_failed")
