@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from icuqm.llm import bpe, chat, class_lm, exact_dedup, packing, pii, quality, toxicity, url_filter
+from icuqm.llm import bpe, chat, class_lm, divergence, exact_dedup, line_dedup, packing, pii, quality, toxicity, url_filter, vector_codes
 from icuqm.llm.ngram_join import ngram_groups
 
 
@@ -71,6 +71,18 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_codes.compress(_table(spark, folder, "embeddings")).drop("label")
+
+
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digests(_table(spark, folder, "documents"))
+
+
+def op13_divergence_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     known = (
         op1_ngram_jaccard_join,
@@ -83,6 +95,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_toxicity,
         op9_url_filters,
         op10_quality_rules,
+        op11_vector_codes,
+        op12_line_dedup,
+        op13_divergence_audit,
     )
     return {f.__name__: f for f in known}
 
@@ -132,5 +147,96 @@ FROM ruled
 """
 
 
+def _codes_sql(rounds: int = 2) -> str:
+    """Each round: assign all parts, then take the rounded means of what each entry got."""
+    steps = ["""WITH kept AS MATERIALIZED (
+    SELECT vec_id, label, embedding AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cut AS (
+    SELECT vec_id, v, unnest(range(len(v))) AS k FROM kept
+), points AS MATERIALIZED (
+    SELECT vec_id, k // (len(v) // 16) AS p, k % (len(v) // 16) AS j, CAST(floor(256 * CAST(v[k + 1] AS DOUBLE)) AS BIGINT) AS x FROM cut
+), firsts AS (
+    SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64
+), book0 AS MATERIALIZED (
+    SELECT p, e, j, x AS c FROM points JOIN firsts USING (vec_id)
+)"""]
+    assigned = """near{i} AS MATERIALIZED (
+    SELECT vec_id, p, min(far) AS far, arg_min(e, (far, e)) AS e
+    FROM (SELECT vec_id, p, e, sum((x - c) * (x - c)) AS far FROM points JOIN book{i} USING (p, j) GROUP BY vec_id, p, e) GROUP BY vec_id, p
+)"""
+    for i in range(rounds):
+        steps.append(assigned.format(i=i))
+        steps.append(f"""book{i + 1} AS MATERIALIZED (
+    SELECT b.p, b.e, b.j, CASE WHEN n IS NULL THEN c ELSE CAST((total - ((total % n) + n) % n) // n AS BIGINT) END AS c
+    FROM book{i} AS b LEFT JOIN (SELECT p, e, j, sum(x) AS total, count(*) AS n FROM points JOIN near{i} USING (vec_id, p) GROUP BY p, e, j) AS m USING (p, e, j)
+)""")
+    steps.append(assigned.format(i=rounds))
+    return ", ".join(steps) + f""", coded AS (
+    SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+_LINES_SQL = """
+WITH lines AS (
+    SELECT doc_id, pos, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
+), common AS (
+    SELECT key, max(doc_id) AS top FROM lines WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), told AS (
+    SELECT doc_id, pos, line, top IS NOT NULL AND doc_id < top AS gone FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM told GROUP BY doc_id
+"""
+
+_AUDIT_SQL = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS word FROM docs
+), terms AS (
+    SELECT r, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM words
+), kept AS (
+    SELECT lang, term, count(*) AS n FROM terms GROUP BY ALL HAVING count(DISTINCT r) >= 10
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), langs AS (
+    SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), groups AS (
+    SELECT lang, source, sum(coalesce(n, 0)) AS total FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN counts USING (lang, source) GROUP BY ALL
+), grid AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + CAST((1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * l.v) AS BIGINT) AS p,
+           1 + CAST((1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.v) AS BIGINT) AS q
+    FROM groups AS g JOIN kept AS k USING (lang) JOIN langs AS l USING (lang) LEFT JOIN counts AS c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+    FROM grid AS a JOIN grid AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs AS p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM grid WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER w AS INTEGER) AS rank
+FROM found WINDOW w AS (PARTITION BY lang, source, part ORDER BY value DESC, item) QUALIFY part = 'pair' OR row_number() OVER w <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat_formatting": _CHAT_SQL, "op7_exact_dedup": _EXACT_SQL, "op9_url_filters": _URL_SQL}
+    return {
+        "op2_chat_formatting": _CHAT_SQL,
+        "op7_exact_dedup": _EXACT_SQL,
+        "op9_url_filters": _URL_SQL,
+        "op11_vector_codes": _codes_sql(),
+        "op12_line_dedup": _LINES_SQL,
+        "op13_divergence_audit": _AUDIT_SQL,
+    }
