@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,19 +13,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.llm.components import components
-from icuqm.llm.text import WIDTH, batches_of, byte_texts, overlap, shingle_keys
+from icuqm.llm.text import WIDTH, batches_of, byte_texts, mixed, shingle_keys
 from icuqm.session import write_stage
 
 SHARE = 75
 #: A set of n is indexed under n / SLACK tokens more than one common token would need.
 SLACK = 16
-#: Counters of the token sketch and bits of the filter of opened documents; both are bounded
-#: broadcasts. Any size gives the same result, a larger one fewer candidates.
-SKETCH_BITS = 22
-FILTER_BITS = 24
 CHUNK_BITS = 16
-#: Rows of one token, or partners of one leader, that one task takes before they are salted.
+#: Rows of one token that one task takes before they are salted.
 PER_TASK = 100_000
+#: Tokens of one part of a group, members that all parts of a group share, queries to one part that one task takes.
+TOKENS = 1 << 19
+PIVOTS = 32
+QUERIES = 4000
 LEVEL_STEP = 8
 #: Digests that a task remembers to spot copies early; beyond it they are indexed as any text.
 SEEN = 500_000
@@ -40,25 +41,41 @@ def hits_needed(n: int | np.ndarray):
     return 1 + n // SLACK
 
 
-def _measure(share: int, width: int):
+def sketch_bits(n_bytes: int) -> int:
+    """Counters of the token sketch: one for some 16 tokens, 2^24 at most, which is a broadcast of 16 MB.
+
+    Any size gives the same result, a larger one fewer candidates.
+    """
+    return min(24, max(CHUNK_BITS, math.ceil(math.log2(n_bytes + 1)) - 7))
+
+
+def filter_bits(n_docs: int) -> int:
+    """Bits of the filter of opened documents: some 16 for each, 2^27 at most, which is a broadcast of 16 MB.
+
+    It spares most texts that no group needs; the others' texts are joined exactly.
+    """
+    return min(27, max(16, math.ceil(math.log2(n_docs + 1)) + 4))
+
+
+def _measure(bits: int, width: int):
     """Per document its set size, per task a compressed sketch of token frequencies."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+        counts = np.zeros(1 << bits, dtype=np.int64)
         for frame in batches_of(frames):
             sizes, held = [], []
             for data in byte_texts(frame.column("text")):
                 keys = shingle_keys(data, width)
                 sizes.append(len(keys))
-                held.append(keys >> np.uint64(64 - SKETCH_BITS))
+                held.append(keys >> np.uint64(64 - bits))
             if held:
-                counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << SKETCH_BITS)
+                counts += np.bincount(np.concatenate(held).astype(np.int64), minlength=1 << bits)
             none = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [frame.column("doc_id"), pa.array(sizes, pa.int64()), none, pa.nulls(len(sizes), pa.binary())], ["doc_id", "n_shingles", "part", "counts"]
             )
         pack = zstandard.ZstdCompressor(level=1)
-        for part in range(1 << (SKETCH_BITS - CHUNK_BITS)):
+        for part in range(1 << (bits - CHUNK_BITS)):
             chunk = np.minimum(counts[part << CHUNK_BITS : (part + 1) << CHUNK_BITS], 0xFFFFFFFF).astype(np.uint32)
             if chunk.any():
                 yield pa.RecordBatch.from_arrays(
@@ -88,19 +105,18 @@ def _levels(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _prefixes(levels, share: int, width: int):
-    """Rows ``(token, salt, id, n, pos, head)``: the rarest tokens of each set under one order for all documents.
+def _prefixes(levels, bits: int, share: int, width: int):
+    """Rows ``(token, salt, id, n, head)``: the rarest tokens of each set under one order for all documents.
 
     Order: frequency level, then key. Of two sets with the wanted similarity, the prefixes of
     ``n - needed(n) + hits_needed(n)`` tokens share at least the smaller ``hits_needed``. A
-    ``pos`` is a token's place in its set under that order. A
     copy met again in the same task is not indexed; its row names the first one as ``head``.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, seen = levels.value, {}
         for frame in batches_of(frames):
-            tokens, salts, ids, sizes, places, copies, heads = [], [], [], [], [], [], []
+            tokens, salts, ids, sizes, copies, heads = [], [], [], [], [], []
             for doc_id, data in zip(frame.column("doc_id").to_pylist(), byte_texts(frame.column("text")), strict=True):
                 keys = shingle_keys(data, width)
                 if doc_id is None or len(keys) == 0:
@@ -112,56 +128,56 @@ def _prefixes(levels, share: int, width: int):
                     copies.append(doc_id)
                     heads.append(head)
                     continue
-                level = table[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64)
+                level = table[(keys >> np.uint64(64 - bits)).astype(np.int64)].astype(np.uint64)
                 order = (level << np.uint64(56)) | (keys & np.uint64((1 << 56) - 1))
                 take = len(keys) - needed(len(keys), share) + hits_needed(len(keys))
                 if take < len(keys):
                     # ties at the border all stay
                     order = order[order <= np.partition(order, take - 1)[take - 1]]
-                order.sort()
                 spread = (2.0 ** ((order >> np.uint64(56)).astype(np.float64) / LEVEL_STEP) // PER_TASK).astype(np.int64) + 1
                 tokens.append(order.view(np.int64))
                 salts.append(np.where(spread > 1, 1 + hash(doc_id) % spread, 0))
                 ids.append(np.full(len(order), doc_id, dtype=np.int64))
                 sizes.append(np.full(len(order), len(keys), dtype=np.int32))
-                places.append(np.arange(len(order), dtype=np.int32))
-            names = ["token", "salt", "id", "n", "pos", "head"]
+            names = ["token", "salt", "id", "n", "head"]
             if tokens:
-                columns = [pa.array(np.concatenate(x)) for x in (tokens, salts, ids, sizes, places)]
+                columns = [pa.array(np.concatenate(x)) for x in (tokens, salts, ids, sizes)]
                 columns[1] = columns[1].cast(pa.int32())
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.int64())], names)
             if copies:
                 none = pa.array([0] * len(copies), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(copies, pa.int64()), none, pa.array(copies, pa.int64()), none, none, pa.array(heads, pa.int64())], names)
+                yield pa.RecordBatch.from_arrays([pa.array(copies, pa.int64()), none, pa.array(copies, pa.int64()), none, pa.array(heads, pa.int64())], names)
 
     return run
 
 
-def _filter_places(ids: np.ndarray) -> np.ndarray:
+def _filter_places(ids: np.ndarray, bits: int) -> np.ndarray:
     """Two places of each id in the filter."""
-    keys = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    keys ^= keys >> np.uint64(29)
-    keys *= np.uint64(0xBF58476D1CE4E5B9)
-    return np.stack([keys >> np.uint64(64 - FILTER_BITS), (keys >> np.uint64(64 - 2 * FILTER_BITS)) & np.uint64((1 << FILTER_BITS) - 1)]).astype(np.int64)
+    keys = mixed(ids.astype(np.uint64))
+    return np.stack([keys >> np.uint64(64 - bits), keys & np.uint64((1 << bits) - 1)]).astype(np.int64)
 
 
-def _filter_of(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    for frame in frames:
-        bits[_filter_places(frame.column("id").to_numpy(zero_copy_only=False)).ravel()] = True
-    pack = zstandard.ZstdCompressor(level=1)
-    yield pa.RecordBatch.from_arrays([pa.array([pack.compress(np.packbits(bits).tobytes())], pa.binary())], ["bits"])
+def _filter_of(bits: int):
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << bits, dtype=bool)
+        for frame in frames:
+            own[_filter_places(frame.column("id").to_numpy(zero_copy_only=False), bits).ravel()] = True
+        pack = zstandard.ZstdCompressor(level=1)
+        yield pa.RecordBatch.from_arrays([pa.array([pack.compress(np.packbits(own).tobytes())], pa.binary())], ["bits"])
 
+    return run
 
-def _opened(bits):
+
+def _opened(mask, bits: int):
     """Compressed texts of the documents that the filter lets through."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, pack = np.unpackbits(bits.value).astype(bool), zstandard.ZstdCompressor(level=3)
+        own, pack = mask.value, zstandard.ZstdCompressor(level=3)
         for frame in batches_of(frames):
             frame = frame.filter(frame.column("doc_id").is_valid())
-            ids = frame.column("doc_id").to_numpy(zero_copy_only=False)
-            frame = frame.filter(pa.array(wanted[_filter_places(ids)].all(axis=0), pa.bool_()))
+            at = _filter_places(frame.column("doc_id").to_numpy(zero_copy_only=False), bits)
+            hit = (own[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
+            frame = frame.filter(pa.array(hit.all(axis=0), pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [frame.column("doc_id"), pa.array([pack.compress(x) for x in byte_texts(frame.column("text"))], pa.binary())], ["id", "packed"]
             )
@@ -169,39 +185,102 @@ def _opened(bits):
     return run
 
 
-def _verify(share: int, width: int):
-    """Stream a partition sorted by leader, its own rows first, and yield the pairs that link."""
+class TokenGroup:
+    """The token union of some documents, with the documents behind each token."""
+
+    def __init__(self, ids: list[int], sets: list[np.ndarray], share: int):
+        self.ids, self.sets, self.share = ids, sets, share
+        self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
+        flat = np.concatenate(sets)
+        order = np.argsort(flat, kind="stable")
+        self.tokens, starts = np.unique(flat[order], return_index=True)
+        self.starts = np.append(starts, len(flat))
+        self.who = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)[order]
+        self.least = int(self.sizes.min())
+
+    def linked(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the documents that link with a set. The group is opened only where the union allows a link."""
+        at = np.searchsorted(self.tokens, keys)
+        at[at == len(self.tokens)] = 0
+        at = at[self.tokens[at] == keys]
+        if 100 * len(at) < self.share * (len(keys) + max(self.least, needed(len(keys), self.share)) - len(at)):
+            return at[:0]
+        many = self.starts[at + 1] - self.starts[at]
+        within = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        both = np.bincount(self.who[np.repeat(self.starts[at], many) + within], minlength=len(self.sets))
+        return np.flatnonzero((both > 0) & (100 * both >= self.share * (len(keys) + self.sizes - both)))
+
+    def join_up(self) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        """A label per document, alike where links connect them, and links enough to do so."""
+        label, links = np.arange(len(self.sets)), []
+        for i, keys in enumerate(self.sets):
+            found = self.linked(keys)
+            labels, first = np.unique(label[found], return_index=True)
+            other = labels != label[i]
+            if other.any():
+                links += [(self.ids[i], self.ids[j]) for j in found[first[other]]]
+                label[np.isin(label, labels)] = min(labels.min(), label[i])
+        return label, links
+
+
+MEETING = ["grp", "sub", "salt", "asks"]
+
+
+def _meet(share: int, width: int):
+    """Stream a partition sorted by group, members before queries, and yield links.
+
+    Members without a known component are joined up first. A query is answered with one
+    member of each other component that it links with.
+    """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack, now, sets = zstandard.ZstdDecompressor(), None, []
+        unpack, now = zstandard.ZstdDecompressor(), None
+        ids, sets, comps, group, label = [], [], [], None, None
+        a, b = [], []
+
+        def close() -> None:
+            nonlocal group, label
+            if group is None and sets:
+                group = TokenGroup(ids, sets, share)
+                if comps[0] is not None:
+                    label = np.array(comps)
+                else:
+                    label, links = group.join_up()
+                    a.extend(x for x, _ in links)
+                    b.extend(y for _, y in links)
+
         for frame in frames:
-            a, b = [], []
-            for leader, salt, member, packed in zip(*(frame.column(c).to_pylist() for c in ("a", "salt", "b", "packed")), strict=True):
-                if (leader, salt) != now:
-                    now, sets = (leader, salt), []
+            for *key, asks, doc_id, comp, packed in zip(*(frame.column(c).to_pylist() for c in (*MEETING, "id", "comp", "packed")), strict=True):
+                if key != now:
+                    close()
+                    now, ids, sets, comps, group, label = key, [], [], [], None, None
                 keys = shingle_keys(unpack.decompress(packed), width)
-                if member is None:
+                if not asks:
+                    ids.append(doc_id)
                     sets.append(keys)
+                    comps.append(comp)
                     continue
-                for own in sets:
-                    both = overlap(own, keys)
-                    if both and 100 * both >= share * (len(own) + len(keys) - both):
-                        a.append(leader)
-                        b.append(member)
-                        break
+                close()
+                if group is not None:
+                    found = group.linked(keys)
+                    labels, first = np.unique(label[found], return_index=True)
+                    for own, j in zip(labels.tolist(), first.tolist(), strict=True):
+                        if comp is None or own != comp:
+                            a.append(doc_id)
+                            b.append(ids[found[j]])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            a.clear()
+            b.clear()
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return run
 
 
-def linked_pairs(candidates: DataFrame, opened: DataFrame, share: int, width: int, per_task: int = 250) -> DataFrame:
-    """Those of ``candidates (a, b)`` whose sets have the similarity. A leader with many partners is salted."""
-    parts = candidates.groupBy("a").agg(F.ceil(F.count("*") / per_task).cast("int").alias("parts"))
-    members = candidates.join(parts, "a").join(opened.withColumnRenamed("id", "b"), "b")
-    members = members.select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("salt"), "b", "packed")
-    leaders = parts.join(opened.withColumnRenamed("id", "a"), "a").select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), "packed")
-    rows = leaders.unionByName(members).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return rows.mapInArrow(_verify(share, width), "a long, b long")
+def met_links(rows: DataFrame, opened: DataFrame, share: int, width: int) -> DataFrame:
+    """``(a, b)`` found among ``rows (grp, sub, salt, asks, id, comp)`` with the texts of ``opened (id, packed)``."""
+    rows = rows.join(opened, "id").repartition("grp", "sub", "salt").sortWithinPartitions(*MEETING, "id")
+    return rows.mapInArrow(_meet(share, width), "a long, b long")
 
 
 def _wanted(n: str, m: str):
@@ -214,6 +293,46 @@ def compatible(n: str, m: str, share: int):
     return (F.col(n) * share <= F.col(m) * 100) & (F.col(m) * share <= F.col(n) * 100)
 
 
+def _numbers(top, of):
+    """Rows repeated for every number from 0 below ``top``."""
+    return F.explode(F.sequence(F.lit(0), (top - 1).cast("int"))).alias(of)
+
+
+def _place(parts):
+    return F.pmod(F.xxhash64("id"), parts).cast("int")
+
+
+def split_groups(group: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``(grp, parts, sub, id)``: groups in parts of some ``TOKENS`` tokens, so that a task can hold one."""
+    members = group.select("id", F.col("component").alias("grp")).join(sizes, "id")
+    parts = members.groupBy("grp").agg(F.ceil(F.sum("n") / TOKENS).cast("int").alias("parts"))
+    return members.join(parts, "grp").select("grp", "parts", _place(F.col("parts")).alias("sub"), "id")
+
+
+def pivots(members: DataFrame) -> DataFrame:
+    """``(grp, sub, id)``: some members of each split group in all of its parts, so that most links are found through them."""
+    own = members.where("parts > 1").groupBy("grp", "parts", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PIVOTS))).agg(F.min("id").alias("id"))
+    return own.select("grp", _numbers(F.col("parts"), "sub"), "id", _place(F.col("parts")).alias("home")).where("sub <> home").drop("home")
+
+
+def near_groups(index: DataFrame, group: DataFrame, share: int) -> DataFrame:
+    """``(id, other)``: documents with the further groups that they may link with.
+
+    The token-group matrix holds, per token and group, the range of set sizes. Of two
+    similar documents in different groups, one finds at least ``hits_needed`` of its
+    prefix tokens in the other's row, so groups with fewer are not opened for it.
+    """
+    own = F.coalesce("component", "id").alias("own")
+    owned = write_stage(index.select("token", "id", "n").join(group, "id", "left").select("token", "id", "n", own), "ngram-owned")
+    torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
+    owned = write_stage(owned.join(torn, "token"), "ngram-torn")
+    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
+    near = owned.join(matrix, "token").where(fits).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
+    smallest = F.greatest("least", -F.floor(-F.col("n") * share / 100))
+    return near.where(F.col("hits") >= 1 + F.floor(F.least("n", smallest) / SLACK)).select("id", "other").distinct()
+
+
 def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row of ``docs (doc_id, text)``.
 
@@ -222,38 +341,43 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     linked pair is visited:
 
     1. Documents are indexed under their rarest tokens (``_prefixes``).
-    2. Each token's smallest document leads the others. Pairs of leader and follower are
-       checked on the whole sets, and those that link form groups.
-    3. The token-group matrix holds each group's token union with its range of set sizes and
-       the most that a member can still share from the token on. A document is a query
-       against the other groups: the first token it has in common bounds its overlap by the
-       sizes and by what is left on both sides. Only groups that reach the bound are opened.
-       Inside, the number of tokens in common bounds each pair, and pairs that reach that
-       are checked on the whole sets. Documents of one group are connected already and need
-       no pair.
+    2. Each token's smallest document leads the others. A document joins the group of the
+       leader with which it shares most, so similar documents lie in one group, linked or
+       not.
+    3. A group's whole sets meet in one task, or in parts of bounded size. There the token
+       union with the members behind each token is held; a set whose overlap with the
+       union cannot reach the similarity opens nothing, any other is compared with all
+       members at once.
+    4. The token-group matrix tells which further groups a document may link with
+       (``near_groups``); it is sent to those as a query.
+    5. Parts of one group share some members, which connect most of it. Members outside
+       the largest component are then sent to the other parts.
 
     Defined results: null or wordless text has 0 shingles and is a component of its own. A
     null ``doc_id`` links with nothing and has a null component. Rows that repeat a
-    ``doc_id`` are one document that links by any of its texts. An empty table gives an
-    empty result; further columns are ignored.
+    ``doc_id`` are one document that links by any of its texts. A very long text is one
+    set, as long as its words. Shingles are told apart by 64-bit keys. An empty table gives
+    an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    measured = write_stage(docs.mapInArrow(_measure(share, width), "doc_id long, n_shingles long, part int, counts binary"), "ngram-sizes")
+    held_bytes = docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    bits = sketch_bits(held_bytes)
+    measured = write_stage(docs.mapInArrow(_measure(bits, width), "doc_id long, n_shingles long, part int, counts binary"), "ngram-sizes")
     sizes = measured.where("part is null").select("doc_id", "n_shingles")
     sketches = measured.where("part is not null").select("part", "counts").repartition("part").sortWithinPartitions("part")
-    level = np.zeros((1 << (SKETCH_BITS - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.uint8)
+    level = np.zeros((1 << (bits - CHUNK_BITS), 1 << CHUNK_BITS), dtype=np.uint8)
     # one row per chunk of the sketch, whatever the corpus
     for row in sketches.mapInArrow(_levels, "part int, level binary").collect():
         level[row["part"]] = np.frombuffer(row["level"], dtype=np.uint8)
     held = spark.sparkContext.broadcast(level.ravel())
 
-    tokens = docs.mapInArrow(_prefixes(held, share, width), "token long, salt int, id long, n int, pos int, head long")
+    tokens = docs.mapInArrow(_prefixes(held, bits, share, width), "token long, salt int, id long, n int, head long")
     led = tokens.withColumns(
         {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(struct(id, n))"), ("last", "max(id)"))}
     )
     shared = write_stage(
-        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "pos", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m")),
+        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m")),
         "ngram-shared",
     )
     copies = shared.where("head is not null").select(F.col("head").alias("a"), F.col("id").alias("b"))
@@ -263,33 +387,39 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     firsts = index.where("salt > 0 and id = leader").groupBy("token").agg(F.min(F.struct("id", "n")).alias("first"))
     salted = index.where("salt > 0 and id = leader").select("token", "id", "n").join(firsts, "token").where("id <> first.id")
     stars = stars.union(salted.select("first.id", "first.n", "id", "n")).where(compatible("n", "m", share)).groupBy("a", "b").agg(F.count("*").alias("hits"), F.min("n").alias("n"), F.min("m").alias("m"))
-    stars = write_stage(stars.where(F.col("hits") >= _wanted("n", "m")).select("a", "b"), "ngram-stars")
-
-    parts = index.select("id").mapInArrow(_filter_of, "bits binary").rdd.map(lambda r: np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), dtype=np.uint8))
-    bits = parts.treeAggregate(np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8), np.bitwise_or, np.bitwise_or)
-    opened = write_stage(docs.mapInArrow(_opened(spark.sparkContext.broadcast(bits)), "id long, packed binary"), "ngram-opened")
-
-    first = write_stage(copies.union(linked_pairs(stars, opened, share, width)), "ngram-links")
-    group = components(first, "ngram-groups")
-
-    owned = index.select("token", "id", "n", "pos").join(group, "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("own"))
-    owned = write_stage(owned, "ngram-owned")
-    torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
-    owned = write_stage(owned.join(torn, "token"), "ngram-torn")
-    # what a set can still share from this place on, against the least that similar sets share
-    room = F.col("n") * 100 - F.col("pos") * (100 + share)
-    first = room >= -F.floor(-F.col("n") * share / 100) * share
-    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(room).alias("room"))
-    fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
-    fits = fits & (F.col("asked") >= F.col("least") * share) & (F.col("room") >= F.col("n") * share)
-    near = owned.where(first).select("token", "id", "n", "own", room.alias("asked")).join(matrix, "token").where(fits).select("id", "n", "other").distinct()
-    asked = owned.join(near, ["id", "n"]).select("token", "id", "n", "other")
-    inside = owned.select("token", F.col("own").alias("other"), F.col("id").alias("member"), F.col("n").alias("m"))
-    pairs = asked.join(inside, ["token", "other"]).where(compatible("n", "m", share)).groupBy("id", "n", "member", "m").agg(F.count("*").alias("hits"))
-    pairs = pairs.where(F.col("hits") >= _wanted("n", "m")).select(F.col("id").alias("a"), F.col("member").alias("b")).distinct()
-    pairs = write_stage(pairs, "ngram-pairs")
-    second = linked_pairs(pairs, opened, share, width)
-    final = components(group.select(F.col("component").alias("a"), F.col("id").alias("b")).union(second), "ngram-final")
+    stars = write_stage(stars.where(F.col("hits") >= _wanted("n", "m")), "ngram-stars")
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("hits", -F.col("a"))).alias("a"))
+    group = components(best, "ngram-groups")
+    ends = stars.select(F.col("a").alias("id"), F.col("m").alias("n")).union(stars.select("b", "n")).groupBy("id").agg(F.max("n").alias("n"))
+    members = write_stage(split_groups(group, ends), "ngram-members")
+    near = write_stage(near_groups(index, group, share), "ngram-near")
+
+    # members of groups, single documents that are asked for, and queries
+    parts = members.select("grp", "parts").distinct()
+    asked = near.groupBy(F.col("other").alias("grp")).agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
+    single = asked.select("grp").join(parts, "grp", "left_anti").select("grp", F.lit(0).alias("sub"), F.col("grp").alias("id"))
+    inside = members.select("grp", "sub", "id").union(pivots(members)).union(single).join(asked, "grp", "left")
+    inside = inside.select("grp", "sub", _numbers(F.coalesce("salts", F.lit(1)), "salt"), F.lit(0).alias("asks"), "id")
+    queries = near.withColumnRenamed("other", "grp").join(parts, "grp", "left").join(asked, "grp")
+    queries = queries.select("grp", _numbers(F.coalesce("parts", F.lit(1)), "sub"), _place(F.col("salts")).alias("salt"), F.lit(1).alias("asks"), "id")
+    rows = write_stage(inside.union(queries).withColumn("comp", F.lit(None).cast("long")), "ngram-meetings")
+    wanted = filter_bits(sizes.count())
+    masks = rows.select("id").mapInArrow(_filter_of(wanted), "bits binary").rdd.map(lambda r: np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), dtype=np.uint8))
+    mask = spark.sparkContext.broadcast(masks.treeAggregate(np.zeros(1 << (wanted - 3), dtype=np.uint8), np.bitwise_or, np.bitwise_or))
+    opened = write_stage(docs.mapInArrow(_opened(mask, wanted), "id long, packed binary"), "ngram-opened")
+    links = copies.union(write_stage(met_links(rows, opened, share, width), "ngram-links"))
+
+    split = members.where("parts > 1")
+    if not split.isEmpty():
+        known = write_stage(split.join(components(links, "ngram-parts"), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component"), "ngram-known")
+        largest = known.groupBy("grp", "comp").agg(F.count("*").alias("n")).groupBy("grp").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"))
+        left = known.join(largest, "grp").where("comp <> largest")
+        left = left.select("grp", _numbers(F.col("parts"), "to"), "sub", "id", "comp").where("to <> sub").select("grp", F.col("to").alias("sub"), "id", "comp")
+        salts = left.groupBy("grp", "sub").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("salts"))
+        inside = known.join(salts, ["grp", "sub"]).select("grp", "sub", _numbers(F.col("salts"), "salt"), F.lit(0).alias("asks"), "id", "comp")
+        left = left.join(salts, ["grp", "sub"]).select("grp", "sub", _place(F.col("salts")).alias("salt"), F.lit(1).alias("asks"), "id", "comp")
+        links = links.union(write_stage(met_links(inside.union(left), opened, share, width), "ngram-links"))
+    final = components(links, "ngram-final")
     return sizes.join(final.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -62,6 +62,62 @@ def test_family_around_the_threshold(spark):
     check_groups(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def edited_family(spark, size, words, edits):
+    """Copies of one text with runs of changed words, from barely over to well under the limit."""
+    rng = np.random.default_rng(size)
+    rows = []
+    for i in range(size):
+        own = [f"w{k}" for k in range(words)]
+        for k in rng.choice(words, size=int(rng.integers(0, edits)), replace=False):
+            own[k] = f"new{i}x{k}"
+        rows.append((i, " ".join(own)))
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+
+
+def test_great_family_of_edited_copies(spark):
+    docs = edited_family(spark, 2000, 150, 9)
+    sets = [(r["doc_id"], {hash(x) for x in shingles(r["text"])}) for r in docs.collect()]
+    by_token = defaultdict(list)
+    for place, (_, s) in enumerate(sets):
+        for t in s:
+            by_token[t].append(place)
+    by_token, sizes, root = {t: np.array(p) for t, p in by_token.items()}, np.array([len(s) for _, s in sets]), {}
+    links = {}
+    for place, (i, s) in enumerate(sets):
+        both = np.bincount(np.concatenate([by_token[t] for t in s]), minlength=len(sets))
+        links[i] = [sets[j][0] for j in np.flatnonzero(100 * both >= 75 * (sizes[place] + sizes - both))]
+    for i in sorted(links):
+        if i not in root:
+            todo = [i]
+            while todo:
+                k = todo.pop()
+                if k not in root:
+                    root[k] = i
+                    todo += links[k]
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_groups(docs).collect()}
+    assert got == root and 1 < len(set(root.values())) < 1900
+
+
+def test_parts_of_a_group_and_salted_queries_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TOKENS", 2000)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 2)
+    monkeypatch.setattr(ngram_join, "QUERIES", 3)
+    check_groups(edited_family(spark, 120, 90, 10))
+    # links that only the step over all parts finds
+    monkeypatch.setattr(ngram_join, "pivots", lambda members: members.where("false").select("grp", "sub", "id"))
+    check_groups(edited_family(spark, 80, 90, 10))
+
+
+def test_documents_link_across_groups(spark, monkeypatch):
+    chain = [" ".join(f"w{k}" for k in range(i * 10, i * 10 + 120)) for i in range(30)]
+    docs = spark.createDataFrame([(97 * i % 31, t) for i, t in enumerate(chain)], "doc_id long, text string")
+    check_groups(docs)
+    # every document a group of its own: all links come from queries
+    monkeypatch.setattr(ngram_join, "components", lambda edges, name: components(edges if name != "ngram-groups" else edges.where("false"), name))
+    check_groups(docs)
+    check_groups(edited_family(spark, 40, 90, 10))
+
+
 def test_salted_tokens_and_leaders_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PER_TASK", 2)
     rows = [(i, " ".join(f"w{k}" for k in range(40)) + f" tail{i}") for i in range(30)]
