@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import zlib
@@ -20,10 +21,17 @@ ROOM = 4096
 END_ID = 1
 #: Words whose ids a task remembers; beyond it the memory starts anew.
 MEMORY = 400_000
-#: Rounds of multiplicative weights for one linear program, and how often the rest is solved again.
-ROUNDS = 60
-SOLVES = 4
+#: Multiplicative weights: the gap between cover and bound at which they end, the most rounds at first and for what is left, how far weights move,
+#: what a round's excess counts at most, how near the dearest pattern others are used.
+GAP = 0.005
+ROUNDS = 30
+LATER = 3
 RATE = 0.5
+WIDTH = 2.0
+NEAR = 0.002
+#: Shares of the cover that rounding tries, and the share of pieces that makes solving once more worth while.
+SHARES = (1.0, 0.95, 0.9, 0.8, 0.65, 0.5, 0.35, 0.2, 0.1, 0.05)
+FEW = 0.03
 #: Rows of one length that one task numbers.
 PER_TASK = 250_000
 
@@ -112,54 +120,107 @@ def _pieces(path: str, room: int):
     return run
 
 
-def priciest(values: np.ndarray, lengths: np.ndarray, room: int) -> dict[int, int]:
-    """The pattern of most value within ``room``: an unbounded knapsack over the distinct lengths."""
+Pattern = dict[int, int]
+
+
+def knapsack(prices: np.ndarray, lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per capacity the greatest price of a pattern within it and the last length taken, -1 for none: an unbounded knapsack."""
     best, choice = np.zeros(room + 1), np.full(room + 1, -1, dtype=np.int64)
+    fits = np.searchsorted(lengths, np.arange(room + 1), "right")
     for c in range(int(lengths[0]), room + 1):
-        fit = np.searchsorted(lengths, c, "right")
-        worth = best[c - lengths[:fit]] + values[:fit]
+        worth = best[c - lengths[: fits[c]]] + prices[: fits[c]]
         k = int(worth.argmax())
-        best[c], choice[c] = worth[k], k
-        if best[c - 1] > best[c]:
-            best[c], choice[c] = best[c - 1], -1
-    pattern: dict[int, int] = {}
-    c = room
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-            continue
-        length = int(lengths[choice[c]])
-        pattern[length] = pattern.get(length, 0) + 1
-        c -= length
-    return pattern
-
-
-def fractional(counts: dict[int, int], room: int, rounds: int = ROUNDS) -> list[tuple[dict[int, int], float]]:
-    """Patterns with weights that together cover ``counts``, by multiplicative weights.
-
-    The prices of lengths start at their share of the room. Each round adds the priciest
-    pattern, as often as its scarcest length allows, and lowers the prices of what it
-    covers in proportion to the covered share.
+        if worth[k] > best[c - 1]:
+            best[c], choice[c] = worth[k], k
+        else:
+            best[c] = best[c - 1]
+    return best, choice
+
+
+class Pricing:
+    """Patterns that are dear under the prices of one round, taken from the knapsack's table."""
+
+    def __init__(self, prices: np.ndarray, lengths: np.ndarray, room: int):
+        self.prices, self.lengths, self.room = prices, lengths, room
+        self.best, self.choice = knapsack(prices, lengths, room)
+        self.fits = np.searchsorted(lengths, np.arange(room + 1), "right")
+        self.dearest = self.best[room]
+
+    def pattern_with(self, first: int, lack: np.ndarray) -> tuple[dict[int, int], bool]:
+        """A pattern, by places, that holds ``first``, and whether it is near the dearest.
+
+        Each next piece is, of those that keep the pattern near the dearest one with
+        ``first``, the one of which most tokens are still to be covered.
+        """
+        pattern, c = {first: 1}, self.room - int(self.lengths[first])
+        loss = self.dearest - self.prices[first] - self.best[c]
+        near = loss <= NEAR * self.dearest
+        slack = NEAR * self.dearest - (loss if near else 0.0)
+        while c > 0:
+            k = int(self.fits[c])
+            if k and self.best[c] > 0:
+                below = self.best[c] - (self.best[c - self.lengths[:k]] + self.prices[:k])
+                tokens = np.where(below <= slack, lack[:k] * self.lengths[:k], -1.0)
+                i = int(tokens.argmax())
+                if tokens[i] <= 0:
+                    i = int(below.argmin())
+                if below[i] > slack:
+                    break
+                slack -= max(below[i], 0.0)
+                pattern[i] = pattern.get(i, 0) + 1
+                c -= int(self.lengths[i])
+            else:
+                break
+        return pattern, near
+
+    def cover(self, need: np.ndarray) -> tuple[list[tuple[dict[int, int], float]], np.ndarray]:
+        """Patterns with weights that hold every length at least as often as needed, and how often those near the dearest hold each."""
+        lack, used, held = need.copy(), [], np.zeros(len(need))
+        for i in range(len(need) - 1, -1, -1):
+            while lack[i] > 1e-9:
+                pattern, near = self.pattern_with(i, lack)
+                weight = min(lack[k] / a for k, a in pattern.items() if lack[k] > 1e-9)
+                used.append((pattern, weight))
+                for k, a in pattern.items():
+                    lack[k] = max(lack[k] - a * weight, 0.0)
+                    held[k] += a * weight * near
+        return used, held
+
+
+def covering(counts: Pattern, room: int, gap: float = GAP, rounds: int = ROUNDS) -> tuple[list[tuple[Pattern, float]], float]:
+    """Patterns with weights that together cover every piece of ``counts``, and a lower bound of their sum.
+
+    The program: least sum of weights such that the patterns hold each length at least as
+    often as it occurs. Multiplicative weights: each length has a weight, its price is the
+    weight by count. A knapsack under the prices tells the dearest patterns; a round covers
+    all lengths with patterns near these as far as there are any. Weights then fall where
+    near patterns cover more than needed and rise where they cover less. Prices divided by
+    the dearest pattern's are a solution of the dual, hence the bound. It ends when the
+    best cover is within ``gap`` of the best bound; ``rounds`` only bounds the work, as every
+    round's cover is whole.
     """
     lengths = np.array(sorted(counts), dtype=np.int64)
     need = np.array([counts[int(x)] for x in lengths], dtype=np.float64)
-    prices, used = lengths / room, []
-    at = {int(x): i for i, x in enumerate(lengths)}
-    covered = np.zeros(len(lengths))
+    weights, bound, least, found = need * lengths, 0.0, np.inf, []
     for _ in range(rounds):
-        pattern = priciest(prices, lengths, room)
-        step = min(need[at[x]] / a for x, a in pattern.items())
-        used.append((pattern, step))
-        for x, a in pattern.items():
-            i = at[x]
-            covered[i] += a * step / need[i]
-            prices[i] *= (1 - RATE) ** (a * step / need[i])
-    return used
-
-
-def best_fit(counts: dict[int, int], room: int) -> list[tuple[dict[int, int], int]]:
-    """Best-fit decreasing on a histogram: alike pieces meet alike gaps in one step."""
+        weights = weights / weights.sum()
+        pricing = Pricing(weights / need, lengths, room)
+        bound = max(bound, 1.0 / pricing.dearest)
+        used, held = pricing.cover(need)
+        total = sum(w for _, w in used)
+        if total < least:
+            least, found = total, used
+        if least <= (1 + gap) * bound:
+            break
+        weights = weights * np.exp(-RATE * np.minimum(held / need - 1, WIDTH))
+    return [({int(lengths[k]): a for k, a in pattern.items()}, w) for pattern, w in found], bound
+
+
+def best_fit(counts: Pattern, room: int, opened: list[tuple[Pattern, int]] = ()) -> list[tuple[Pattern, int]]:
+    """Best-fit decreasing on a histogram: alike pieces meet alike gaps in one step. ``opened`` sequences are filled up too."""
     gaps: dict[int, list] = {}
+    for pattern, many in opened:
+        gaps.setdefault(room - sum(x * a for x, a in pattern.items()), []).append((pattern, many))
     for length in sorted(counts, reverse=True):
         left = counts[length]
         while left:
@@ -184,28 +245,59 @@ def best_fit(counts: dict[int, int], room: int) -> list[tuple[dict[int, int], in
     return [x for own in gaps.values() for x in own]
 
 
-def plan(counts: dict[int, int], room: int = ROOM) -> list[tuple[dict[int, int], int]]:
-    """Patterns with how many sequences follow each; together they hold every piece exactly once.
+def rounded(patterns: list[tuple[Pattern, float]], counts: Pattern) -> tuple[list[tuple[Pattern, int]], Pattern]:
+    """Whole numbers of the patterns within ``counts``, in their order, and what they leave. Fractions pass on to the next pattern."""
+    left, chosen, owed = dict(counts), [], 0.0
+    for pattern, weight in patterns:
+        owed += weight
+        many = min(int(owed + 1e-9), *(left[x] // a for x, a in pattern.items()))
+        if many > 0:
+            owed -= many
+            chosen.append((pattern, many))
+            for x, a in pattern.items():
+                left[x] -= a * many
+    return chosen, {x: n for x, n in left.items() if n}
+
 
-    The program's solution is rounded down pattern by pattern, the rest is solved again, and
-    what remains of that is packed by best fit.
+def _sequences(plan: list[tuple[Pattern, int]]) -> int:
+    return sum(many for _, many in plan)
+
+
+def program(counts: Pattern, room: int = ROOM) -> tuple[list[tuple[Pattern, int]], Pattern, float]:
+    """Whole patterns from the program, the pieces they leave, and the program's lower bound of sequences.
+
+    The cover is rounded in shares, fullest patterns first, and what a share leaves is
+    packed by best fit. The greatest share that needs no more sequences than were found so
+    far, best fit alone being the first, is kept, and the program is solved again for what
+    it leaves, until that keeps few pieces more.
     """
-    left, chosen = {x: n for x, n in counts.items() if n}, []
-    for _ in range(SOLVES):
-        before = sum(left.values())
-        if not left:
+    left, chosen, bound = {x: n for x, n in counts.items() if n}, [], 0.0
+    fewest = _sequences(best_fit(left, room))
+    while left:
+        patterns, least = covering(left, room, rounds=ROUNDS if not bound else LATER)
+        bound = bound or least
+        patterns.sort(key=lambda p: (-sum(x * a for x, a in p[0].items()), -p[1]))
+        tried = []
+        for share in SHARES:
+            more, rest = rounded(patterns[: math.ceil(len(patterns) * share)], left)
+            tried.append((_sequences(best_fit(rest, room, chosen + more)), sum(rest.values()), more, rest))
+        total, pieces, more, rest = min(tried, key=lambda t: t[:2])
+        if total > fewest:
             break
-        for pattern, weight in sorted(fractional(left, room), key=lambda p: -sum(x * a for x, a in p[0].items())):
-            many = min(int(weight), *(left.get(x, 0) // a for x, a in pattern.items()))
-            # a pattern with a gap waits for the rest
-            if many > 0 and sum(x * a for x, a in pattern.items()) == room:
-                chosen.append((pattern, many))
-                for x, a in pattern.items():
-                    left[x] -= a * many
-        left = {x: n for x, n in left.items() if n}
-        if sum(left.values()) > 0.9 * before:
+        before, fewest = sum(left.values()), total
+        chosen, left = chosen + more, rest
+        if before - pieces < FEW * before:
             break
-    return chosen + best_fit(left, room)
+    return chosen, left, bound
+
+
+def plan(counts: Pattern, room: int = ROOM) -> list[tuple[Pattern, int]]:
+    """Patterns with how many sequences follow each; together they hold every piece exactly once.
+
+    The pieces that the program leaves fill its patterns' gaps and further sequences by best fit.
+    """
+    chosen, left, _ = program(counts, room)
+    return best_fit(left, room, chosen)
 
 
 def _slots(patterns: list[tuple[dict[int, int], int]]) -> dict[int, np.ndarray]:
@@ -251,9 +343,9 @@ def pack(docs: DataFrame, tokenizer: str, room: int = ROOM) -> DataFrame:
     summed, and a number's place in the plan is its sequence and offset. The plan also is a
     table over lengths, so both broadcasts are bounded by ``room`` and the rounds.
 
-    Defined results: null text is empty and gives the end id alone; a null ``doc_id`` and
-    repeated rows are packed like any; an empty table gives an empty result; further
-    columns are ignored.
+    Defined results: null text is empty and gives the end id alone; a very long text is cut
+    into as many pieces as it takes; a null ``doc_id`` and repeated rows are packed like any;
+    an empty table gives an empty result; further columns are ignored.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -42,7 +42,11 @@ def test_word_ids_equal_the_library():
         assert own.of(text.encode()) == struct.pack(f"<{len(ids)}I", *ids)
 
 
-@pytest.mark.parametrize("counts", [{}, {4096: 5}, {3000: 7, 1096: 3}, {1: 9000}, {2049: 4}, {k: k % 5 + 1 for k in range(1, 4097, 7)}])
+THIRDS = {1200 + 7 * k % 300: 1 + k % 50 for k in range(200)}
+HISTOGRAMS = [{}, {4096: 5}, {3000: 7, 1096: 3}, {1: 9000}, {2049: 4}, {k: k % 5 + 1 for k in range(1, 4097, 7)}, THIRDS, {64: 8000, 3584: 1000}]
+
+
+@pytest.mark.parametrize("counts", HISTOGRAMS)
 def test_plan_holds_every_piece_once(counts):
     patterns = packing.plan(counts)
     held = Counter()
@@ -51,8 +55,61 @@ def test_plan_holds_every_piece_once(counts):
         for x, a in pattern.items():
             held[x] += a * many
     assert held == Counter(counts)
-    bound = -(-sum(x * n for x, n in counts.items()) // 4096)
-    assert sum(m for _, m in patterns) <= max(bound * 1.02 + 1, sum(n for x, n in counts.items() if x > 2048))
+    alone = sum(m for _, m in packing.best_fit(counts, 4096))
+    assert sum(m for _, m in patterns) <= alone
+    if counts is THIRDS:
+        # three pieces a sequence at most; best fit alone is far from it
+        assert sum(m for _, m in patterns) <= 1.02 * math.ceil(sum(counts.values()) / 3) < alone
+    if 3584 in counts:
+        assert sum(m for _, m in patterns) == 1000
+
+
+@pytest.mark.parametrize("counts", [c for c in HISTOGRAMS if c])
+def test_program_covers_every_length_above_its_bound(counts):
+    patterns, bound = packing.covering(counts, 4096)
+    held = Counter()
+    for pattern, weight in patterns:
+        assert weight > 0 and sum(x * a for x, a in pattern.items()) <= 4096
+        for x, a in pattern.items():
+            held[x] += a * weight
+    assert all(held[x] >= n - 1e-6 for x, n in counts.items())
+    total = sum(w for _, w in patterns)
+    assert sum(x * n for x, n in counts.items()) / 4096 - 1e-6 <= bound <= total + 1e-6
+    assert bound <= sum(m for _, m in packing.best_fit(counts, 4096)) + 1e-6
+
+
+def least_sequences(pieces, room):
+    """Fewest sequences for a few pieces, by trying all ways."""
+    def place(k, gaps):
+        if k == len(pieces):
+            return len(gaps)
+        ways = [place(k + 1, [*gaps, room - pieces[k]])]
+        for i, gap in enumerate(gaps):
+            if gap >= pieces[k] and gap not in gaps[:i]:
+                ways.append(place(k + 1, [*gaps[:i], gap - pieces[k], *gaps[i + 1 :]]))
+        return min(ways)
+
+    return place(0, [])
+
+
+def test_plans_of_few_pieces_are_least_or_next_to_it():
+    draw, more = random.Random(3), 0
+    for _ in range(40):
+        pieces = sorted((draw.randint(3, 14) for _ in range(8)), reverse=True)
+        more += sum(m for _, m in packing.plan(Counter(pieces), 20)) - least_sequences(pieces, 20)
+    assert more <= 1
+
+
+def test_most_pieces_of_the_documents_are_placed_by_the_program(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    cut = docs.mapInArrow(packing._pieces(vocabulary("word_bpe_49k.json"), 4096), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    counts = {r["length"]: r["count"] for r in cut.groupBy("length").count().collect()}
+    chosen, left, bound = packing.program(counts)
+    share = 1 - sum(left.values()) / sum(counts.values())
+    patterns, _ = packing.covering(counts, 4096)
+    print(f"placed by the program: {share:.0%}; cover {sum(w for _, w in patterns):.1f}, bound {bound:.1f}")
+    assert share > 0.5 and sum(w for _, w in patterns) <= 1.005 * bound
+    assert sum(m for _, m in packing.best_fit(left, 4096, chosen)) <= bound + 1
 
 
 def test_packed_sequences_have_no_gap(spark, odd, nothing, monkeypatch):
