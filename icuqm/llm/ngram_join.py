@@ -11,6 +11,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from icuqm.llm.components import components
 from icuqm.llm.text import WIDTH, batches_of, byte_texts, mixed, shingle_keys
@@ -24,6 +25,8 @@ CHUNK_BITS = 16
 PER_TASK = 100_000
 #: Tokens of one part of a group, members that all parts of a group share, queries to one part that one task takes.
 TOKENS = 1 << 19
+#: A document joins a leader's group from this part of the tokens on that a link takes.
+LOOSER = 4
 PIVOTS = 32
 QUERIES = 4000
 LEVEL_STEP = 8
@@ -283,9 +286,9 @@ def met_links(rows: DataFrame, opened: DataFrame, share: int, width: int) -> Dat
     return rows.mapInArrow(_meet(share, width), "a long, b long")
 
 
-def _wanted(n: str, m: str):
-    """``hits_needed`` of the smaller of two sets."""
-    return 1 + F.floor(F.least(F.col(n), F.col(m)) / SLACK)
+def _wanted(n: str, m: str, share: int = 100):
+    """``hits_needed`` of the smaller of two sets, or of ``share`` of it."""
+    return 1 + F.floor(F.ceil(F.least(F.col(n), F.col(m)) * share / 100) / SLACK)
 
 
 def compatible(n: str, m: str, share: int):
@@ -315,6 +318,69 @@ def pivots(members: DataFrame) -> DataFrame:
     return own.select("grp", _numbers(F.col("parts"), "sub"), "id", _place(F.col("parts")).alias("home")).where("sub <> home").drop("home")
 
 
+def _gather(share: int):
+    """One row per document from rows sorted by it: its prefix tokens and the leader with which it shares most.
+
+    Documents with fewer shared prefix tokens than any link takes are left out. A leader is
+    named from a part of the tokens on that a link takes.
+    """
+    names = ["id", "n", "tokens", "leader"]
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def document():
+            doc_id, n = now
+            tokens, leaders, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+            if len(tokens) < hits_needed(needed(n, share)):
+                return None
+            fits = (leaders != doc_id) & (sizes * share <= n * 100) & (n * share <= sizes * 100)
+            found, first, hits = np.unique(leaders[fits], return_index=True, return_counts=True)
+            enough = hits * LOOSER >= hits_needed(np.minimum(n, sizes[fits][first]))
+            best = int(found[enough][hits[enough].argmax()]) if enough.any() else None
+            return doc_id, n, tokens, best
+
+        def batch(rows):
+            ids, ns, tokens, leaders = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(leaders, pa.int64())], names)
+
+        rows = []
+        for frame in frames:
+            ids, ns, tokens, leaders, sizes = (frame.column(c).to_numpy(zero_copy_only=False) for c in ("id", "n", "token", "leader", "m"))
+            cuts = np.flatnonzero((ids[1:] != ids[:-1]) | (ns[1:] != ns[:-1])) + 1
+            for start, end in zip([0, *cuts], [*cuts, len(ids)], strict=True):
+                if start == end:
+                    continue
+                key = int(ids[start]), int(ns[start])
+                if key != now:
+                    if held and (row := document()):
+                        rows.append(row)
+                    now, held = key, []
+                held.append((tokens[start:end], leaders[start:end], sizes[start:end]))
+            if rows:
+                yield batch(rows)
+                rows = []
+        if held and (row := document()):
+            yield batch([row])
+
+    return run
+
+
+def gather(index: DataFrame, share: int) -> DataFrame:
+    """``(id, n, tokens, leader)`` of documents that may have links, from ``index (token, id, n, leader, m)``."""
+    rows = index.select("id", "n", "token", "leader", "m").repartition("id").sortWithinPartitions("id", "n")
+    return rows.mapInArrow(_gather(share), "id long, n int, tokens array<long>, leader long")
+
+
+def leaders_of_salts(index: DataFrame, share: int) -> DataFrame:
+    """``(a, b)``: a salted token's leaders follow the first of them, so that their groups are one."""
+    own = index.where("salt > 0 and id = leader").select("token", "id", "n")
+    firsts = own.groupBy("token").agg(F.min(F.struct("id", "n")).alias("first"))
+    pairs = own.join(firsts, "token").select(F.col("first.id").alias("a"), F.col("first.n").alias("m"), F.col("id").alias("b"), "n")
+    pairs = pairs.where("a <> b").where(compatible("n", "m", share)).groupBy("a", "b").agg(F.count("*").alias("hits"), F.min("n").alias("n"), F.min("m").alias("m"))
+    return pairs.where(F.col("hits") * LOOSER >= _wanted("n", "m")).select("a", "b")
+
+
 def near_groups(index: DataFrame, group: DataFrame, share: int) -> DataFrame:
     """``(id, other)``: documents with the further groups that they may link with.
 
@@ -322,10 +388,13 @@ def near_groups(index: DataFrame, group: DataFrame, share: int) -> DataFrame:
     similar documents in different groups, one finds at least ``hits_needed`` of its
     prefix tokens in the other's row, so groups with fewer are not opened for it.
     """
-    own = F.coalesce("component", "id").alias("own")
-    owned = write_stage(index.select("token", "id", "n").join(group, "id", "left").select("token", "id", "n", own), "ngram-owned")
-    torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
-    owned = write_stage(owned.join(torn, "token"), "ngram-torn")
+    owned = index.join(group, "id", "left").select("id", "n", F.coalesce("component", "id").alias("own"), F.explode("tokens").alias("token"))
+    key = Window.partitionBy("token")
+    owned = owned.withColumns({"low": F.min("own").over(key), "high": F.max("own").over(key)}).where("low <> high")
+    owned = write_stage(owned.select("token", "id", "n", "own"), "ngram-torn")
+    # documents with too few tokens in other groups ask for none
+    asking = owned.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= _wanted("n", "n", share)).select("id")
+    owned = write_stage(owned.join(asking.distinct(), "id", "left_semi"), "ngram-torn")
     matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
     fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
     near = owned.join(matrix, "token").where(fits).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
@@ -381,17 +450,11 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
         "ngram-shared",
     )
     copies = shared.where("head is not null").select(F.col("head").alias("a"), F.col("id").alias("b"))
-    index = shared.where("head is null")
-
-    stars = index.where("id <> leader").select(F.col("leader").alias("a"), "m", F.col("id").alias("b"), "n")
-    firsts = index.where("salt > 0 and id = leader").groupBy("token").agg(F.min(F.struct("id", "n")).alias("first"))
-    salted = index.where("salt > 0 and id = leader").select("token", "id", "n").join(firsts, "token").where("id <> first.id")
-    stars = stars.union(salted.select("first.id", "first.n", "id", "n")).where(compatible("n", "m", share)).groupBy("a", "b").agg(F.count("*").alias("hits"), F.min("n").alias("n"), F.min("m").alias("m"))
-    stars = write_stage(stars.where(F.col("hits") >= _wanted("n", "m")), "ngram-stars")
-    best = stars.groupBy("b").agg(F.max_by("a", F.struct("hits", -F.col("a"))).alias("a"))
-    group = components(best, "ngram-groups")
-    ends = stars.select(F.col("a").alias("id"), F.col("m").alias("n")).union(stars.select("b", "n")).groupBy("id").agg(F.max("n").alias("n"))
-    members = write_stage(split_groups(group, ends), "ngram-members")
+    rows = shared.where("head is null")
+    index = write_stage(gather(rows, share), "ngram-index")
+    best = index.where("leader is not null").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    group = components(best.union(leaders_of_salts(rows, share)), "ngram-groups")
+    members = write_stage(split_groups(group, index.groupBy("id").agg(F.max("n").alias("n"))), "ngram-members")
     near = write_stage(near_groups(index, group, share), "ngram-near")
 
     # members of groups, single documents that are asked for, and queries
