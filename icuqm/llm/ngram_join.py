@@ -11,7 +11,6 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from icuqm.llm.components import components
 from icuqm.llm.text import WIDTH, batches_of, byte_texts, mixed, shingle_keys
@@ -45,11 +44,11 @@ def hits_needed(n: int | np.ndarray):
 
 
 def sketch_bits(n_bytes: int) -> int:
-    """Counters of the token sketch: one for some 16 tokens, 2^24 at most, which is a broadcast of 16 MB.
+    """Counters of the token sketch: one for some 32 tokens, 2^24 at most, which is a broadcast of 16 MB.
 
     Any size gives the same result, a larger one fewer candidates.
     """
-    return min(24, max(CHUNK_BITS, math.ceil(math.log2(n_bytes + 1)) - 7))
+    return min(24, max(CHUNK_BITS, math.ceil(math.log2(n_bytes + 1)) - 8))
 
 
 def filter_bits(n_docs: int) -> int:
@@ -79,7 +78,9 @@ def _measure(bits: int, width: int):
             )
         pack = zstandard.ZstdCompressor(level=1)
         for part in range(1 << (bits - CHUNK_BITS)):
-            chunk = np.minimum(counts[part << CHUNK_BITS : (part + 1) << CHUNK_BITS], 0xFFFFFFFF).astype(np.uint32)
+            chunk = np.minimum(counts[part << CHUNK_BITS : (part + 1) << CHUNK_BITS], 0xFFFFFFFF)
+            # a byte each where that is enough, as in most tasks
+            chunk = chunk.astype(np.uint8 if chunk.max() < 256 else np.uint32)
             if chunk.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part], pa.int32()), pa.array([pack.compress(chunk.tobytes())], pa.binary())],
@@ -103,7 +104,8 @@ def _levels(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if now is not None:
                     yield done()
                 now, total = part, np.zeros(1 << CHUNK_BITS, dtype=np.int64)
-            total += np.frombuffer(unpack.decompress(data), dtype=np.uint32)
+            chunk = unpack.decompress(data)
+            total += np.frombuffer(chunk, dtype=np.uint8 if len(chunk) == 1 << CHUNK_BITS else np.uint32)
     if now is not None:
         yield done()
 
@@ -319,12 +321,12 @@ def pivots(members: DataFrame) -> DataFrame:
 
 
 def _gather(share: int):
-    """One row per document from rows sorted by it: its prefix tokens and the leader with which it shares most.
+    """One row per document from rows sorted by it: its prefix tokens, their leaders, and the leader with which it shares most.
 
     Documents with fewer shared prefix tokens than any link takes are left out. A leader is
     named from a part of the tokens on that a link takes.
     """
-    names = ["id", "n", "tokens", "leader"]
+    names = ["id", "n", "tokens", "leaders", "leader"]
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -338,11 +340,12 @@ def _gather(share: int):
             found, first, hits = np.unique(leaders[fits], return_index=True, return_counts=True)
             enough = hits * LOOSER >= hits_needed(np.minimum(n, sizes[fits][first]))
             best = int(found[enough][hits[enough].argmax()]) if enough.any() else None
-            return doc_id, n, tokens, best
+            return doc_id, n, tokens, leaders, best
 
         def batch(rows):
-            ids, ns, tokens, leaders = zip(*rows, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(leaders, pa.int64())], names)
+            ids, ns, tokens, leaders, best = zip(*rows, strict=True)
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (tokens, leaders)]
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ns, pa.int32()), *lists, pa.array(best, pa.int64())], names)
 
         rows = []
         for frame in frames:
@@ -367,9 +370,9 @@ def _gather(share: int):
 
 
 def gather(index: DataFrame, share: int) -> DataFrame:
-    """``(id, n, tokens, leader)`` of documents that may have links, from ``index (token, id, n, leader, m)``."""
+    """``(id, n, tokens, leaders, leader)`` of documents that may have links, from ``index (token, id, n, leader, m)``."""
     rows = index.select("id", "n", "token", "leader", "m").repartition("id").sortWithinPartitions("id", "n")
-    return rows.mapInArrow(_gather(share), "id long, n int, tokens array<long>, leader long")
+    return rows.mapInArrow(_gather(share), "id long, n int, tokens array<long>, leaders array<long>, leader long")
 
 
 def leaders_of_salts(index: DataFrame, share: int) -> DataFrame:
@@ -381,20 +384,32 @@ def leaders_of_salts(index: DataFrame, share: int) -> DataFrame:
     return pairs.where(F.col("hits") * LOOSER >= _wanted("n", "m")).select("a", "b")
 
 
-def near_groups(index: DataFrame, group: DataFrame, share: int) -> DataFrame:
+def torn_tokens(index: DataFrame, salted: DataFrame, group: DataFrame) -> DataFrame:
+    """Tokens that documents of several groups hold: those of a document in another group than the token's leader, or whose leaders differ."""
+    to = group.select(F.col("id").alias("to"), F.col("component").alias("led"))
+    ties = index.select("id", "own", F.explode(F.array_distinct("leaders")).alias("to")).join(to, "to", "left")
+    ties = ties.where(F.col("own") != F.coalesce("led", "to")).groupBy("id").agg(F.collect_set("to").alias("foreign"))
+    pairs = index.join(ties, "id").select("foreign", F.explode(F.arrays_zip("tokens", "leaders")).alias("z"))
+    torn = pairs.where(F.array_contains("foreign", F.col("z.leaders"))).select(F.col("z.tokens").alias("token"))
+    heads = salted.select("token", F.col("leader").alias("to")).distinct().join(to, "to", "left").select("token", F.coalesce("led", "to").alias("led"))
+    several = heads.groupBy("token").agg(F.min("led").alias("low"), F.max("led").alias("high")).where("low <> high").select("token")
+    return torn.union(several).distinct()
+
+
+def near_groups(index: DataFrame, salted: DataFrame, group: DataFrame, share: int) -> DataFrame:
     """``(id, other)``: documents with the further groups that they may link with.
 
     The token-group matrix holds, per token and group, the range of set sizes. Of two
     similar documents in different groups, one finds at least ``hits_needed`` of its
     prefix tokens in the other's row, so groups with fewer are not opened for it.
     """
-    owned = index.join(group, "id", "left").select("id", "n", F.coalesce("component", "id").alias("own"), F.explode("tokens").alias("token"))
-    key = Window.partitionBy("token")
-    owned = owned.withColumns({"low": F.min("own").over(key), "high": F.max("own").over(key)}).where("low <> high")
-    owned = write_stage(owned.select("token", "id", "n", "own"), "ngram-torn")
+    index = index.join(group, "id", "left").withColumn("own", F.coalesce("component", "id"))
+    tokens = write_stage(torn_tokens(index, salted, group), "ngram-torn")
+    owned = index.select("id", "n", "own", F.explode("tokens").alias("token")).join(tokens, "token")
+    owned = write_stage(owned.select("token", "id", "n", "own"), "ngram-owned")
     # documents with too few tokens in other groups ask for none
     asking = owned.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= _wanted("n", "n", share)).select("id")
-    owned = write_stage(owned.join(asking.distinct(), "id", "left_semi"), "ngram-torn")
+    owned = write_stage(owned.join(asking.distinct(), "id", "left_semi"), "ngram-asking")
     matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
     fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
     near = owned.join(matrix, "token").where(fits).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
@@ -455,7 +470,7 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     best = index.where("leader is not null").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     group = components(best.union(leaders_of_salts(rows, share)), "ngram-groups")
     members = write_stage(split_groups(group, index.groupBy("id").agg(F.max("n").alias("n"))), "ngram-members")
-    near = write_stage(near_groups(index, group, share), "ngram-near")
+    near = write_stage(near_groups(index, rows.where("salt > 0"), group, share), "ngram-near")
 
     # members of groups, single documents that are asked for, and queries
     parts = members.select("grp", "parts").distinct()
