@@ -153,3 +153,73 @@ def test_long_lists_are_joined_with_equal_verdicts(spark, monkeypatch):
 def test_equal_keys_are_told_apart_by_their_strings():
     array = url_filter.DigestArray.opened(url_filter.DigestArray.packed(["one", "two", "three"], key=lambda s: 5))
     assert array.holds([b"one", b"three", b"four"], key=lambda s: 5).tolist() == [True, True, False]
+
+
+def replaced(spark, texts, key="k"):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [r["text"] for r in pii.pseudonymise(frame, key).orderBy("doc_id").collect()]
+
+
+def test_more_names_than_a_list_holds(spark):
+    count = 2000
+
+    def spelled(i):
+        return "".join(chr(97 + i // 26**k % 26) for k in range(3))
+
+    texts = [f"Mrs. X{spelled(i)} Y{spelled(i)}q came." for i in range(count)]
+    got = [t.split()[1:3] for t in replaced(spark, texts)]
+    assert len({g for g, _ in got}) == len({f for _, f in got}) == count
+    real = {w for t in texts for w in t.split()[1:3]}
+    assert not real & {w for pair in got for w in pair}
+
+
+def test_secrets_in_all_spellings(spark):
+    texts = [
+        'password = "********"', 'TOKEN = "9233A8EC12"', "password=hunter2secret now", '{"password": "x"}', "Secret: 'abc-def'", "9F86D081884C7D659A2FEAA0C55AD015",
+        "token: something harmless", "the password is secret",
+    ]
+    got = replaced(spark, texts)
+    assert got[-2:] == texts[-2:]
+    for before, after in zip(texts[:-2], got, strict=False):
+        assert before != after
+    assert re.fullmatch('password = "[a-z]{8}"', got[0]) and re.fullmatch('TOKEN = "[0-9]{4}[A-Z][0-9][A-Z]{2}[0-9]{2}"', got[1])
+    assert re.fullmatch("password=[a-z]{6}[0-9][a-z]{6} now", got[2]) and re.fullmatch('{"password": "[a-z]"}', got[3])
+
+
+def test_names_of_all_shapes_are_replaced_whole(spark):
+    texts = ["Mr. O'Brien left.", "Dr. J. Smith left.", "Mr. McDonald left.", "Mr. Jean-Luc Picard left.", "Mr. Jean-Luc's cat."]
+    got = replaced(spark, texts)
+    for name in ("O'Brien", "Brien", "Smith", "McDonald", "Donald", "Jean", "Luc", "Picard"):
+        assert not any(name in t for t in got)
+    assert re.fullmatch(r"Dr\. J\. [A-Z][a-z]+ left\.", got[1]) and re.fullmatch(r"Mr\. [A-Z][a-z]+ [A-Z][a-z]+ left\.", got[3]) and got[4].endswith("'s cat.")
+
+
+def test_one_person_keeps_one_surrogate(spark):
+    text = "Mr. Kim Smith and Dr. Kim Smith met. Smith left, then Smithson and Kim."
+    got = replaced(spark, [text, "Prof. Smith spoke.", "Smith alone."])
+    given, family = got[0].split()[1:3]
+    assert got[0] == f"Mr. {given} {family} and Dr. {given} {family} met. {family} left, then Smithson and {given}."
+    assert given in pii.GIVEN["man"]["latin"].split() and got[1] == f"Prof. {family} spoke." and got[2] == "Smith alone."
+
+
+def test_bank_numbers_keep_their_check(spark):
+    got = replaced(spark, ["Pay to DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432 now."])[0]
+    for number in re.findall(r"[A-Z]{2}\d{2}[A-Z0-9 ]+\d", got):
+        plain = number.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+    assert "3704" not in got
+
+
+def test_marks_and_clashing_columns(spark):
+    text = "a\ue000b\ue001 call +1 415 555 2671 or +250, Mr. Hall"
+    frame = spark.createDataFrame([(1, text, "x", 3, "y", "z"), (2, "plain \ue000", "x", 3, "y", "z")], "doc_id long, text string, _sha string, pieces int, sha string, row string")
+    got = {r["doc_id"]: r for r in pii.pseudonymise(frame, "k").collect()}
+    assert got[1]["text"].startswith("a\ue000b\ue001 call +1 ") and "+250, Mr. " in got[1]["text"] and "Hall" not in got[1]["text"] and "2671" not in got[1]["text"]
+    assert (got[1]["_sha"], got[1]["pieces"], got[1]["sha"], got[1]["row"], got[1]["n_replaced"]) == ("x", 3, "y", "z", 2)
+    assert (got[2]["text"], got[2]["n_replaced"]) == ("plain \ue000", 0)
+
+
+def test_very_long_texts_are_read_whole(spark):
+    filler = "word " * 60_000
+    got = replaced(spark, [f"{filler}mail jane.doe@corp.org {filler}Mr. Hall {filler}"])[0]
+    assert "jane.doe" not in got and "Hall" not in got and len(got) > 3 * len(filler)
