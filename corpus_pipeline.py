@@ -26,8 +26,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data become surrogates; ``n_chars`` follows the new text."""
-    fresh = pii.pseudonymise(docs, KEY).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Personal data become surrogates; ``n_chars`` follows the new text. A deployment names its secret in ``spark.icuqm.pii.key``."""
+    fresh = pii.pseudonymise(docs, spark.conf.get("spark.icuqm.pii.key", KEY)).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return fresh.select(docs.columns)
 
 
