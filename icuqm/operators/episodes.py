@@ -8,22 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, HOUR, micros, minutes
-from icuqm.operators.ordered import along, following, following_at, last_seen, next_seen, previous, running_min
+from icuqm.operators.ordered import _AT, RUN, along, following_at, mark_runs, next_seen, previous, running_min
 
 
 def runs(
     df: DataFrame, by: Sequence[str], on: str, flag: str, max_step: int, tiebreak: Sequence[str] = (), width: int = DAY
 ) -> DataFrame:
     """Maximal runs of one flag value without a step above ``max_step`` (T-RUN)."""
-    stamped = df.withColumn("_now", micros(df, on))
-    back = along(stamped, by, on, {"_was": previous(F.struct("_now", flag))}, tiebreak, width)
-    broken = (
-        F.col("_was").isNull()
-        | ~F.col(f"_was.{flag}").eqNullSafe(F.col(flag))
-        | (F.col("_now") - F.col("_was._now") > F.lit(max_step))
-    )
-    marked = along(back, by, on, {"run_start": last_seen(F.when(broken, F.col("_now")))}, tiebreak, width)
-    return marked.groupBy(*by, "run_start", flag).agg(F.max("_now").alias("run_end"), F.count(F.lit(1)).alias("run_size"))
+    near = lambda was, now: ~was["v"].eqNullSafe(now["v"]) | (now["at"] - was["at"] > F.lit(max_step))
+    marked = mark_runs(df, by, on, flag, near, tiebreak, width)
+    return marked.groupBy(*by, F.col(f"{RUN}.{_AT}").alias("run_start"), flag).agg(F.max(_AT).alias("run_end"), F.count(F.lit(1)).alias("run_size"))
 
 
 def episodes(
@@ -35,24 +29,20 @@ def episodes(
     last row and has ``closed = false``.
     """
     by = list(by)
-    slim = df.select(*by, on, *[c for c in tiebreak if c not in (on, state)], state).withColumn("_now", micros(df, on))
-    near = along(
-        slim, by, on, {"_was": previous(F.col(state), nullable=True), "_next": following_at()}, tiebreak, width
-    )
-    changed = F.col("_was").isNull() | ~F.col("_was.v").eqNullSafe(F.col(state))
-    marks = near.withColumns({"_start": changed, "_final": F.col("_next").isNull()}).where("_start or _final")
-    border = F.struct(
-        F.when(F.col("_start"), F.col("_now")).otherwise(F.col("_now") + F.lit(trail)).alias("at"),
-        F.col("_start").alias("closed"),
-    )
-    ahead = along(marks, by, on, {"_border": following(border)}, tiebreak, width)
-    return ahead.where("_start").select(
+    slim = df.select(*by, on, *[c for c in tiebreak if c not in (on, state)], state)
+    marked = mark_runs(slim, by, on, state, lambda was, now: ~was["v"].eqNullSafe(now["v"]), tiebreak, width)
+    # a run's state is that of any of its rows; the struct keeps a state of NULL
+    eps = marked.groupBy(*by, RUN).agg(F.first(F.struct(state)).alias("_state"), F.max(_AT).alias("_last"))
+    order = F.col(RUN).getField(_AT)
+    eps = eps.select(*by, order.alias("start"), RUN, "_state", "_last")
+    near = along(eps, by, "start", {"_was": previous(F.col("_state")), "_next": following_at()}, [RUN], width)
+    return near.select(
         *by,
-        F.col(state),
-        F.col("_was.v").alias(f"prev_{state}"),
-        F.col("_now").alias("start"),
-        F.coalesce(F.col("_border.at"), F.col("_now") + F.lit(trail)).alias("end"),
-        F.coalesce(F.col("_border.closed"), F.lit(False)).alias("closed"),
+        F.col(f"_state.{state}").alias(state),
+        F.col(f"_was.{state}").alias(f"prev_{state}"),
+        "start",
+        F.coalesce(F.col("_next"), F.col("_last") + F.lit(trail)).alias("end"),
+        F.col("_next").isNotNull().alias("closed"),
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, HOUR, local_day, micros, midnight, minutes
 from icuqm.operators.ordered import BUCKET, along, following_at, last_seen, previous_at, running_sum
-from icuqm.operators.overlap import Span, intersect_intervals, list_buckets
+from icuqm.operators.overlap import Span, list_buckets, points_in_intervals
 
 
 def carry_forward(
@@ -134,24 +134,17 @@ def off_gaps(
     """Gaps in the active time of each window, after its first active moment (T-GAP).
 
     A gap between two active blocks has ``resumed = true``; the rest of the window after the last
-    block has ``resumed = false``. The active intervals may overlap.
+    block has ``resumed = false``. The active intervals may overlap: they are merged per key first, and the
+    windows are joined to the merged blocks' ends, so no window is ordered in one task.
     """
     keys = [*by, *key]
-    pieces = intersect_intervals(windows.select(*keys, *window), active.select(*by, *span), by, window, span, width)
-    order = Window.partitionBy(*keys).orderBy("start", "end")
-    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    upto = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    is_last = F.lead("start").over(order).isNull()
-    gap = "struct<gap_start: bigint, gap_end: bigint, resumed: boolean>"
-    between = F.when(F.col("start") > F.col("_reach"), F.struct("_reach", "start", F.lit(True)).cast(gap))
-    tail = F.when(
-        F.col("_last") & (F.col(window[1]) > F.col("_upto")), F.struct("_upto", window[1], F.lit(False)).cast(gap)
-    )
-    return (
-        pieces.withColumns({"_reach": reach, "_upto": upto, "_last": is_last})
-        .withColumn("_gap", F.explode(F.array_compact(F.array(between, tail))))
-        .select(*keys, "_gap.*")
-    )
+    blocks = union_intervals(active.select(*by, F.col(span[0]).alias("start"), F.col(span[1]).alias("end")), by, width=width)
+    ahead = along(blocks, by, "start", {"_next": following_at()}, width=width)
+    ends = ahead.select(*by, F.col("end").alias("gap_start"), F.col("_next"))
+    # a block that ends inside a window was active in it, so its end starts a gap there
+    held = points_in_intervals(ends, windows.select(*keys, *window), by, "gap_start", window, closed="none", width=width)
+    resumed = F.coalesce(F.col("_next") < F.col(window[1]), F.lit(False))
+    return held.select(*keys, "gap_start", F.least(F.col("_next"), F.col(window[1])).alias("gap_end"), resumed.alias("resumed"))
 
 
 def qualify_holds(gaps: DataFrame, keys: Sequence[str], floor: int) -> DataFrame:

@@ -9,7 +9,7 @@ by (entity, bucket). The rows are shuffled once, as for a plain window.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -160,3 +160,42 @@ def along(
     carries = per_bucket.select(*by, BUCKET, *[c.alias(n) for n, c in carried.items()])
     joined = rows.withColumns(inside).join(carries, [*by, BUCKET], "inner")
     return joined.withColumns(final).drop(_AT, BUCKET, *inside, *carried)
+
+
+RUN = "_run"
+
+
+def mark_runs(
+    df: DataFrame, by: Sequence[str], on: str, value: str, breaks: Callable[[Column, Column], Column], tiebreak: Sequence[str] = (), width: int = DAY
+) -> DataFrame:
+    """Add ``_run``: the order columns of the first row of the row's run.
+
+    ``breaks(before, now)`` tells from two neighbours, as structs ``at, v``, whether a run starts at the
+    second. Rows are exchanged once. A bucket's summary holds its first and last row and its last run
+    start after the first row; of two buckets' summaries the summary of both follows, so one scan over the
+    buckets closes the runs that cross their borders.
+    """
+    by = list(by)
+    present = F.col(on).isNotNull()
+    for key in by:
+        present = present & F.col(key).isNotNull()
+    rows = df.where(present).withColumn(_AT, micros(df, on))
+    rows = rows.withColumn(BUCKET, bucket_of(F.col(_AT), width))
+    order = [F.col(_AT), *[F.col(c) for c in tiebreak]]
+    place = F.struct(*order)
+    here = F.struct(F.col(_AT).alias("at"), F.col(value).alias("v"))
+    local = Window.partitionBy(*by, BUCKET).orderBy(*order)
+    upto = Window.unboundedPreceding, 0
+    inside = rows.withColumn("_before", F.lag(here).over(local))
+    starts = F.when(F.col("_before").isNotNull() & breaks(F.col("_before"), here), place)
+    inside = inside.withColumn("_own", F.last(starts, ignorenulls=True).over(local.rowsBetween(*upto)))
+    summary = inside.groupBy(*by, BUCKET).agg(
+        F.min_by(here, place).alias("_first"), F.min(place).alias("_head"), F.max_by(here, place).alias("_last"), F.max("_own").alias("_tail")
+    )
+    entity = Window.partitionBy(*by).orderBy(BUCKET)
+    summary = summary.withColumn("_was", F.lag("_last").over(entity))
+    head = F.when(F.col("_was").isNull() | breaks(F.col("_was"), F.col("_first")), F.col("_head"))
+    summary = summary.withColumn("_head", head)
+    carried = F.last(F.coalesce("_tail", "_head"), ignorenulls=True).over(entity.rowsBetween(Window.unboundedPreceding, -1))
+    summary = summary.select(*by, BUCKET, F.coalesce("_head", carried).alias("_open"))
+    return inside.join(summary, [*by, BUCKET]).withColumn(RUN, F.coalesce("_own", "_open")).drop("_before", "_own", "_open", BUCKET)
