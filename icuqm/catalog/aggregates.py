@@ -366,28 +366,38 @@ def nested(t: Tables):
     return distribution.nested_median(rows, ["l_orderkey"], ["o_custkey"], "l_quantity").withColumn("median", F.round("median", 6))
 
 
+# upper tail of the chi-square distribution by the series of the lower incomplete gamma function
+_TAIL = """round(1 - exp({a} * ln({x}) - {x} - lgamma({a} + 1)) * list_sum([exp(k * ln({x}) + lgamma({a} + 1) - lgamma({a} + k + 1)) FOR k IN range(400)]), 6) AS p"""
+
+
 @query(
     "rank_test",
     """WITH c AS (SELECT c_acctbal AS v, c_mktsegment = 'BUILDING' AS g FROM customer),
 r AS (SELECT *, (rank() OVER (ORDER BY v) + (rank() OVER (ORDER BY v) + count(*) OVER (PARTITION BY v) - 1)) / 2.0 AS mid FROM c),
 tie AS (SELECT sum(n * n * n - n) AS ties FROM (SELECT count(*)::DOUBLE AS n FROM c GROUP BY v)),
-s AS (SELECT sum(CASE WHEN g THEN mid END) AS r1, sum(CASE WHEN NOT g THEN mid END) AS r2, count(*) FILTER (WHERE g) AS n_true, count(*) FILTER (WHERE NOT g) AS n_false, count(*)::DOUBLE AS n FROM r)
-SELECT round((12 / (n * (n + 1)) * (r1 * r1 / n_true + r2 * r2 / n_false) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)), 4) AS h, n_true, n_false FROM s, tie""",
+s AS (SELECT sum(CASE WHEN g THEN mid END) AS r1, sum(CASE WHEN NOT g THEN mid END) AS r2, count(*) FILTER (WHERE g) AS n_true, count(*) FILTER (WHERE NOT g) AS n_false, count(*)::DOUBLE AS n FROM r),
+h AS (SELECT (12 / (n * (n + 1)) * (r1 * r1 / n_true + r2 * r2 / n_false) - 3 * (n + 1)) / (1 - ties / (n * n * n - n)) AS h, n_true, n_false FROM s, tie)
+SELECT round(h, 4) AS h, n_true, n_false, """
+    + _TAIL.format(a="0.5", x="h / 2")
+    + " FROM h",
 )
 def rank_test(t: Tables):
     rows = t.customer.select("c_acctbal", (F.col("c_mktsegment") == "BUILDING").alias("g"))
-    return distribution.kruskal(rows, "c_acctbal", "g").select(F.round("h", 4).alias("h"), "n_true", "n_false")
+    return distribution.kruskal(rows, "c_acctbal", "g").select(F.round("h", 4).alias("h"), "n_true", "n_false", F.round("p", 6).alias("p"))
 
 
 @query(
     "contingency_test",
     """WITH c AS (SELECT o_orderpriority AS l, count(*) FILTER (WHERE o_orderstatus = 'F')::DOUBLE AS a, count(*) FILTER (WHERE o_orderstatus <> 'F')::DOUBLE AS b FROM orders GROUP BY 1),
-t AS (SELECT sum(a) AS ta, sum(b) AS tb, count(*) AS k FROM c)
-SELECT round(sum((a - (a + b) * ta / (ta + tb)) ** 2 / ((a + b) * ta / (ta + tb)) + (b - (a + b) * tb / (ta + tb)) ** 2 / ((a + b) * tb / (ta + tb))), 4) AS chi2, any_value(k) - 1 AS dof FROM c, t""",
+t AS (SELECT sum(a) AS ta, sum(b) AS tb, count(*) AS k FROM c),
+x AS (SELECT sum((a - (a + b) * ta / (ta + tb)) ** 2 / ((a + b) * ta / (ta + tb)) + (b - (a + b) * tb / (ta + tb)) ** 2 / ((a + b) * tb / (ta + tb))) AS chi2, any_value(k) - 1 AS dof FROM c, t)
+SELECT round(chi2, 4) AS chi2, dof, """
+    + _TAIL.format(a="(dof / 2.0)", x="chi2 / 2")
+    + " FROM x",
 )
 def chi_square(t: Tables):
     rows = t.orders.select("o_orderpriority", (F.col("o_orderstatus") == "F").alias("g"))
-    return profile.contingency_test(rows, "g", "o_orderpriority").select(F.round("chi2", 4).alias("chi2"), "dof")
+    return profile.contingency_test(rows, "g", "o_orderpriority").select(F.round("chi2", 4).alias("chi2"), "dof", F.round("p", 6).alias("p"))
 
 
 # ---------------------------------------------------------------- profiles

@@ -1,58 +1,77 @@
 """Histograms, buckets, exact quantiles and ranks.
 
-Exact quantiles need global ranks. Equal values are counted first; the distinct values are then cut
-into about equally large ranges by an approximate sketch (which only decides where to cut), ranked
-inside each range, and shifted by the counts of the ranges below. No group is sorted in one task.
+Exact quantiles are selected by refinement. Equal values are counted first. While a group has more
+distinct values than one task should order, they are cut into ranges by an approximate sketch, which only
+decides where to cut, the ranges are counted, and only those that hold a wanted rank are kept. What remains
+is ordered. Nothing is approximated and no great group is ordered in one task.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Mapping, Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icuqm.session import cut_lineage
 
-RANGES = 32
+#: Distinct values that one task orders, and ranges of one cut.
+ORDERED = 200_000
+MOST_RANGES = 1000
 
 
-def value_ranks(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str, Column] | None = None, ranges: int = RANGES) -> DataFrame:
-    """Distinct values per group with count ``n``, rows below ``below`` and group size ``total``.
+def _counted(df: DataFrame, keys: Sequence[str], value: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """Distinct values per group with their count ``n``."""
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in (extra or {}).items()])
 
-    ``extra`` adds further aggregates per (group, value).
-    """
-    keys = list(by) or ["_all"]
-    rows = df if by else df.withColumn("_all", F.lit(0))
-    counted = (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in (extra or {}).items()])
-    )
-    # read three times below; counts per distinct value are far fewer than the rows
-    counted = cut_lineage(counted)
+
+def _ranges(counted: DataFrame, keys: Sequence[str], ordered: int) -> int:
+    """Ranges that the largest group needs, so that one holds some ``ordered`` distinct values."""
+    most = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("d")).agg(F.max("d")).first()[0] or 0
+    return min(MOST_RANGES, -(-most // ordered))
+
+
+def _cut(counted: DataFrame, keys: Sequence[str], value: str, ranges: int) -> DataFrame:
+    """``counted`` with the number ``_range`` of the range that holds the value."""
     probs = [i / ranges for i in range(1, ranges)]
-    cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, probs, 1000).alias("_cuts"))
-    # spelled out per cut, because array functions with a lambda leave generated code
-    passed = [(F.col("_cuts")[i] < F.col(value)).cast("int") for i in range(len(probs))]
-    ranged = counted.join(cuts, keys).withColumn("_range", reduce(lambda a, b: a + b, passed)).drop("_cuts")
+    cuts = counted.groupBy(*keys).agg(F.percentile_approx(value, probs, max(1000, 4 * ranges)).alias("_cuts"))
+    passed = F.size(F.filter("_cuts", lambda c: c < F.col(value)))
+    return counted.join(cuts, list(keys)).withColumn("_range", passed).drop("_cuts")
+
+
+def _range_sums(ranged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per group and range: rows in it, below it and in the group."""
     span = Window.partitionBy(*keys).orderBy("_range")
-    offsets = ranged.groupBy(*keys, "_range").agg(F.sum("n").alias("_in")).select(
+    return ranged.groupBy(*keys, "_range").agg(F.sum("n").alias("_in")).select(
         *keys,
         "_range",
+        "_in",
         F.coalesce(F.sum("_in").over(span.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.sum("_in").over(Window.partitionBy(*keys)).alias("total"),
     )
-    inner = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.withColumn("_inner", F.coalesce(F.sum("n").over(inner), F.lit(0)))
-        .join(offsets, [*keys, "_range"])
-        .withColumn("below", F.col("_before") + F.col("_inner"))
-        .drop("_range", "_inner", "_before")
-    )
+
+
+def _below(keys: Sequence[str], value: str) -> Column:
+    inner = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(inner), F.lit(0))
+
+
+def value_ranks(df: DataFrame, by: Sequence[str], value: str, extra: Mapping[str, Column] | None = None, ordered: int | None = None) -> DataFrame:
+    """Distinct values per group with count ``n``, rows below ``below`` and group size ``total``.
+
+    ``extra`` adds further aggregates per (group, value).
+    """
+    keys = list(by) or ["_all"]
+    counted = cut_lineage(_counted(df if by else df.withColumn("_all", F.lit(0)), keys, value, extra))
+    ranges = _ranges(counted, keys, ordered or ORDERED)
+    if ranges <= 1:
+        return counted.withColumns({"below": _below(keys, value), "total": F.sum("n").over(Window.partitionBy(*keys))})
+    ranged = _cut(counted, keys, value, ranges)
+    sums = _range_sums(ranged, keys).drop("_in")
+    placed = ranged.withColumn("_inner", _below([*keys, "_range"], value)).join(sums, [*keys, "_range"])
+    return placed.withColumn("below", F.col("_before") + F.col("_inner")).drop("_range", "_inner", "_before")
 
 
 def _at_rank(rank: Column, value: str) -> Column:
@@ -60,32 +79,57 @@ def _at_rank(rank: Column, value: str) -> Column:
     return F.max(F.when((F.col("below") <= rank) & (rank < F.col("below") + F.col("n")), F.col(value)))
 
 
-def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+def select_ranks(df: DataFrame, by: Sequence[str], value: str, ranks: Mapping[str, Callable[[Column], Column]], ordered: int | None = None) -> DataFrame:
+    """Per group its size ``n`` and the values at some 0-based ranks, which are functions of the size."""
+    keys, ordered = list(by) or ["_all"], ordered or ORDERED
+    counted = cut_lineage(_counted(df if by else df.withColumn("_all", F.lit(0)), keys, value))
+    ranges = _ranges(counted, keys, ordered)
+    if ranges <= 1:
+        total = F.col("total")
+        placed = counted.withColumns({"below": _below(keys, value), "total": F.sum("n").over(Window.partitionBy(*keys))})
+        return placed.groupBy(*keys).agg(F.max("total").alias("n"), *[_at_rank(rank(total), value).alias(name) for name, rank in ranks.items()]).select(*by, "n", *ranks)
+
+    sizes = cut_lineage(counted.groupBy(*keys).agg(F.sum("n").alias("total")))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank(F.col("total")).cast("bigint").alias("rank")) for name, rank in ranks.items()])
+    targets = sizes.select(*keys, F.lit("").alias("_part"), F.inline(wanted))
+    rows = counted.withColumn("_part", F.lit(""))
+    parts = [*keys, "_part"]
+    while ranges > 1:
+        ranged = _cut(rows, parts, value, ranges)
+        sums = _range_sums(ranged, parts).drop("total")
+        deeper = F.concat("_part", F.lit("."), F.col("_range").cast("string"))
+        hit = targets.join(sums, parts).where((F.col("_before") <= F.col("rank")) & (F.col("rank") < F.col("_before") + F.col("_in")))
+        targets = cut_lineage(hit.select(*keys, deeper.alias("_part"), "name", (F.col("rank") - F.col("_before")).alias("rank")))
+        rows = ranged.withColumn("_part", deeper).join(targets.select(*parts).distinct(), parts, "left_semi")
+        before, rows = ranges, cut_lineage(rows.drop("_range"))
+        ranges = _ranges(rows, parts, ordered)
+        if ranges >= before:
+            # a sketch that cuts nothing off any more: order what is left
+            break
+    placed = rows.withColumn("below", _below(parts, value)).join(targets, parts)
+    found = placed.groupBy(*keys).agg(*[F.max(F.when((F.col("name") == name) & (F.col("below") <= F.col("rank")) & (F.col("rank") < F.col("below") + F.col("n")), F.col(value))).alias(name) for name in ranks])
+    return found.join(sizes, keys).select(*by, F.col("total").alias("n"), *ranks)
+
+
+def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float], ordered: int | None = None) -> DataFrame:
     """Linearly interpolated quantiles per group, with the group size ``n``."""
-    keys = list(by) or ["_all"]
-    ranked = value_ranks(df, by, value)
-    aggs = [F.max("total").alias("n")]
+    ranks = {}
     for name, q in quantiles.items():
-        pos = F.lit(float(q)) * (F.col("total") - 1)
-        aggs.append(_at_rank(F.floor(pos), value).cast("double").alias(f"_lo_{name}"))
-        aggs.append(_at_rank(F.ceil(pos), value).cast("double").alias(f"_hi_{name}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"_f_{name}"))
-    found = ranked.groupBy(*keys).agg(*aggs)
-    out = [
-        (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in quantiles
-    ]
+        ranks[f"_lo_{name}"] = lambda total, q=q: F.floor(F.lit(float(q)) * (total - 1))
+        ranks[f"_hi_{name}"] = lambda total, q=q: F.ceil(F.lit(float(q)) * (total - 1))
+    found = select_ranks(df, by, value, ranks, ordered)
+    out = []
+    for name, q in quantiles.items():
+        pos = F.lit(float(q)) * (F.col("n") - 1)
+        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
+        out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
     return found.select(*by, "n", *out)
 
 
-def nearest_rank(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float]) -> DataFrame:
+def nearest_rank(df: DataFrame, by: Sequence[str], value: str, quantiles: Mapping[str, float], ordered: int | None = None) -> DataFrame:
     """Value at rank ``round(q * (n - 1))`` with halves rounded up."""
-    keys = list(by) or ["_all"]
-    ranked = value_ranks(df, by, value)
-    aggs = [F.max("total").alias("n")]
-    for name, q in quantiles.items():
-        rank = F.floor(F.lit(float(q)) * (F.col("total") - 1) + F.lit(0.5))
-        aggs.append(_at_rank(rank, value).alias(name))
-    return ranked.groupBy(*keys).agg(*aggs).select(*by, "n", *quantiles)
+    ranks = {name: lambda total, q=q: F.floor(F.lit(float(q)) * (total - 1) + F.lit(0.5)) for name, q in quantiles.items()}
+    return select_ranks(df, by, value, ranks, ordered)
 
 
 def nested_median(df: DataFrame, inner: Sequence[str], outer: Sequence[str], value: str) -> DataFrame:
@@ -148,30 +192,31 @@ def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     return out.withColumn("p", p_value(F.col("h"), F.lit(1)))
 
 
-def chi2_tail(x: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution for integer degrees of freedom, in closed form."""
-    half = x / 2.0
-    if dof % 2 == 0:
-        total = term = 1.0
-        for k in range(1, dof // 2):
-            term *= half / k
-            total += term
-        return math.exp(-half) * total
-    total = math.erfc(math.sqrt(half))
-    term = math.sqrt(half) / (math.sqrt(math.pi) / 2.0)
-    for k in range(1, (dof - 1) // 2 + 1):
-        if k > 1:
-            term *= half / (k - 0.5)
-        total += math.exp(-half) * term
-    return total
+def _sum_of_terms(first: Column, count: Column, ratio: Callable[[Column], Column]) -> Column:
+    """``first`` and the ``count`` terms after it, each ``ratio(k)`` times the one before, added up."""
+    steps = F.when(count >= 1, F.sequence(F.lit(1), count.cast("int"))).otherwise(F.array().cast("array<int>"))
+    start = F.struct(first.cast("double").alias("term"), first.cast("double").alias("total"))
 
+    def add(own: Column, k: Column) -> Column:
+        term = own["term"] * ratio(k)
+        return F.struct(term.alias("term"), (own["total"] + term).alias("total"))
 
-def p_value(statistic: Column, dof: Column) -> Column:
-    """p-value per test row; the tests themselves are aggregates, so there are only a few rows."""
+    return F.aggregate(steps, start, add, lambda own: own["total"])
 
-    @F.pandas_udf("double")
-    def tail(x: pd.Series, k: pd.Series) -> pd.Series:
-        known = x.notna() & k.notna() & (k > 0)
-        return pd.Series([chi2_tail(a, int(b)) if ok else None for a, b, ok in zip(x, k, known, strict=True)], dtype="float64")
 
-    return tail(statistic, dof)
+def erfc(z: Column) -> Column:
+    """Complementary error function of a value from 0 on: a series below 2, a continued fraction from 2 on."""
+    square = z * z
+    series = _sum_of_terms(z, F.lit(60), lambda k: square * 2 / (k * 2 + 1)) * F.lit(2 / math.sqrt(math.pi)) * F.exp(-square)
+    fraction = F.aggregate(F.sequence(F.lit(80), F.lit(1)), z, lambda t, k: z + k / F.lit(2.0) / t)
+    return F.when(z < 2, F.lit(1.0) - series).otherwise(F.exp(-square) / F.lit(math.sqrt(math.pi)) / fraction)
+
+
+def p_value(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution for whole degrees of freedom: a finite sum, and ``erfc`` where they are odd."""
+    x, k = F.greatest(statistic.cast("double"), F.lit(0.0)), dof.cast("int")
+    half, decay = x / 2, F.exp(-x / 2)
+    even = decay * _sum_of_terms(F.lit(1.0), k / 2 - 1, lambda j: half / j)
+    first = F.sqrt(half) * F.lit(2 / math.sqrt(math.pi))
+    odd = erfc(F.sqrt(half)) + F.when(k >= 3, decay * _sum_of_terms(first, (k - 3) / 2, lambda j: half / (j + F.lit(0.5)))).otherwise(F.lit(0.0))
+    return F.when(statistic.isNotNull() & (k > 0), F.when(k % 2 == 0, even).otherwise(odd))

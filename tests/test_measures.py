@@ -94,6 +94,25 @@ def test_quantiles_with_many_ties_and_values(spark):
     assert [out.a, out.b, out.c] == pytest.approx(want)
 
 
+@pytest.mark.parametrize("ordered", [1, 3, 40, 10_000])
+def test_quantiles_by_refinement_are_exact(spark, ordered):
+    import pandas as pd
+
+    data = [(g, float((i * 7919 * (k + 1)) % (50 * 10**k))) for k, g in enumerate("abc") for i in range(800)] + [("b", 1.0)] * 500 + [("d", 5.0), ("e", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    want = {g: pd.Series([v for h, v in data if h == g]) for g in "abcd"}
+    out = distribution.exact_quantiles(df, ["g"], "v", {"lo": 0.0, "a": 0.013, "m": 0.5, "b": 0.98, "hi": 1.0}, ordered)
+    got = {r.g: (r.n, r.lo, r.a, r.m, r.b, r.hi) for r in out.collect()}
+    assert got == {g: (len(s), *[pytest.approx(s.quantile(q)) for q in (0, 0.013, 0.5, 0.98, 1)]) for g, s in want.items()}
+    near = distribution.nearest_rank(df, ["g"], "v", {"m": 0.3}, ordered)
+    assert {r.g: r.m for r in near.collect()} == {g: sorted(s)[math.floor(0.3 * (len(s) - 1) + 0.5)] for g, s in want.items()}
+    ranks = distribution.value_ranks(df, ["g"], "v", ordered=ordered).where("g = 'c'").orderBy("v").collect()
+    below = 0
+    for r in ranks:
+        assert (r.below, r.total) == (below, 800)
+        below += r.n
+
+
 def test_histograms(spark):
     df = spark.createDataFrame([(0.2, 1.0), (0.35, 1.0), (0.999, 2.0), (1.0, 5.0)], "v double, w double")
     assert rows(distribution.weighted_hist(df, [], "v", F.col("w"), 0.2, 1.0, 0.05), "bin", "weight") == [(0, 1.0), (2, 1.0), (15, 2.0)]
@@ -118,8 +137,26 @@ def test_rank_and_chi_square_tests(spark):
 
 
 @pytest.mark.parametrize(("x", "dof", "p"), [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (7.814727903251179, 3, 0.05), (18.307038053275146, 10, 0.05), (24.99579013972863, 15, 0.05)])
-def test_chi_square_tail(x, dof, p):
-    assert distribution.chi2_tail(x, dof) == pytest.approx(p, abs=1e-9)
+def test_chi_square_tail(spark, x, dof, p):
+    got = spark.createDataFrame([(x, dof)], "x double, k int").select(distribution.p_value(F.col("x"), F.col("k"))).first()[0]
+    assert got == pytest.approx(p, abs=1e-9)
+
+
+def test_p_values_without_python_over_all_sizes(spark):
+    def tail(x, dof):
+        half = x / 2
+        if dof % 2 == 0:
+            return math.exp(-half) * sum(half**j / math.factorial(j) for j in range(dof // 2))
+        return math.erfc(math.sqrt(half)) + math.exp(-half) * sum(half ** (j - 0.5) / math.gamma(j + 0.5) for j in range(1, (dof - 1) // 2 + 1))
+
+    data = [(x, k) for x in (0.0, 1e-9, 0.3, 1.0, 3.99, 7.9, 8.1, 20.0, 90.0, 400.0) for k in (1, 2, 3, 4, 7, 8, 25, 30)]
+    df = spark.createDataFrame([*data, (None, 3), (2.0, None), (2.0, 0)], "x double, k int").withColumn("p", distribution.p_value(F.col("x"), F.col("k")))
+    for r in df.collect():
+        if (r["x"], r["k"]) in data:
+            assert r["p"] == pytest.approx(tail(r["x"], r["k"]), rel=1e-9, abs=1e-14)
+        else:
+            assert r["p"] is None
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
 
 
 def test_cumulative_incidence_counts_negative_times_and_never_events(spark):
