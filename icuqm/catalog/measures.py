@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from icuqm.catalog.base import DAY, HOUR, Tables, query
-from icuqm.catalog.roles import SQL, icu_tables
+from icuqm.catalog.roles import SQL, icu_tables, stored
 from icuqm.config import Config, Site
 from icuqm.operators import checks
 from icuqm.plans import common, lpv, proning, sat, sbt, severity
@@ -124,16 +124,10 @@ ss AS (SELECT st.*, sev.severity, strftime(make_timestamp(d * {DAY}), '%Y-%m-%d'
 """
 
 
-def lpv_parts(t: Tables):
-    tables = icu_tables(t)
-    return tables, cut_lineage(lpv.cohort_days(tables, CFG.lpv))
-
-
 def lpv_status(t: Tables):
-    """The stages of the measure, each stored before the next one reads it, as a site run does."""
-    tables, days = lpv_parts(t)
-    pieces = cut_lineage(lpv.interval_pieces(tables, days, CFG.lpv))
-    return tables, days, pieces, cut_lineage(lpv.day_status(days, pieces, CFG.lpv))
+    """The stored stages of the measure: days, pieces, status and severity."""
+    tables, graph = stored(t)
+    return tuple(lpv.stages(tables, CFG.lpv, CFG.severity, graph.keep).values())
 
 
 @query(
@@ -144,7 +138,7 @@ def lpv_status(t: Tables):
    vt_status, vt8_status, plat_status, dp_status, comp_status FROM ss""",
 )
 def lpv_day_status(t: Tables):
-    status = lpv_status(t)[3]
+    status = lpv_status(t)[2]
     cols = ["hospitalization_id", "day", "span_days", "total_imv_us", "mode_eligible_us"]
     cols += [f"{m}_{s}" for m in lpv.MEASURES for s in ("assessable_us", "in_us", "status")] + ["vt8_status"]
     return text_day(status).select(*cols)
@@ -157,7 +151,7 @@ def lpv_day_status(t: Tables):
    round(coalesce(sum(dp), 0), 6) AS dp, round(coalesce(sum(peep), 0), 6) AS peep, round(coalesce(sum(fio2), 0), 6) AS fio2 FROM p2 JOIN days ON p2.hid = days.hid AND p2.d = days.d WHERE el GROUP BY p2.hid, p2.d""",
 )
 def lpv_intervals(t: Tables):
-    _, days, pieces, _ = lpv_status(t)
+    days, pieces, _, _ = lpv_status(t)
     table = lpv.interval_table(pieces, days)
     total = lambda c: F.round(F.coalesce(F.sum(c), F.lit(0.0)), 6)
     return text_day(table).groupBy("hospitalization_id", "day").agg(
@@ -176,9 +170,7 @@ def lpv_intervals(t: Tables):
     _LPV + f"SELECT hid AS hospitalization_id, {_DAY}, severity, round(worst_pf, 4) AS worst_pf, round(worst_sf, 4) AS worst_sf, class_source FROM sev",
 )
 def lpv_severity(t: Tables):
-    tables, days = lpv_parts(t)
-    out = severity.classify_days(tables, days, CFG.severity)
-    return text_day(out).withColumns({c: F.round(c, 4) for c in ("worst_pf", "worst_sf")})
+    return text_day(lpv_status(t)[3]).withColumns({c: F.round(c, 4) for c in ("worst_pf", "worst_sf")})
 
 
 _BUCKETS = """
@@ -197,8 +189,7 @@ SELECT granularity, period, unit, dim, stratum, measure, count(*) AS n_total, co
   count(*) FILTER (WHERE status = 'not_assessable') AS n_not_assessable FROM lg GROUP BY ALL""",
 )
 def lpv_summaries(t: Tables):
-    tables, days, _, status = lpv_status(t)
-    sev = severity.classify_days(tables, days, CFG.severity)
+    _, _, status, sev = lpv_status(t)
     return lpv.summaries(status, sev).drop("assessable_rate", "crude_rate")
 
 
@@ -217,8 +208,7 @@ sw AS (SELECT ss.hid, ss.d, ss.u, ss.un, ss.day, ss.week, ss.month, ss.severity,
 SELECT granularity, period, unit, dim, stratum, measure, cutoff, count(*) AS n_total, count(*) FILTER (WHERE a >= {HOUR}) AS n_assessable, count(*) FILTER (WHERE a >= {HOUR} AND i * 5 >= a * 4) AS n_adherent FROM lg GROUP BY ALL""",
 )
 def lpv_grids(t: Tables):
-    tables, days, pieces, status = lpv_status(t)
-    sev = severity.classify_days(tables, days, CFG.severity)
+    days, pieces, status, sev = lpv_status(t)
     return lpv.cutoff_grids(lpv.interval_table(pieces, days), status, sev, CFG.lpv).drop("assessable_rate", "crude_rate")
 
 
@@ -232,8 +222,7 @@ z AS (SELECT *, CAST(g + CASE WHEN v < lo + g * step THEN -1 WHEN v >= lo + (g +
 SELECT component, month, severity, bin, round(sum(us) / 60000000.0, 4) AS minutes FROM z GROUP BY ALL""",
 )
 def lpv_hist(t: Tables):
-    tables, days, pieces, _ = lpv_status(t)
-    sev = severity.classify_days(tables, days, CFG.severity)
+    days, pieces, _, sev = lpv_status(t)
     out = lpv.histograms(lpv.interval_table(pieces, days), sev)
     return out.withColumn("minutes", F.round("minutes", 4))
 
@@ -248,8 +237,8 @@ SELECT unit, dim, parent, granularity, period, count(*) AS n, sum(total_us)::BIG
   count(*) FILTER (WHERE severity = 'severe' AND vt8_status = 'adherent') AS vt8sev_num, count(*) FILTER (WHERE severity = 'severe' AND vt8_status <> 'not_assessable') AS vt8sev_den FROM hd GROUP BY ALL""",
 )
 def lpv_cube(t: Tables):
-    tables, days, _, status = lpv_status(t)
-    return lpv.feed_cube(status, severity.classify_days(tables, days, CFG.severity))
+    _, _, status, sev = lpv_status(t)
+    return lpv.feed_cube(status, sev)
 
 
 _T1 = """, wd AS (SELECT ss.*, days.age_at_admit, days.sex, days.height_cm, days.pbw_kg FROM ss JOIN days USING (hid, d)),
@@ -268,8 +257,8 @@ GROUP BY ct.stratum, ct.granularity, ct.period, variable, level"""
 
 @query("lpv_table_one", _LPV + _T1)
 def lpv_table1(t: Tables):
-    tables, days, _, status = lpv_status(t)
-    out = lpv.table_one(status, severity.classify_days(tables, days, CFG.severity))
+    _, _, status, sev = lpv_status(t)
+    out = lpv.table_one(status, sev)
     return out.withColumns({c: F.round(c, 4) for c in ("pct", "median", "q1", "q3")})
 
 
@@ -282,7 +271,7 @@ def lpv_table1(t: Tables):
 SELECT rule, count(*) FILTER (WHERE bad) AS n_violations FROM r GROUP BY rule""",
 )
 def lpv_checks(t: Tables):
-    return checks.violations(lpv_status(t)[3], lpv.integrity_rules())
+    return checks.violations(lpv_status(t)[2], lpv.integrity_rules())
 
 
 # ---------------------------------------------------------------- block-level cohort in SQL
@@ -338,12 +327,9 @@ sl AS (SELECT * REPLACE ('__ALL__' AS unit), 'type' AS dim FROM gr UNION ALL SEL
 
 # ---------------------------------------------------------------- sedation interruption
 
-def sat_parts(t: Tables):
-    tables = icu_tables(t)
-    days, inf, imv = sat.cohort(tables, CFG.sat)
-    segs = cut_lineage(sat.drug_segments(inf, CFG.sat))
-    days = cut_lineage(sat.eligibility(days, segs, CFG.sat))
-    return tables, days, inf, imv, segs, cut_lineage(sat.holds(days, segs, CFG.sat))
+def sat_stages(t: Tables):
+    tables, graph = stored(t)
+    return sat.stages(tables, CFG.sat, graph.keep)
 
 
 @query(
@@ -353,10 +339,9 @@ def sat_parts(t: Tables):
    performed AS sat_performed, n_holds, round(longest, 6) AS longest_off_min, resumed AS sat_resumed, extubated AS extubated_eod FROM ob""",
 )
 def sat_observation(t: Tables):
-    _, days, _, imv, _, found = sat_parts(t)
     cols = ["encounter_block", "day", "unit", "unit_name", "vented_icu_minutes", "day_in", "day_out", "on_sat_sedation", "on_paralytic", "on_dex", "eligible"]
     cols += ["sat_performed", "n_holds", "longest_off_min", "sat_resumed", "extubated_eod"]
-    out = text_day(sat.observation(days, found, imv, CFG.sat)).select(*cols)
+    out = text_day(sat_stages(t)["observation"]).select(*cols)
     return out.withColumns({c: F.round(c, 6) for c in ("vented_icu_minutes", "longest_off_min")})
 
 
@@ -369,8 +354,7 @@ def sat_observation(t: Tables):
    count(*) FILTER (WHERE eligible AND performed AND resumed) AS n_resumed, count(*) FILTER (WHERE eligible AND performed AND NOT resumed) AS n_notresumed, count(*) FILTER (WHERE eligible AND performed AND extubated) AS n_extubated FROM sl GROUP BY ALL""",
 )
 def sat_slices(t: Tables):
-    _, days, _, imv, _, found = sat_parts(t)
-    cube = sat.slices(cut_lineage(sat.observation(days, found, imv, CFG.sat)), CFG.sat)
+    cube = sat.slices(sat_stages(t)["observation"], CFG.sat)
     return cube.select("unit", "dim", "granularity", "period", *sat.COUNTS)
 
 
@@ -385,8 +369,7 @@ SELECT drug, count(*) AS n_resumptions, round(quantile_cont(r, 0.25), 6) AS q1_r
   round(100.0 * count(*) FILTER (WHERE r <= 0.5) / count(*), 6) AS pct_at_or_below_half FROM rb GROUP BY drug""",
 )
 def sat_resumption(t: Tables):
-    _, days, inf, _, segs, found = sat_parts(t)
-    out = sat.resumption_summary(cut_lineage(sat.dose_resumption(days, found, segs, inf, CFG.sat)), CFG.sat)
+    out = sat.resumption_summary(sat_stages(t)["ratios"], CFG.sat)
     return out.withColumns({c: F.round(c, 6) for c in ("q1_ratio", "median_ratio", "q3_ratio", "pct_at_or_below_half")})
 
 
@@ -444,12 +427,9 @@ ob AS (SELECT *, CASE WHEN status <> 'not_eligible' THEN '' WHEN prior < 12 THEN
    (SELECT any_value(pid) FROM blk WHERE blk.b = o2.b) AS pid FROM o2)
 """
 
-def sbt_parts(t: Tables):
-    tables = icu_tables(t)
-    days, filled, mapping = sbt.cohort(tables)
-    elig = sbt.eligibility(tables, days, filled, mapping, CFG.sbt)
-    eps = cut_lineage(sbt.support_episodes(filled, CFG.sbt))
-    return elig, filled, eps
+def sbt_stages(t: Tables):
+    tables, graph = stored(t)
+    return sbt.stages(tables, CFG.sbt, graph.keep)
 
 
 @query(
@@ -460,8 +440,7 @@ def sbt_parts(t: Tables):
    n_tr AS n_transitions, n_trs AS n_transitions_strict, round(longest, 6) AS longest_support_min, CASE WHEN arms = 'cpap,ps' THEN 'both' ELSE arms END AS sbt_arm, round(spent, 6) AS spont_minutes FROM ob""",
 )
 def sbt_observation(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    out = sbt.observation(elig, filled, eps, CFG.sbt)
+    out = sbt_stages(t)["observation"]
     cols = ["encounter_block", "day", "unit", "prior_controlled_h", "n_stable_hours", "n_scaffold_hours", "n_assessable_hours", "eligibility_status", "notelig_reason"]
     cols += [*sbt.MASK_BITS, "n_transitions", "n_transitions_strict", "longest_support_min", "sbt_arm", "spont_minutes"]
     return text_day(out).select(*cols).withColumns({c: F.round(c, 6) for c in ("longest_support_min", "spont_minutes")})
@@ -478,8 +457,7 @@ def sbt_observation(t: Tables):
    count(DISTINCT pid) AS n_pts, count(DISTINCT CASE WHEN status = 'eligible' THEN pid END) AS n_pts_elig, count(DISTINCT CASE WHEN nb_tdp THEN pid END) AS n_pts_strict_all, count(DISTINCT CASE WHEN spont THEN pid END) AS n_pts_spont_all FROM sl GROUP BY ALL""",
 )
 def sbt_slices(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    cube = sbt.slices(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt)))
+    cube = sbt.slices(sbt_stages(t)["observation"])
     shown = ["n_vent_days", "n_nontrach", "n_eligible", "n_eligible_txcand", "n_not_assessable", "n_notelig_lt12h", "n_sbt", "n_sbtany_all", "n_spont_elig"]
     return cube.select("unit", "dim", "granularity", "period", *shown, "n_pts", "n_pts_elig", "n_pts_strict_all", "n_pts_spont_all")
 
@@ -489,8 +467,7 @@ def sbt_slices(t: Tables):
     _SBT_SQL + ", " + _SLICES + "SELECT unit, dim, granularity, period, mask::BIGINT AS mask, count(*) AS count FROM sl GROUP BY ALL",
 )
 def sbt_masks(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    return sbt.mask_table(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt))).drop("parent")
+    return sbt.mask_table(sbt_stages(t)["observation"]).drop("parent")
 
 
 # ---------------------------------------------------------------- proning
@@ -525,10 +502,9 @@ pj AS (SELECT po.hid, po.t AS s, min(pcl.t) AS e FROM po LEFT JOIN pcl ON pcl.hi
 ses AS (SELECT pj.hid, s, (coalesce(e, pla.t) - s) / 3600000000.0 AS h FROM pj JOIN pla USING (hid))
 """
 
-def proning_people(t: Tables):
-    tables = icu_tables(t)
-    people, held, filled = proning.cohort(tables, PRONE)
-    return tables, people, cut_lineage(proning.eligibility(people, held, filled, PRONE))
+def proning_stages(t: Tables):
+    tables, graph = stored(t)
+    return proning.stages(tables, PRONE, graph.keep)
 
 
 @query(
@@ -538,7 +514,7 @@ def proning_people(t: Tables):
    CASE WHEN eligible THEN n ELSE 0 END AS n_qualifying, reason AS ineligibility_reason FROM pe""",
 )
 def proning_eligibility(t: Tables):
-    _, _, elig = proning_people(t)
+    elig = proning_stages(t)["eligibility"]
     cols = ["patient_id", "encounter_block", "t0", "pf_at_t0", "eligible", "t_first", "t_eligible", "n_qualifying", "ineligibility_reason"]
     return elig.select(*cols).withColumn("pf_at_t0", F.round("pf_at_t0", 6))
 
@@ -576,12 +552,7 @@ ob AS (SELECT b, seen, prone, good, (fp - te) / 3600000000.0 AS ttp, coalesce(un
    round(quantile_cont(ttp, 0.25), 6) AS ttp_q1_h, round(median(ttp), 6) AS ttp_median_h, round(quantile_cont(ttp, 0.75), 6) AS ttp_q3_h FROM sl GROUP BY ALL""",
 )
 def proning_slices(t: Tables):
-    tables, _, elig = proning_people(t)
-    rows = cut_lineage(proning.position_rows(tables, elig))
-    seen = proning.per_stay(rows, proning.sessions(rows), PRONE)
-    people = proning.patient_level(elig, seen)
-    icu = common.icu_stays(tables, common.mapping_of(common.blocks(tables)))
-    cube = proning.slices(cut_lineage(proning.with_unit(people, icu)), PRONE)
+    cube = proning.slices(proning_stages(t)["placed"], PRONE)
     times = ["ttp_q1_h", "ttp_median_h", "ttp_q3_h"]
     cols = ["unit", "dim", "granularity", "period", "n_eligible", "n_ever_proned", "n_adherent", "n_documented"]
     return cube.select(*cols, *[F.round(c, 6).alias(c) for c in times])

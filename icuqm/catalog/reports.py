@@ -14,9 +14,9 @@ from icuqm.catalog.measures import (
     _SUP,
     CFG,
     PRONE,
-    proning_people,
-    sat_parts,
-    sbt_parts,
+    proning_stages,
+    sat_stages,
+    sbt_stages,
 )
 from icuqm.operators import checks, masks
 from icuqm.plans import proning, sat, sbt
@@ -47,8 +47,7 @@ def _plain(summary):
     ]),
 )
 def sat_summary(t: Tables):
-    _, days, _, imv, _, found = sat_parts(t)
-    return _plain(sat.summary(cut_lineage(sat.observation(days, found, imv, CFG.sat))))
+    return _plain(sat.summary(sat_stages(t)["observation"]))
 
 
 @query(
@@ -56,8 +55,8 @@ def sat_summary(t: Tables):
     _SAT_SQL + "SELECT unit, month, week, round((g1 - g0) / 60000000.0, 6) AS off_min, hq.resumed FROM hq JOIN ob USING (b, d)",
 )
 def sat_durations(t: Tables):
-    _, days, _, _, _, found = sat_parts(t)
-    return sat.durations(days, found).withColumn("off_min", F.round("off_min", 6))
+    own = sat_stages(t)
+    return sat.durations(own["days"], own["holds"]).withColumn("off_min", F.round("off_min", 6))
 
 
 @query(
@@ -77,8 +76,7 @@ def sat_durations(t: Tables):
     ]),
 )
 def sbt_summary(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    return _plain(sbt.summary(cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt))))
+    return _plain(sbt.summary(sbt_stages(t)["observation"]))
 
 
 @query(
@@ -91,8 +89,7 @@ def sbt_summary(t: Tables):
 UNION ALL SELECT 'oxygen and length', unit, dim, granularity, period, count(*), count(*) FILTER (WHERE NOT trach AND prior >= 12 AND oxy), count(*) FILTER (WHERE NOT trach AND prior >= 12 AND oxy AND nb_d) FROM sl GROUP BY unit, dim, granularity, period""",
 )
 def sbt_toggles(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    hist = cut_lineage(sbt.mask_table(sbt.observation(elig, filled, eps, CFG.sbt)))
+    hist = cut_lineage(sbt.mask_table(sbt_stages(t)["observation"]))
     full = sbt.toggle_rates(hist, SLICE).withColumn("rules", F.lit("all"))
     part = sbt.toggle_rates(hist, SLICE, no_paralytic=False, vaso=False, transition=False, low_peep=False).withColumn("rules", F.lit("oxygen and length"))
     return full.unionByName(part).drop("rate")
@@ -109,8 +106,7 @@ k AS (SELECT unnest([0, 1, 2, 3, 4, 5]) AS step)
 SELECT unit, dim, granularity, period, step, n[step + 1] AS n, CASE WHEN step = 0 THEN 0 ELSE n[step] - n[step + 1] END AS removed FROM w, k""",
 )
 def sbt_waterfall(t: Tables):
-    elig, filled, eps = sbt_parts(t)
-    hist = cut_lineage(sbt.mask_table(sbt.observation(elig, filled, eps, CFG.sbt)))
+    hist = cut_lineage(sbt.mask_table(sbt_stages(t)["observation"]))
     return masks.mask_waterfall(hist, SLICE, sbt.toggle_steps()).drop("label")
 
 
@@ -121,8 +117,8 @@ def sbt_waterfall(t: Tables):
    JOIN ob ON ob.b = dd.b AND ob.d = dd.d WHERE tr AND lp""",
 )
 def sbt_durations(t: Tables):
-    elig, _, eps = sbt_parts(t)
-    return sbt.durations(elig, eps).withColumn("dur_min", F.round("dur_min", 6))
+    own = sbt_stages(t)
+    return sbt.durations(own["days"], own["episodes"]).withColumn("dur_min", F.round("dur_min", 6))
 
 
 @query(
@@ -132,8 +128,8 @@ def sbt_durations(t: Tables):
    FROM fs WHERE mode = {_SUP} AND b IN (SELECT b FROM dd)""",
 )
 def sbt_coverage(t: Tables):
-    elig, filled, _ = sbt_parts(t)
-    return sbt.coverage(filled, elig, CFG.sbt).withColumn("pct_native_support_rows", F.round("pct_native_support_rows", 6))
+    own = sbt_stages(t)
+    return sbt.coverage(own["timeline"], own["days"], CFG.sbt).withColumn("pct_native_support_rows", F.round("pct_native_support_rows", 6))
 
 
 @query(
@@ -148,8 +144,7 @@ UNION ALL SELECT 'nb_tp_in_support', n5, n5 FROM bad UNION ALL SELECT 'nb_dp_in_
 )
 def sbt_integrity(t: Tables):
     """Nesting of the numerators, and the same with the looser numerator deliberately cleared."""
-    elig, filled, eps = sbt_parts(t)
-    obs = cut_lineage(sbt.observation(elig, filled, eps, CFG.sbt))
+    obs = sbt_stages(t)["observation"]
     fine = checks.violations(obs, sbt.nesting_rules())
     broken = checks.violations(obs.withColumn("sbt_delivered_any", F.lit(False)), sbt.nesting_rules())
     return fine.join(broken.withColumnRenamed("n_violations", "n_damaged"), "rule")
@@ -173,7 +168,21 @@ tot AS (SELECT (SELECT count(*) FROM pe) AS a, count(*) AS e, count(*) FILTER (W
    UNION ALL SELECT 'time_to_prone_q3_h', NULL, NULL, round(quantile_cont(ttp, 0.75), 6) FROM hh""",
 )
 def proning_summary(t: Tables):
-    tables, people, elig = proning_people(t)
-    rows = cut_lineage(proning.position_rows(tables, elig))
-    seen = proning.per_stay(rows, proning.sessions(rows), PRONE)
-    return _plain(proning.summary(cut_lineage(proning.patient_level(elig, seen)), people, PRONE))
+    own = proning_stages(t)
+    return _plain(proning.summary(own["patients"], own["people"], PRONE))
+
+
+@query(
+    "sat_conservation",
+    _SAT_SQL
+    + """, mu AS (SELECT DISTINCT unit, month FROM ob)
+SELECT 'units' AS rule, 0::BIGINT AS n_violations, (SELECT count(DISTINCT month) FROM mu) AS n_damaged UNION ALL SELECT 'periods_month', 0, (SELECT count(DISTINCT unit) FROM mu)
+UNION ALL SELECT 'periods_week', 0, 0 UNION ALL SELECT 'names', 0, (SELECT count(*) FROM mu)""",
+)
+def sat_conservation(t: Tables):
+    """Faults of the cube's roll-up edges, and of the cube with one day more in every month of every unit."""
+    cube = cut_lineage(sat.slices(sat_stages(t)["observation"], CFG.sat))
+    monthly = (F.col("dim") == "type") & (F.col("unit") != "__ALL__") & (F.col("granularity") == "month")
+    damaged = cube.withColumn("n_vent_days", F.col("n_vent_days") + F.when(monthly, 1).otherwise(0))
+    fine = checks.conservation(cube, sat.COUNTS)
+    return fine.join(checks.conservation(damaged, sat.COUNTS).withColumnRenamed("n_violations", "n_damaged"), "rule")

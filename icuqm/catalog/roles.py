@@ -12,10 +12,26 @@ from pyspark.sql import functions as F
 
 from icuqm.catalog.base import HOUR, Tables
 from icuqm.functions.time import MINUTE, instant
+from icuqm.session import shared_root
+from icuqm.sources.stages import StageGraph
 
 # 11 and 21 January 2024, midnight UTC
 FIRST, SECOND = 1_704_931_200_000_000, 1_705_795_200_000_000
 OFFSETS = (0, 50, 100, 240)
+#: Version of the rules below, and the tables they derive from events alone.
+ROLES = 1
+ON_EVENTS = ("adt", "respiratory_support", "vitals", "labs", "medication_admin_continuous", "position")
+
+
+def stored(t: Tables, refresh: tuple[str, ...] = ()) -> tuple[dict[str, DataFrame], StageGraph]:
+    """The derived tables and the graph that stores what the measures build from them."""
+    graph = StageGraph(t.spark, f"{shared_root(t.spark).rstrip('/')}/stages", refresh)
+    for name in ("events", "customer"):
+        graph.source(name, f"{t.folder}/{name}.parquet")
+    tables = icu_tables(t)
+    for name in tables:
+        graph.derived(name, ("events",) if name in ON_EVENTS else ("events", "customer"), ROLES)
+    return tables, graph
 
 
 def stay_events(t: Tables) -> DataFrame:

@@ -48,19 +48,47 @@ def leaks(feeds: DataFrame, column: str, words: Sequence[str]) -> DataFrame:
     return feeds.where(hit)
 
 
+def conservation(cube: DataFrame, columns: Sequence[str], grains: Sequence[str] = ("month", "week")) -> DataFrame:
+    """Per roll-up edge the number of groups whose parts do not add up to their total, in one pass.
+
+    Each row of the cube takes part in some edges, on the side of the total or of a part. Units must add up
+    to all units, the periods of a grain to all time, for every unit and name, and names to their unit.
+    """
+    faulty = reduce(lambda x, y: x | y, [F.col(c) != F.col(f"other_{c}") for c in columns])
+    edges = balance(cube, columns, grains)
+    return edges.groupBy(F.col("edge").alias("rule")).agg(F.count_if(faulty).alias("n_violations"))
+
+
+def balance(cube: DataFrame, columns: Sequence[str], grains: Sequence[str] = ("month", "week")) -> DataFrame:
+    """Per roll-up edge and group, told by ``head`` and ``place``, the sums of the parts and, as ``other_*``, of their total."""
+    typed, whole, all_time = F.col("dim") == "type", F.col("unit") == "__ALL__", F.col("granularity") == "all"
+    place = F.concat_ws("|", "granularity", "period")
+
+    def enters(edge: str, head: Column, at: Column, part: Column, total: Column) -> Column:
+        inside = F.struct(F.lit(edge).alias("edge"), head.alias("head"), at.alias("place"), part.alias("part"))
+        return F.when(part | total, inside)
+
+    taken = [enters("units", F.lit("__ALL__"), place, typed & ~whole, typed & whole)]
+    taken += [enters(f"periods_{g}", F.col("unit"), F.col("dim"), F.col("granularity") == g, all_time) for g in grains]
+    under = F.when(typed, F.col("unit")).otherwise(F.col("parent"))
+    taken.append(enters("names", under, place, ~typed & under.isNotNull(), typed & ~whole))
+    rows = cube.select(*columns, F.explode(F.array_compact(F.array(*taken))).alias("_e"))
+    sides = []
+    for c in columns:
+        value = F.coalesce(F.col(c), F.lit(0))
+        sides += [F.sum(F.when(F.col("_e.part"), value).otherwise(0)).alias(c), F.sum(F.when(~F.col("_e.part"), value).otherwise(0)).alias(f"other_{c}")]
+    return rows.groupBy("_e.edge", "_e.head", "_e.place").agg(*sides)
+
+
 def slice_integrity(cube: DataFrame, columns: Sequence[str], grains: Sequence[str] = ("month", "week")) -> DataFrame:
-    """Units, periods and nested names must add up to their totals; mismatching groups are returned (I4)."""
-    sums = [F.sum(c).alias(c) for c in columns]
-    typed = cube.where("dim = 'type'")
-    total = typed.where("unit = '__ALL__' and granularity = 'all'").select(*columns)
-    out = None
-    parts = [("units", typed.where("unit <> '__ALL__' and granularity = 'all'"))]
-    parts += [(f"periods_{g}", typed.where((F.col("unit") == "__ALL__") & (F.col("granularity") == g))) for g in grains]
-    for label, part in parts:
-        bad = reconcile(
-            part.agg(*sums).withColumn("group", F.lit(label)), total.withColumn("group", F.lit(label)), ["group"], columns
-        )
-        out = bad if out is None else out.unionByName(bad)
-    names = cube.where("dim = 'name' and granularity = 'all'").groupBy(F.col("parent").alias("group")).agg(*sums)
-    units = typed.where("unit <> '__ALL__' and granularity = 'all'").select(F.col("unit").alias("group"), *columns)
-    return out.unionByName(reconcile(names, units, ["group"], columns))
+    """Units, periods and nested names must add up to their totals; mismatching groups are returned (I4).
+
+    Units and names are compared over all time, periods over all units; ``conservation`` covers every slice.
+    """
+    edges = balance(cube, columns, grains)
+    at_all = F.col("place") == "all|all"
+    label = F.when((F.col("edge") == "units") & at_all, F.lit("units")).when((F.col("edge") == "names") & at_all, F.col("head"))
+    label = label.when(F.startswith("edge", F.lit("periods_")) & (F.col("head") == "__ALL__"), F.col("edge"))
+    faulty = reduce(lambda x, y: x | y, [F.col(c) != F.col(f"other_{c}") for c in columns])
+    others = [f"other_{c}" for c in columns]
+    return edges.where(faulty & label.isNotNull()).select(label.alias("group"), *columns, *others)

@@ -13,6 +13,7 @@ from icuqm.operators.attribution import longest_piece_nested
 from icuqm.operators.grid import hourly_scaffold, stitch_stays
 from icuqm.operators.intervals import split_by_day, step_segments
 from icuqm.operators.overlap import intersect_intervals
+from icuqm.sources.stages import Keep, cut
 
 Tables = Mapping[str, DataFrame]
 IMV, ICU = "imv", "icu"
@@ -25,6 +26,28 @@ def blocks(t: Tables, within: int = 6 * HOUR) -> DataFrame:
     return stitch_stays(t["hospitalization"], "patient_id", "hospitalization_id", "admission_dttm", "discharge_dttm", within)
 
 
+def stored_blocks(t: Tables, keep: Keep = cut) -> DataFrame:
+    """The stage that every block-level measure starts from."""
+    return keep("blocks", lambda: blocks(t), ("hospitalization",))
+
+
+def unit_timeline(t: Tables, stays: DataFrame, keep: Keep = cut) -> DataFrame:
+    """Filled timeline of all blocks seen in a unit, shared by the measures on patient-days."""
+
+    def build() -> DataFrame:
+        mapping = mapping_of(stays)
+        mine = mapping.join(icu_stays(t, mapping).select("encounter_block").distinct(), "encounter_block", "left_semi")
+        rs = t["respiratory_support"].join(mine.select("hospitalization_id"), "hospitalization_id", "left_semi")
+        return filled_timeline(rs, mine)
+
+    return keep("unit_timeline", build, ("blocks", "adt", "respiratory_support"))
+
+
+def unit_ventilation(filled: DataFrame, keep: Keep = cut) -> DataFrame:
+    """Ventilator segments of the shared timeline."""
+    return keep("unit_ventilation", lambda: device_segments(filled), ("unit_timeline",))
+
+
 def mapping_of(stays: DataFrame) -> DataFrame:
     return stays.select("hospitalization_id", "encounter_block")
 

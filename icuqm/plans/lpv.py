@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from icuqm.config import SETTING_RANGES, LungProtection, Site
+from icuqm.config import SETTING_RANGES, LungProtection, Severity, Site
 from icuqm.functions.clinical import at_most, null_outside, predicted_body_weight, years_between
 from icuqm.functions.time import local_day, micros, minutes
 from icuqm.operators import adherence as ad
@@ -17,9 +17,11 @@ from icuqm.operators.distribution import exact_quantiles, weighted_hist
 from icuqm.operators.intervals import carry_forward, split_by_day
 from icuqm.operators.profile import day_span
 from icuqm.operators.slices import ALL, attach_periods, slice_cube
+from icuqm.plans import severity
 from icuqm.plans.common import ICU, IMV, Tables
 from icuqm.session import cut_lineage
 from icuqm.sources.feeds import build_feed
+from icuqm.sources.stages import Keep, cut
 
 KEY = ("hospitalization_id", "day")
 MEASURES = ("vt", "plat", "dp", "comp")
@@ -65,16 +67,31 @@ def heights(t: Tables, days: DataFrame, who: DataFrame, cfg: LungProtection) ->
     return both.select("hospitalization_id", F.coalesce("own", "usual").alias("height_cm"))
 
 
-def cohort_days(t: Tables, cfg: LungProtection) -> DataFrame:
+def attributed_days(t: Tables, cfg: LungProtection) -> DataFrame:
+    """Days with ventilator rows in a unit, and the unit that most of them lie in."""
+    inside = attributed_rows(t, cfg).where("in_icu")
+    return majority_nested(inside, list(KEY), "assigned_unit", "assigned_unit_name").withColumnRenamed("n_rows", "n_imv_rows")
+
+
+def cohort_days(t: Tables, cfg: LungProtection, attributed: DataFrame | None = None) -> DataFrame:
     """Patient-days on a ventilator in a unit (M1)."""
     who = adults(t, cfg)
-    inside = attributed_rows(t, cfg).where("in_icu")
-    days = majority_nested(inside, list(KEY), "assigned_unit", "assigned_unit_name").withColumnRenamed("n_rows", "n_imv_rows")
-    days = cut_lineage(days)
+    days = cut_lineage(attributed_days(t, cfg)) if attributed is None else attributed
     out = days.join(who, "hospitalization_id", "left").join(heights(t, days, who, cfg), "hospitalization_id", "left")
     return out.withColumn("pbw_kg", predicted_body_weight(F.col("height_cm"), F.col("sex_category"), cfg.min_pbw))
 
 
+def stages(t: Tables, cfg: LungProtection, grades: Severity, keep: Keep = cut) -> dict[str, DataFrame]:
+    """All stages of the measure, each from the stored ones before it (M1-M6)."""
+    people = ("patient", "hospitalization", "vitals")
+    attributed = keep("lpv_attributed", lambda: attributed_days(t, cfg), ("patient", "hospitalization", "respiratory_support", "adt"), cfg)
+    days = keep("lpv_days", lambda: cohort_days(t, cfg, attributed), ("lpv_attributed", *people), cfg)
+    pieces = keep("lpv_pieces", lambda: interval_pieces(t, days, cfg), ("lpv_days", "respiratory_support"), cfg)
+    status = keep("lpv_status", lambda: day_status(days, pieces, cfg), ("lpv_days", "lpv_pieces"), cfg)
+    grade = keep("lpv_severity", lambda: severity.classify_days(t, days, grades), ("lpv_days", "respiratory_support", "labs", "vitals"), grades)
+    return {"days": days, "pieces": pieces, "status": status, "severity": grade}
+
+
 def interval_pieces(t: Tables, days: DataFrame, cfg: LungProtection) -> DataFrame:
     """Settings in force per interval and local day, with nullable components (T-CF, T-LI, T-DS2, F8-F11)."""
     rs = t["respiratory_support"]

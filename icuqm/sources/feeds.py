@@ -68,7 +68,10 @@ def build_feed(
     name_ok = (F.col("dim") == "name") & (F.col("unit") != "unknown")
     used = cube.where(F.col("granularity").isin("all", *grains)).where((typed & known) | name_ok)
 
-    parts = {"headline": headline, **{key: cell for key, _, _, cell in segments}}
+    # segments are one array, so a field that one of them has is null in the others
+    fields = list(dict.fromkeys(f for _, _, _, cell in segments for f in cell))
+    even = {key: {f: cell.get(f, F.lit(None).cast("double" if f == "hrs" else "bigint")) for f in fields} for key, _, _, cell in segments}
+    parts = {"headline": headline, **even}
     per_unit = used.groupBy("unit").agg(
         *[
             F.map_from_entries(
