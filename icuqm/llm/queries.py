@@ -62,7 +62,9 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
-    return url_filter.judge_urls(_table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict")
+    pages = _table(spark, folder, "pages")
+    listed = url_filter.named_hosts(pages)
+    return url_filter.judge_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,9 +138,7 @@ WITH cut AS (
                    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/de/%' THEN 'example.com/de/'
                    WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/fr/%' THEN 'org/fr/'
                    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/%' THEN 'net/' END AS rule,
-           EXISTS (SELECT 1 FROM (VALUES ('ads-track.example.com'), ('adult-x.example.com'), ('casino-win.example.net'),
-                   ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org')) AS listed(h)
-                   WHERE host = h OR host LIKE '%.' || h) AS hit FROM parts
+           regexp_matches(host, '(^|[.])(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)([.]|$)') AS hit FROM parts
 )
 SELECT page_id, host, path, rule,
        CASE rule WHEN 'example.net/en/' THEN 'allow' WHEN 'example.com/de/' THEN 'block' WHEN 'org/fr/' THEN 'allow' WHEN 'net/' THEN 'block'

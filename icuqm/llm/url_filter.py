@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import mmap
+import re
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 #: Hosts that the query's list blocks, with their subdomains.
 LISTED = ("ads-track.example.com", "adult-x.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
+#: Labels of a host name that put it on a list made from pages.
+NAMES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 #: A list up to this size is sent to the tasks as one array; a longer one is joined.
 MOST_ENTRIES = 4_000_000
 CAPS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -102,6 +105,14 @@ def _listed(data, names: list[str]):
     return run
 
 
+def named_hosts(pages: DataFrame, names: Iterable[str] = NAMES) -> DataFrame:
+    """``(host)``: every domain in the urls of ``pages`` that begins with one of the labels, whatever lies before it."""
+    host, _ = url_parts(F.col("url").cast("string"))
+    labels = "|".join(re.escape(n) for n in names)
+    found = pages.select(F.regexp_extract(host, rf"(?:^|\.)((?:{labels})(?:\..*)?)$", 1).alias("host"))
+    return found.where("host <> ''").distinct()
+
+
 def judge_urls(pages: DataFrame, entries: Iterable[str] | DataFrame = LISTED, rules=RULES) -> DataFrame:
     """``(page_id, host, path, rule, verdict, listed)`` for every row of ``pages (page_id, url)``.
 

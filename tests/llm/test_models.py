@@ -190,8 +190,10 @@ def test_toxic_documents_are_found(spark):
     got = toxicity.judge(docs, labels)
     assert got.count() == docs.count()
     seen = got.join(labels, "doc_id").where("held_out").collect()
-    hits = sum(r["predicted"] == r["toxic"] for r in seen)
-    assert hits >= 0.88 * len(seen)
+    both = sum(r["predicted"] and r["toxic"] for r in seen)
+    found, toxic = sum(r["predicted"] for r in seen), sum(r["toxic"] for r in seen)
+    # calling nothing toxic would be right for most documents and find none
+    assert both >= 0.8 * toxic and both >= 0.8 * found and toxic >= 10
     text = {r["doc_id"]: r["text"] for r in docs.collect()}
     for r in got.where("size(offending) > 0").limit(20).collect():
         for s in r["offending"]:

@@ -223,3 +223,11 @@ def test_very_long_texts_are_read_whole(spark):
     filler = "word " * 60_000
     got = replaced(spark, [f"{filler}mail jane.doe@corp.org {filler}Mr. Hall {filler}"])[0]
     assert "jane.doe" not in got and "Hall" not in got and len(got) > 3 * len(filler)
+
+
+def test_list_of_hosts_from_pages(spark):
+    urls = ["http://m.casino-win.example.com/a", "https://FREE-BETS.org", "http://x.ads-track/", "http://casino-wins.com/", "http://notfree-bets.org/", "casino-win.com", None]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert sorted(r["host"] for r in url_filter.named_hosts(pages).collect()) == ["ads-track", "casino-win.example.com", "free-bets.org"]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(pages, url_filter.named_hosts(pages)).collect()}
+    assert [got[i] for i in range(7)] == ["block", "block", "block", "allow", "allow", "allow", "allow"]
