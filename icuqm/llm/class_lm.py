@@ -19,8 +19,8 @@ from icuqm.session import write_stage
 #: other word from ``LEAST`` occurrences on then finds its own, however many there are.
 CLUSTERED = 4096
 LEAST = 5
-#: At most how many words' counts every task holds, the most frequent ones; it bounds a broadcast
-#: and steers cost alone, as what is known of the others is joined.
+#: How many words' counts every task holds, the most frequent ones; it bounds a broadcast. What is
+#: known of the others is joined, so it steers cost alone as long as it is above ``CLUSTERED``.
 HELD = 1 << 20
 #: Classes of the exchange, then one class for text ends, then one for each shape of other words.
 CLASSES = 64
@@ -390,14 +390,20 @@ def score(docs: DataFrame) -> DataFrame:
     words = write_stage(words, "lm-words")
     sums = words.agg(F.sum("n").alias("n"), F.count("*").alias("v"), F.sum(F.when(F.col("shape") < 0, F.col("n"))).alias("ends"), F.count(F.when((F.col("shape") >= 0) & (F.col("n") >= LEAST), 1)).alias("often")).first()
     tokens, types = sums["n"] or 0, sums["v"]
-    # frequency levels in eighths of a doubling, a few hundred at most, tell from which level on words are held
-    level, left, lowest = F.floor(F.log2("n") * 8), HELD, None
+    # frequency levels in eighths of a doubling, a few hundred at most, tell from which level on words are held;
+    # of the level that fits in part the most frequent words are, ties by key
+    level, left, lowest, border = F.floor(F.log2("n") * 8), HELD, None, None
     for r in sorted(words.where("shape >= 0").groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
-        left -= r["count"]
-        if left < 0:
+        if r["count"] > left:
+            border = r["level"]
             break
+        left -= r["count"]
         lowest = r["level"]
-    top = words.where("shape >= 0").where(F.lit(False) if lowest is None else level >= lowest).toArrow()
+    known = words.where("shape >= 0")
+    top = known.where(F.lit(False) if lowest is None else level >= lowest)
+    if border is not None and left:
+        top = top.union(known.where(level == border).orderBy(F.desc("n"), "key").limit(left))
+    top = top.toArrow()
     keys, shapes, counts = (top.column(c).to_numpy().astype(np.int64) for c in ("key", "shape", "n"))
     order = np.lexsort((keys, -counts))
     keys, shapes, counts = keys[order].view(np.uint64), shapes[order], counts[order]

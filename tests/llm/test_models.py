@@ -169,6 +169,23 @@ def test_rare_counts_are_joined(spark, sf, monkeypatch):
     assert all(abs(got[i] - want[i]) < 1e-6 * abs(want[i]) for i in want)
 
 
+def test_a_level_that_fits_in_part_is_held_in_part(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "CLUSTERED", 40)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    draw = random.Random(5)
+    texts = []
+    for _ in range(12):
+        draw.shuffle(words)
+        texts.append(" ".join(words))
+    # every word as often as any other, so all are of one level
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = {r["doc_id"]: r["score"] for r in class_lm.score(docs).collect()}
+    for held in (250, 41):
+        monkeypatch.setattr(class_lm, "HELD", held)
+        got = {r["doc_id"]: r["score"] for r in class_lm.score(docs).collect()}
+        assert all(abs(got[i] - want[i]) < 1e-6 * abs(want[i]) for i in want)
+
+
 def test_words_beyond_the_first_clustered_learn_their_contexts(spark, monkeypatch):
     monkeypatch.setattr(class_lm, "CLUSTERED", 40)
     # words of one look: kinds a and b alternate, low numbers are frequent, and only those are clustered first
