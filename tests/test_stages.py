@@ -82,7 +82,7 @@ def test_a_site_from_tables_to_feeds(spark, tmp_path):
     easy = Config(proning=Proning(onset_pf_max=1000.0, onset_fio2_min=0.2, onset_peep_min=0.0, pf_max=1000.0, fio2_min=0.2, peep_min=0.0, sustained=60_000_000))
     built = run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", easy)
     assert {"blocks", "unit_timeline", "sat_observation", "sbt_observation", "proning_placed", "lpv_status"} <= set(built)
-    assert run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", easy) == []
+    assert run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", easy, ["sat"]) == []
     for name in site.MEASURES:
         feed = json.loads("".join(r[0] for r in spark.read.text(f"{out}/{name}_feed").collect()))
         assert feed["metric_id"] == name and feed["provenance"]["site_id"] == "here"
@@ -94,7 +94,7 @@ def test_a_site_from_tables_to_feeds(spark, tmp_path):
     spark.read.parquet(f"{folder}/new.parquet").write.mode("append").parquet(f"{folder}/position.parquet")
     tables, graph = stage_site(spark, folder, root)
     assert graph.depend_on("position") == set()
-    assert run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", easy) == ["proning_positions", "proning_patients", "proning_placed", "proning_cube"]
+    assert run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", easy, ["proning"]) == ["proning_positions", "proning_patients", "proning_placed", "proning_cube"]
     longer = Config(sat=Sedation(hold=60 * 60_000_000))
     changed = run_site(spark, folder, root, out, SITE, "2024-02-01T00:00", longer, ["sat"])
     assert "blocks" not in changed and "unit_timeline" not in changed and "sat_holds" in changed
