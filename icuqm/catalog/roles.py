@@ -18,8 +18,7 @@ from icuqm.sources.stages import StageGraph
 # 11 and 21 January 2024, midnight UTC
 FIRST, SECOND = 1_704_931_200_000_000, 1_705_795_200_000_000
 OFFSETS = (0, 50, 100, 240)
-#: Version of the rules below, and the tables they derive from events alone.
-ROLES = 1
+#: The tables that are derived from events alone.
 ON_EVENTS = ("adt", "respiratory_support", "vitals", "labs", "medication_admin_continuous", "position")
 
 
@@ -30,7 +29,7 @@ def stored(t: Tables, refresh: tuple[str, ...] = ()) -> tuple[dict[str, DataFram
         graph.source(name, f"{t.folder}/{name}.parquet")
     tables = icu_tables(t)
     for name in tables:
-        graph.derived(name, ("events",) if name in ON_EVENTS else ("events", "customer"), ROLES)
+        graph.derived(name, ("events",) if name in ON_EVENTS else ("events", "customer"))
     return tables, graph
 
 

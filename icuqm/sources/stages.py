@@ -39,7 +39,7 @@ def code_version() -> str:
                 yield prefix + entry.name, entry.read_text(encoding="utf-8")
 
     package = resources.files("icuqm")
-    parts = [package / "config.py", *(package / p for p in ("functions", "operators", "plans", "sources"))]
+    parts = [package / "config.py", package / "catalog" / "roles.py", *(package / p for p in ("functions", "operators", "plans", "sources"))]
     text = [(p.name, p.read_text(encoding="utf-8")) for p in parts if p.is_file()]
     return digest(text + [f for p in parts if p.is_dir() for f in files(p, f"{p.name}/")])
 
