@@ -28,17 +28,18 @@ def carry_forward(
     ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI).
     """
     with_at = df.withColumn("_cf_at", micros(df, on))
+    # only a value that ages needs its time
     stamped = {
-        name: last_seen(F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("_cf_at").alias("at"))))
-        for name, (value, _) in carries.items()
+        name: last_seen(value if window is None else F.when(value.isNotNull(), F.struct(value.alias("v"), F.col("_cf_at").alias("at"))))
+        for name, (value, window) in carries.items()
     }
     if lead:
         stamped["_next"] = following_at()
     seen = along(with_at, by, on, stamped, tiebreak, width)
     out = {}
     for name, (_, window) in carries.items():
-        fresh = F.lit(True) if window is None else F.col("_cf_at") - F.col(f"{name}.at") <= F.lit(window)
-        out[name] = F.when(fresh, F.col(f"{name}.v"))
+        if window is not None:
+            out[name] = F.when(F.col("_cf_at") - F.col(f"{name}.at") <= F.lit(window), F.col(f"{name}.v"))
     if lead:
         out["start"] = F.col("_cf_at")
         out["end"] = _lead_end(F.col("_cf_at"), *lead)

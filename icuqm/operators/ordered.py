@@ -4,13 +4,15 @@ A plain window over one entity puts all of the entity's rows into one task, whic
 one key holds a large part of the table. Here rows are windowed per (entity, time bucket),
 each bucket is summarised to one row, the summaries (at most one per bucket of the calendar,
 whatever the row count) are scanned per entity, and the carried value joins back to the rows
-by (entity, bucket). The rows are shuffled once, as for a plain window.
+by (entity, bucket). The rows are shuffled once, as for a plain window. Latest and earliest known
+values are summarised from the rows that have one: filled grids and as-of questions are mostly without.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,12 +107,15 @@ def along(
 
     inside: dict[str, Column] = {}
     summary: dict[str, Column] = {}
+    known: dict[str, Column] = {}
     carried: dict[str, Column] = {}
     final: dict[str, Column] = {}
     for name, item in values.items():
         mine, total, carry = f"_l_{name}", f"_s_{name}", f"_c_{name}"
         value = F.struct(item.value.alias("v")) if item.nullable else item.value
         seen = F.when(item.value.isNotNull(), rank)
+        if item.kind in ("last_seen", "next_seen"):
+            known[total] = item.value.isNotNull()
         total_col = F.col(total)
         final[name] = F.coalesce(F.col(mine), F.col(carry))
         match item.kind:
@@ -156,7 +161,13 @@ def along(
             case other:
                 raise ValueError(other)
 
-    per_bucket = rows.groupBy(*by, BUCKET).agg(*[c.alias(n) for n, c in summary.items()])
+    # what every row adds to hash-aggregates; the latest value is sorted for, so only rows that have one go there
+    whole = [c.alias(n) for n, c in summary.items() if n not in known]
+    per_bucket = rows.groupBy(*by, BUCKET).agg(*whole) if whole else rows.select(*by, BUCKET).distinct()
+    if known:
+        having = rows.where(reduce(lambda a, b: a | b, known.values()))
+        found = having.groupBy(*by, BUCKET).agg(*[summary[n].alias(n) for n in known])
+        per_bucket = per_bucket.join(found, [*by, BUCKET], "left")
     carries = per_bucket.select(*by, BUCKET, *[c.alias(n) for n, c in carried.items()])
     joined = rows.withColumns(inside).join(carries, [*by, BUCKET], "inner")
     return joined.withColumns(final).drop(_AT, BUCKET, *inside, *carried)
