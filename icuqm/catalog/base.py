@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import micros
-from icuqm.session import use_timezone
+from icuqm.session import use_sizes, use_timezone
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,7 +19,7 @@ class Tables:
     """The star tables of one folder, read in a UTC session as the SQL engine does."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = use_timezone(spark, "UTC")
+        self.spark = use_sizes(use_timezone(spark, "UTC"))
         self.folder = folder
 
     def __getattr__(self, name: str) -> DataFrame:

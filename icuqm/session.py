@@ -22,7 +22,7 @@ def build_session(app: str = "icuqm", tz: str = "UTC", master: str | None = None
         .getOrCreate()
     )
     use_timezone(spark, tz)
-    return spark
+    return use_sizes(spark)
 
 
 def use_timezone(spark: SparkSession, tz: str) -> SparkSession:
@@ -32,6 +32,24 @@ def use_timezone(spark: SparkSession, tz: str) -> SparkSession:
     return spark
 
 
+#: Set unless the session has values of its own. Spark takes a file's compressed size for that of its rows, so it would
+#: send tables many times the broadcast limit through the driver; and a fixed number of partitions gives tasks that grow
+#: with the input, where small partitions are merged up to a size that does not.
+SIZES = {
+    "spark.sql.sources.fileCompressionFactor": "10.0",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "960",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+}
+
+
+def use_sizes(spark: SparkSession) -> SparkSession:
+    """Broadcasts follow the size of the rows, and tasks have a size that does not follow the input."""
+    for name, value in SIZES.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+    return spark
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder for intermediate data that driver and executors share.
 

@@ -1,11 +1,13 @@
-"""What decides the size of summaries."""
+"""What decides the size of summaries, broadcasts and tasks."""
 
 import pytest
 from helpers import DAY0, HOUR, rows
 from pyspark.sql import functions as F
 
+from icuqm.catalog.base import Tables
 from icuqm.operators.intervals import carry_forward
 from icuqm.operators.ordered import along, last_seen, next_seen, running_sum
+from icuqm.session import SIZES
 
 DAY = 24 * HOUR
 
@@ -35,3 +37,22 @@ def test_a_value_without_limit_is_carried_alone(line):
     assert "struct" not in plan(free)
     aged = carry_forward(line, ["id"], "at", {"held": (F.col("v"), HOUR)})
     assert [v for _, v in rows(aged, "at", "held") if v is not None] == [5.0, 7.0, 7.0]
+
+
+def test_sizes_follow_the_rows_unless_the_session_says_otherwise(spark, tmp_path):
+    own = {name: spark.conf.get(name, None) for name in SIZES}
+    try:
+        for name in SIZES:
+            spark.conf.unset(name)
+        Tables(spark, str(tmp_path))
+        assert {name: spark.conf.get(name) for name in SIZES} == SIZES
+        spark.range(100_000).write.parquet(str(tmp_path / "t.parquet"))
+        stored = sum(f.stat().st_size for f in (tmp_path / "t.parquet").glob("*.parquet"))
+        believed = spark.read.parquet(str(tmp_path / "t.parquet"))._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        assert int(str(believed)) >= 5 * stored
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        Tables(spark, str(tmp_path))
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "1m"
+    finally:
+        for name, value in own.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
