@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, HOUR, instant, micros
 from icuqm.operators.intervals import carry_forward
-from icuqm.operators.ordered import along, last_seen, running_max_before
+from icuqm.operators.ordered import BUCKET, along, bucket_of, last_seen, running_max_before
 
 
 def hourly_scaffold(
@@ -19,6 +19,9 @@ def hourly_scaffold(
 
     ``carry`` columns are filled forward without limit and never backward. The result has ``at``
     (microseconds) and ``is_scaffold``.
+
+    The scaffold is exchanged as one row per bucket, with its first and last time there; the hours are listed
+    after the exchange, by the task that orders them.
     """
     by = list(by)
     native = df.select(*by, micros(df, on).alias("at"), *[c for c in df.columns if c not in (*by, on)]).withColumn(
@@ -27,13 +30,20 @@ def hourly_scaffold(
     last_second = F.lit(HOUR - 1_000_000)
     hour = F.unix_micros(F.date_trunc("hour", instant(F.col("at"))))
     ends = native.where(F.col("at").isNotNull()).groupBy(*by).agg(F.min(hour).alias("lo"), F.max(hour).alias("hi"))
-    grid = ends.select(
+    lo, hi = F.col("lo") + last_second, F.col("hi") + last_second
+    buckets = ends.withColumn(BUCKET, F.explode(F.sequence(bucket_of(lo, width), bucket_of(hi, width))))
+    # the first scaffold row from the bucket's border on
+    ahead = F.greatest(F.col(BUCKET) * F.lit(width) - lo, F.lit(0))
+    grid = buckets.select(
         *by,
-        F.explode(F.sequence(F.col("lo") + last_second, F.col("hi") + last_second, F.lit(HOUR))).alias("at"),
+        BUCKET,
+        (lo + ahead + F.pmod(-ahead, F.lit(HOUR))).alias("at"),
+        F.least(hi, (F.col(BUCKET) + 1) * F.lit(width) - 1).alias("_until"),
         F.lit(True).alias("is_scaffold"),
-    )
-    both = native.unionByName(grid, allowMissingColumns=True)
-    filled = carry_forward(both, by, "at", {f"_f_{c}": (F.col(c), None) for c in carry}, ["is_scaffold", *tiebreak], width)
+    ).where(F.col("at") <= F.col("_until"))
+    both = native.withColumn(BUCKET, bucket_of(F.col("at"), width)).unionByName(grid, allowMissingColumns=True).repartition(*by, BUCKET)
+    listed = both.withColumn("at", F.explode(F.sequence(F.col("at"), F.coalesce("_until", "at"), F.lit(HOUR)))).drop("_until")
+    filled = carry_forward(listed, by, "at", {f"_f_{c}": (F.col(c), None) for c in carry}, ["is_scaffold", *tiebreak], width, placed=True)
     return filled.withColumns({c: F.col(f"_f_{c}") for c in carry}).drop(*[f"_f_{c}" for c in carry])
 
 

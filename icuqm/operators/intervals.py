@@ -20,12 +20,13 @@ def carry_forward(
     tiebreak: Sequence[str] = (),
     width: int = DAY,
     lead: tuple[int, int] | None = None,
+    placed: bool = False,
 ) -> DataFrame:
     """Latest non-NULL value per entry, blanked once older than its window (T-CF, T-CO).
 
     ``carries`` maps a new column to (value, window in microseconds or None for no limit). To carry a
     value seen together with another one, pass it masked: ``F.when(other.isNotNull(), value)``.
-    ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI).
+    ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI). ``placed`` is that of ``along``.
     """
     with_at = df.withColumn("_cf_at", micros(df, on))
     # only a value that ages needs its time
@@ -35,7 +36,7 @@ def carry_forward(
     }
     if lead:
         stamped["_next"] = following_at()
-    seen = along(with_at, by, on, stamped, tiebreak, width)
+    seen = along(with_at, by, on, stamped, tiebreak, width, placed)
     out = {}
     for name, (_, window) in carries.items():
         if window is not None:

@@ -85,17 +85,20 @@ def along(
     values: dict[str, Along],
     tiebreak: Sequence[str] = (),
     width: int = DAY,
+    placed: bool = False,
 ) -> DataFrame:
     """Add one column per entry of ``values``, ordered by ``on`` (then ``tiebreak``) inside ``by``.
 
-    Rows without a key or a time have no place on a timeline and are dropped.
+    Rows without a key or a time have no place on a timeline and are dropped. Rows that are ``placed`` come with
+    their bucket of this ``width``, so that an exchange by it before the call serves here, too.
     """
     by = list(by)
     present = F.col(on).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
     rows = df.where(present).withColumn(_AT, micros(df, on))
-    rows = rows.withColumn(BUCKET, bucket_of(F.col(_AT), width))
+    if not placed:
+        rows = rows.withColumn(BUCKET, bucket_of(F.col(_AT), width))
     order = [F.col(_AT), *[F.col(c) for c in tiebreak]]
     rank = F.struct(*order) if tiebreak else F.col(_AT)
 

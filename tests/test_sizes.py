@@ -5,8 +5,11 @@ from helpers import DAY0, HOUR, rows
 from pyspark.sql import functions as F
 
 from icuqm.catalog.base import Tables
+from icuqm.catalog.roles import stored
+from icuqm.operators.grid import hourly_scaffold
 from icuqm.operators.intervals import carry_forward
 from icuqm.operators.ordered import along, last_seen, next_seen, running_sum
+from icuqm.plans.sat import over_midnight
 from icuqm.session import SIZES
 
 DAY = 24 * HOUR
@@ -56,3 +59,41 @@ def test_sizes_follow_the_rows_unless_the_session_says_otherwise(spark, tmp_path
     finally:
         for name, value in own.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("width", [DAY, 5 * HOUR, HOUR // 2])
+def test_the_scaffold_is_exchanged_by_bucket_and_listed_afterwards(spark, width):
+    first, last = DAY0 + HOUR // 4, DAY0 + 3 * DAY + 7 * HOUR
+    out = hourly_scaffold(spark.createDataFrame([("a", first, 1.0), ("a", last, None)], "id string, t bigint, v double"), ["id"], "t", ["v"], width=width)
+    hours = [DAY0 + h * HOUR + HOUR - 1_000_000 for h in range(3 * 24 + 8)]
+    assert rows(out, "at", "is_scaffold", "v") == sorted([(first, False, 1.0), (last, False, 1.0), *[(h, True, 1.0) for h in hours]])
+    lines = plan(out).splitlines()
+    moved = next(i for i, line in enumerate(lines) if "RepartitionByExpression" in line)
+    assert any("explode(sequence(at" in line for line in lines[:moved])
+
+
+def test_only_intervals_over_a_midnight_are_asked_at_days_ends(spark):
+    spans = [("before", -HOUR, 0), ("until", -HOUR, 1), ("from", 0, 1), ("day", 1, DAY), ("days", 1, DAY + 1)]
+    df = spark.createDataFrame([(n, DAY0 + s, DAY0 + e) for n, s, e in spans], "n string, start bigint, end bigint")
+    assert rows(over_midnight(df), "n") == [("days",), ("from",), ("until",)]
+
+
+def test_derived_tables_start_from_spread_events(spark):
+    tables, graph = stored(Tables(spark, "/root/testdata/sf0.001"))
+    assert graph.edges["respiratory_support"] == ("stay_events",) and graph.edges["stay_events"] == ("events",)
+    assert not [f for f in tables["respiratory_support"].inputFiles() if "/stay_events/" not in f]
+
+
+def test_a_table_of_some_megabytes_is_not_sent_to_every_task(spark, tmp_path):
+    own = {name: spark.conf.get(name, None) for name in SIZES}
+    try:
+        for name in SIZES:
+            spark.conf.unset(name)
+        Tables(spark, str(tmp_path))
+        for name in "ab":
+            spark.range(200_000).write.parquet(str(tmp_path / f"{name}.parquet"))
+        a, b = (spark.read.parquet(str(tmp_path / f"{n}.parquet")) for n in "ab")
+        assert "Broadcast" not in a.join(b, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in own.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
