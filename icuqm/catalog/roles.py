@@ -27,9 +27,11 @@ def stored(t: Tables, refresh: tuple[str, ...] = ()) -> tuple[dict[str, DataFram
     graph = StageGraph(t.spark, f"{shared_root(t.spark).rstrip('/')}/stages", refresh)
     for name in ("events", "customer"):
         graph.source(name, f"{t.folder}/{name}.parquet")
-    tables = icu_tables(t)
+    # a row group is read by one task, whatever its size, and an event becomes several rows of several tables there
+    spread = graph.keep("stay_events", lambda: stay_events(t).drop("event_id").repartition("hid"), ("events",))
+    tables = icu_tables(t, spread)
     for name in tables:
-        graph.derived(name, ("events",) if name in ON_EVENTS else ("events", "customer"))
+        graph.derived(name, ("stay_events",) if name in ON_EVENTS else ("stay_events", "customer"))
     return tables, graph
 
 
@@ -38,8 +40,8 @@ def stay_events(t: Tables) -> DataFrame:
     return t.line.withColumn("hid", F.concat(F.col("user_id").cast("string"), F.lit("-"), part))
 
 
-def icu_tables(t: Tables) -> dict[str, DataFrame]:
-    ev = stay_events(t)
+def icu_tables(t: Tables, events: DataFrame | None = None) -> dict[str, DataFrame]:
+    ev = stay_events(t) if events is None else events
     kind, v = F.col("event_type"), F.col("value")
     hid = F.col("hid").alias("hospitalization_id")
     none = F.lit(None).cast("double")
