@@ -34,8 +34,13 @@ def use_timezone(spark: SparkSession, tz: str) -> SparkSession:
 
 #: Set unless the session has values of its own. Spark takes a file's compressed size for that of its rows, so it would
 #: send tables many times the broadcast limit through the driver; and a fixed number of partitions gives tasks that grow
-#: with the input, where small partitions are merged up to a size that does not.
+#: with the input, where small partitions are merged up to a size that does not. A measure joins dozens of tables that are
+#: sent to every task while they are small, so the limit of one is a tenth of Spark's. Both sides of a union are merged by
+#: their own sizes.
 SIZES = {
+    "spark.sql.autoBroadcastJoinThreshold": "1m",
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.sources.fileCompressionFactor": "10.0",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "960",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
