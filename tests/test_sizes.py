@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from icuqm.catalog.base import Tables
 from icuqm.catalog.roles import stored
+from icuqm.config import SETTING_RANGES, Config
 from icuqm.operators.grid import hourly_scaffold
 from icuqm.operators.intervals import carry_forward
 from icuqm.operators.ordered import along, last_seen, next_seen, running_sum
+from icuqm.plans.lpv import interval_pieces
 from icuqm.plans.sat import over_midnight
 from icuqm.session import SIZES
 
@@ -97,3 +99,14 @@ def test_a_table_of_some_megabytes_is_not_sent_to_every_task(spark, tmp_path):
     finally:
         for name, value in own.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_pieces_are_not_joined_after_they_are_split(spark):
+    rs = spark.createDataFrame([("a", "imv", DAY0)], "hospitalization_id string, device_category string, us bigint").withColumn("recorded_dttm", F.timestamp_micros("us"))
+    nothing = {c: F.lit(None).cast("double") for c in SETTING_RANGES} | {"mode_category": F.lit("simv")}
+    days = spark.createDataFrame([("a", None), ("a", 60.0), ("b", 70.0)], "hospitalization_id string, pbw_kg double")
+    out = interval_pieces({"respiratory_support": rs.withColumns(nothing)}, days, Config().lpv)
+    assert rows(out, "hospitalization_id", "pbw_kg", "mode", "is_imv") == [("a", 60.0, "simv", True)]
+    lines = plan(out).splitlines()
+    listed = next(i for i, line in enumerate(lines) if "explode(sequence(" in line)
+    assert not any("Join" in line for line in lines[:listed])
