@@ -8,7 +8,7 @@ from icuqm.catalog.base import DAY, HOUR, LINE, Tables, query
 from icuqm.catalog.timeline import _GAPS, _SEG, _UNION, _WINDOWS, active_ab, day_windows, drug_segments
 from icuqm.functions.time import local_day, micros
 from icuqm.operators.episodes import bookend_sessions, episodes, first_event, next_event, persists, runs, transitions
-from icuqm.operators.grid import hourly_scaffold, stitch_stays
+from icuqm.operators.grid import hourly_scaffold, stitch_stays, time_grid
 from icuqm.operators.intervals import off_gaps
 from icuqm.operators.steps import normalise_dose, ratio_around_gap, sample_steps, sum_steps
 
@@ -141,7 +141,7 @@ def step_samples(t: Tables):
     steps = sum_steps(segs, ["user_id"], "drug", ["a", "b", "c"], "value", "known")
     day = F.unix_micros(F.date_trunc("day", F.timestamp_micros("us")))
     ends = t.line.groupBy("user_id").agg(F.min(day).alias("lo"), F.max(day).alias("hi"))
-    grid = ends.select("user_id", F.explode(F.sequence("lo", "hi", F.lit(6 * HOUR))).alias("at"))
+    grid = time_grid(ends, ["user_id"], "lo", "hi", 6 * HOUR)
     out = sample_steps(grid, steps, ["user_id"], "at", "t", {"total": 0.0, "assessable": True})
     return out.select("user_id", F.col("at").alias("at_us"), F.round("total", 6).alias("total"), "assessable")
 

@@ -1,4 +1,4 @@
-"""Hourly scaffold and stay stitching (T-SCF, T-STI)."""
+"""Grid times, hourly scaffold and stay stitching (T-SCF, T-STI)."""
 
 from __future__ import annotations
 
@@ -11,6 +11,20 @@ from icuqm.functions.time import DAY, HOUR, instant, micros
 from icuqm.operators.intervals import carry_forward
 from icuqm.operators.ordered import BUCKET, along, bucket_of, last_seen, running_max_before
 
+#: Tasks that list grid times. The number is set, as spans are a few bytes each: merged by their size, those of a
+#: million entities would be listed by one task.
+LISTING = 96
+
+
+def spread(spans: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One span per entity, dealt to ``LISTING`` tasks."""
+    return spans.repartition(LISTING, *by)
+
+
+def time_grid(spans: DataFrame, by: Sequence[str], lo: str, hi: str, step: int, name: str = "at") -> DataFrame:
+    """One row per entity and ``step`` from ``lo`` up to ``hi``, both microseconds."""
+    return spread(spans, by).select(*by, F.explode(F.sequence(lo, hi, F.lit(step))).alias(name))
+
 
 def hourly_scaffold(
     df: DataFrame, by: Sequence[str], on: str, carry: Sequence[str], tiebreak: Sequence[str] = (), width: int = DAY
@@ -31,7 +45,7 @@ def hourly_scaffold(
     hour = F.unix_micros(F.date_trunc("hour", instant(F.col("at"))))
     ends = native.where(F.col("at").isNotNull()).groupBy(*by).agg(F.min(hour).alias("lo"), F.max(hour).alias("hi"))
     lo, hi = F.col("lo") + last_second, F.col("hi") + last_second
-    buckets = ends.withColumn(BUCKET, F.explode(F.sequence(bucket_of(lo, width), bucket_of(hi, width))))
+    buckets = spread(ends, by).withColumn(BUCKET, F.explode(F.sequence(bucket_of(lo, width), bucket_of(hi, width))))
     # the first scaffold row from the bucket's border on
     ahead = F.greatest(F.col(BUCKET) * F.lit(width) - lo, F.lit(0))
     grid = buckets.select(

@@ -4,10 +4,10 @@ import pytest
 from helpers import DAY0, HOUR, rows
 from pyspark.sql import functions as F
 
-from icuqm.catalog.base import Tables
+from icuqm.catalog.base import QUERIES, Tables
 from icuqm.catalog.roles import stored
 from icuqm.config import SETTING_RANGES, Config
-from icuqm.operators.grid import hourly_scaffold
+from icuqm.operators.grid import LISTING, hourly_scaffold, time_grid
 from icuqm.operators.intervals import carry_forward
 from icuqm.operators.ordered import along, last_seen, next_seen, running_sum
 from icuqm.plans.lpv import interval_pieces
@@ -110,3 +110,14 @@ def test_pieces_are_not_joined_after_they_are_split(spark):
     lines = plan(out).splitlines()
     listed = next(i for i, line in enumerate(lines) if "explode(sequence(" in line)
     assert not any("Join" in line for line in lines[:listed])
+
+
+def test_grid_times_are_listed_by_many_tasks(spark):
+    spans = spark.createDataFrame([(i, DAY0, DAY0 + DAY) for i in range(2000)], "id int, lo bigint, hi bigint").groupBy("id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    grid = time_grid(spans, ["id"], "lo", "hi", 6 * HOUR)
+    assert rows(grid.where("id = 7"), "id", "at") == [(7, DAY0 + k * 6 * HOUR) for k in range(5)]
+    held = [r["n"] for r in grid.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(held) == 10_000 and len(held) == LISTING and max(held) < 500
+    lines = plan(QUERIES["sampled_steps"](spark, "/root/testdata/sf0.001")).splitlines()
+    listed = next(i for i, line in enumerate(lines) if "explode(sequence(lo" in line)
+    assert any("RepartitionByExpression" in line and f", {LISTING}" in line for line in lines[listed:])
