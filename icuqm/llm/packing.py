@@ -7,20 +7,25 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from icuqm.llm.text import batches_of, byte_texts
+from icuqm.llm.text import batches_of
 from icuqm.session import write_stage
 
 ROOM = 4096
 END_ID = 1
 #: Words whose ids a task remembers; beyond it the memory starts anew.
 MEMORY = 400_000
+#: New words that are split at once, and bytes of texts that are split at once, unless one text is longer.
+TOGETHER = 4096
+HELD = 1 << 23
 #: Multiplicative weights: the gap between cover and bound at which they end, the most rounds at first and for what is left, how far weights move,
 #: what a round's excess counts at most, how near the dearest pattern others are used.
 GAP = 0.005
@@ -38,7 +43,8 @@ PER_TASK = 250_000
 
 #: Words of printable ASCII and precomposed Latin letters, and how the vocabulary splits them.
 SIMPLE = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+SIMPLES = re.compile("[\n!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^\na-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
 
 
 def shown_bytes() -> list[str]:
@@ -55,7 +61,8 @@ class WordIds:
     """Ids of whole texts, word by word.
 
     The vocabulary's normalizer and splitter never join across ASCII white space, so a
-    text's ids are those of its words one after another, and a word's are remembered.
+    text's ids are those of its words one after another, and a word's are remembered. The
+    new words of several texts are split and looked up together.
     """
 
     def __init__(self, path: str):
@@ -64,52 +71,88 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
         self.parts: dict[str, bytes] = {}
 
         self.tokens = self.library.model.tokenize
 
     def _part(self, part: str) -> bytes:
-        shown = "".join([SHOWN[b] for b in part.encode()])
+        # printable ASCII stands for itself
+        shown = part if part.isascii() else "".join([SHOWN[b] for b in part.encode()])
         ids = [t.id for t in self.tokens(shown)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _new(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if not SIMPLE.fullmatch(text) or "<|" in text:
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        # such a word is unchanged by the normalizer but for its case, and splits by SPLIT
-        parts = SPLIT.findall(text.lower())
-        if len(self.parts) > MEMORY:
-            self.parts.clear()
-        for part in parts:
-            if part not in self.parts:
-                self.parts[part] = self._part(part)
-        return b"".join([self.parts[part] for part in parts])
+    def _whole(self, text: str) -> bytes:
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def of(self, data: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text."""
-        words, known = data.split(), self.known
+    def _learn(self, words: list[bytes]) -> None:
+        known, parts = self.known, self.parts
+        texts = b"\n".join(words).decode("utf-8", "replace")
+        if not SIMPLES.fullmatch(texts) or "<|" in texts:
+            plain = []
+            for word, text in zip(words, texts.split("\n"), strict=True):
+                if SIMPLE.fullmatch(text) and "<|" not in text:
+                    plain.append(word)
+                else:
+                    known[word] = self._whole(text)
+            words, texts = plain, b"\n".join(plain).decode()
+        if not words:
+            return
+        # such words are unchanged by the normalizer but for their case, and split by SPLIT
+        lower = texts.lower()
+        if len(parts) > MEMORY:
+            parts.clear()
+        for part in set(SPLIT.findall(lower)).difference(parts):
+            parts[part] = self._part(part)
+        own = parts.__getitem__
+        for word, text in zip(words, lower.split("\n"), strict=True):
+            # a part alone is split no further
+            known[word] = parts[text] if text in parts else b"".join(map(own, SPLIT.findall(text)))
+
+    def of_all(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """Little-endian unsigned 32-bit ids of all texts, one after another, and the byte at which each begins."""
+        known = self.known
+        # white space in ASCII is what bytes.split() cuts at; ends of a text may give empty words
+        words = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.binary()), b"").view(pa.string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.view(pa.binary()).to_pylist()
         if len(known) > MEMORY:
             known.clear()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self._new(w)
-            return b"".join([known[w] for w in words])
+            known[b""] = b""
+        new = [w for w in distinct if w not in known]
+        for start in range(0, len(new), TOGETHER):
+            self._learn(new[start : start + TOGETHER])
+        ids = pa.array([known[w] for w in distinct], pa.large_binary()).take(coded.indices)
+        _, starts, data = ids.buffers()
+        places = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))])
+        starts = np.frombuffer(starts, dtype=np.int64)[ids.offset :] if len(ids) else np.zeros(1, dtype=np.int64)
+        return memoryview(data or b""), starts[places]
+
+    def of(self, data: bytes) -> bytes:
+        ids, starts = self.of_all(pa.array([data], pa.binary()))
+        return bytes(ids[starts[0] : starts[1]])
+
+
+def _shares(frame: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows in order, as many at once as ``HELD`` bytes of text take, one at least."""
+    sizes = pc.fill_null(pc.binary_length(frame.column("text")), 0).to_numpy(zero_copy_only=False)
+    ends, start = np.cumsum(sizes, dtype=np.int64), 0
+    while start < len(ends):
+        end = max(start + 1, int(np.searchsorted(ends, ends[start] - sizes[start] + HELD, "right")))
+        yield frame.slice(start, end - start)
+        start = end
 
 
 def _pieces(path: str, room: int):
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path).of
+        encode = WordIds(path).of_all
         end = struct.pack("<I", END_ID)
-        for frame in batches_of(frames, 500):
+        for frame in chain.from_iterable(map(_shares, batches_of(frames))):
             out: list[list] = [[], [], [], [], []]
-            for doc_id, data in zip(frame.column("doc_id").to_pylist(), byte_texts(frame.column("text")), strict=True):
-                ids = encode(data) + end
+            coded, starts = encode(frame.column("text"))
+            for doc_id, first, last in zip(frame.column("doc_id").to_pylist(), starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                ids = bytes(coded[first:last]) + end
                 for piece, start in enumerate(range(0, len(ids) // 4, room)):
                     part = ids[4 * start : 4 * (start + room)]
                     for column, value in zip(out, (doc_id, piece, start, len(part) // 4, zlib.crc32(part)), strict=True):

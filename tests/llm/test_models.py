@@ -6,6 +6,7 @@ import struct
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +43,26 @@ def test_word_ids_equal_the_library():
         assert own.of(text.encode()) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_words_of_many_texts_are_looked_up_once_and_together(monkeypatch):
+    path, learned = vocabulary("word_bpe_49k.json"), []
+    library = tokenizers.Tokenizer.from_file(path)
+    learn = packing.WordIds._learn
+    monkeypatch.setattr(packing.WordIds, "_learn", lambda self, words: (learned.append(len(words)), learn(self, words))[1])
+    texts = [*TEXTS, None, "", " \t", *(f" one two\nthree word{i % 40} <|x|> '{i % 7}ll\x0bStra\u00dfe \u65e5\u672c " for i in range(300))]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for t in texts]
+    want = [(i, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))) for i, ids in enumerate(want)]
+    for held, together, memory in ((1 << 23, 4096, 400_000), (500, 3, 10)):
+        monkeypatch.setattr(packing, "HELD", held)
+        monkeypatch.setattr(packing, "TOGETHER", together)
+        monkeypatch.setattr(packing, "MEMORY", memory)
+        got = [r for b in packing._pieces(path, 1 << 20)(iter([rows.slice(1), rows.slice(0, 1)])) for r in b.to_pylist()]
+        assert sorted((r["doc_id"], r["length"], r["ids_crc32"]) for r in got) == want
+        if together == 4096:
+            words = {w for t in texts for w in (t or "").encode().split()}
+            assert sum(learned) == len(words) and len(learned) <= 2
+
+
 THIRDS = {1200 + 7 * k % 300: 1 + k % 50 for k in range(200)}
 HISTOGRAMS = [{}, {4096: 5}, {3000: 7, 1096: 3}, {1: 9000}, {2049: 4}, {k: k % 5 + 1 for k in range(1, 4097, 7)}, THIRDS, {64: 8000, 3584: 1000}]
 
