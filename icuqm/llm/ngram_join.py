@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -52,9 +53,9 @@ def sketch_bits(n_bytes: int) -> int:
 
 
 def filter_bits(n_docs: int) -> int:
-    """Bits of the filter of opened documents: some 16 for each, 2^27 at most, which is a broadcast of 16 MB.
+    """Bits of a filter of documents or tokens: some 16 for each, 2^27 at most, which is a broadcast of 16 MB.
 
-    It spares most texts that no group needs; the others' texts are joined exactly.
+    It spares most rows that nothing asks for; those let through are joined exactly.
     """
     return min(27, max(16, math.ceil(math.log2(n_docs + 1)) + 4))
 
@@ -173,6 +174,41 @@ def _filter_of(bits: int):
     return run
 
 
+def filter_over(ids: DataFrame, bits: int):
+    """Broadcast filter that lets every number of ``ids (id)`` through and, as a rule, few others."""
+    masks = ids.mapInArrow(_filter_of(bits), "bits binary").rdd.map(lambda r: np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), dtype=np.uint8))
+    return ids.sparkSession.sparkContext.broadcast(masks.treeAggregate(np.zeros(1 << (bits - 3), dtype=np.uint8), np.bitwise_or, np.bitwise_or))
+
+
+def _let_through(own: np.ndarray, ids: np.ndarray, bits: int) -> np.ndarray:
+    at = _filter_places(ids, bits)
+    return ((own[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=0)
+
+
+def _among(mask, bits: int):
+    """Rows whose ``id`` the filter lets through."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            yield frame.filter(pa.array(_let_through(mask.value, frame.column("id").to_numpy(zero_copy_only=False), bits), pa.bool_()))
+
+    return run
+
+
+def _listed(mask, bits: int):
+    """Rows ``(id, n, token)`` of the tokens that the filter lets through."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            lists = frame.column("tokens")
+            tokens, of = lists.flatten(), pc.list_parent_indices(lists)
+            held = pa.array(_let_through(mask.value, tokens.to_numpy(zero_copy_only=False), bits), pa.bool_())
+            of = of.filter(held)
+            yield pa.RecordBatch.from_arrays([frame.column("id").take(of), frame.column("n").take(of), tokens.filter(held)], ["id", "n", "token"])
+
+    return run
+
+
 def _opened(mask, bits: int):
     """Compressed texts of the documents that the filter lets through."""
 
@@ -180,9 +216,7 @@ def _opened(mask, bits: int):
         own, pack = mask.value, zstandard.ZstdCompressor(level=3)
         for frame in batches_of(frames):
             frame = frame.filter(frame.column("doc_id").is_valid())
-            at = _filter_places(frame.column("doc_id").to_numpy(zero_copy_only=False), bits)
-            hit = (own[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-            frame = frame.filter(pa.array(hit.all(axis=0), pa.bool_()))
+            frame = frame.filter(pa.array(_let_through(own, frame.column("doc_id").to_numpy(zero_copy_only=False), bits), pa.bool_()))
             yield pa.RecordBatch.from_arrays(
                 [frame.column("doc_id"), pa.array([pack.compress(x) for x in byte_texts(frame.column("text"))], pa.binary())], ["id", "packed"]
             )
@@ -387,9 +421,12 @@ def leaders_of_salts(index: DataFrame, share: int) -> DataFrame:
 def torn_tokens(index: DataFrame, salted: DataFrame, group: DataFrame) -> DataFrame:
     """Tokens that documents of several groups hold: those of a document in another group than the token's leader, or whose leaders differ."""
     to = group.select(F.col("id").alias("to"), F.col("component").alias("led"))
-    ties = index.select("id", "own", F.explode(F.array_distinct("leaders")).alias("to")).join(to, "to", "left")
-    ties = ties.where(F.col("own") != F.coalesce("led", "to")).groupBy("id").agg(F.collect_set("to").alias("foreign"))
-    pairs = index.join(ties, "id").select("foreign", F.explode(F.arrays_zip("tokens", "leaders")).alias("z"))
+    ties = index.select("id", F.explode(F.array_distinct("leaders")).alias("to")).join(group, "id", "left").join(to, "to", "left")
+    ties = ties.where(F.coalesce("component", "id") != F.coalesce("led", "to")).groupBy("id").agg(F.collect_set("to").alias("foreign"))
+    ties = write_stage(ties, "ngram-ties")
+    # only these documents' tokens are exchanged
+    bits = filter_bits(ties.count())
+    pairs = index.select("id", "tokens", "leaders").mapInArrow(_among(filter_over(ties.select("id"), bits), bits), "id long, tokens array<long>, leaders array<long>").join(ties, "id").select("foreign", F.explode(F.arrays_zip("tokens", "leaders")).alias("z"))
     torn = pairs.where(F.array_contains("foreign", F.col("z.leaders"))).select(F.col("z.tokens").alias("token"))
     heads = salted.select("token", F.col("leader").alias("to")).distinct().join(to, "to", "left").select("token", F.coalesce("led", "to").alias("led"))
     several = heads.groupBy("token").agg(F.min("led").alias("low"), F.max("led").alias("high")).where("low <> high").select("token")
@@ -403,10 +440,12 @@ def near_groups(index: DataFrame, salted: DataFrame, group: DataFrame, share: in
     similar documents in different groups, one finds at least ``hits_needed`` of its
     prefix tokens in the other's row, so groups with fewer are not opened for it.
     """
-    index = index.join(group, "id", "left").withColumn("own", F.coalesce("component", "id"))
     tokens = write_stage(torn_tokens(index, salted, group), "ngram-torn")
-    owned = index.select("id", "n", "own", F.explode("tokens").alias("token")).join(tokens, "token")
-    owned = write_stage(owned.select("token", "id", "n", "own"), "ngram-owned")
+    # few tokens are torn, so the others are left out before the exchange
+    bits = filter_bits(tokens.count())
+    listed = index.select("id", "n", "tokens").mapInArrow(_listed(filter_over(tokens.select(F.col("token").alias("id")), bits), bits), "id long, n int, token long")
+    owned = listed.join(tokens, "token").join(group, "id", "left")
+    owned = write_stage(owned.select("token", "id", "n", F.coalesce("component", "id").alias("own")), "ngram-owned")
     # documents with too few tokens in other groups ask for none
     asking = owned.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= _wanted("n", "n", share)).select("id")
     owned = write_stage(owned.join(asking.distinct(), "id", "left_semi"), "ngram-asking")
@@ -482,8 +521,7 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     queries = queries.select("grp", _numbers(F.coalesce("parts", F.lit(1)), "sub"), _place(F.col("salts")).alias("salt"), F.lit(1).alias("asks"), "id")
     rows = write_stage(inside.union(queries).withColumn("comp", F.lit(None).cast("long")), "ngram-meetings")
     wanted = filter_bits(sizes.count())
-    masks = rows.select("id").mapInArrow(_filter_of(wanted), "bits binary").rdd.map(lambda r: np.frombuffer(zstandard.ZstdDecompressor().decompress(r["bits"]), dtype=np.uint8))
-    mask = spark.sparkContext.broadcast(masks.treeAggregate(np.zeros(1 << (wanted - 3), dtype=np.uint8), np.bitwise_or, np.bitwise_or))
+    mask = filter_over(rows.select("id"), wanted)
     opened = write_stage(docs.mapInArrow(_opened(mask, wanted), "id long, packed binary"), "ngram-opened")
     links = copies.union(write_stage(met_links(rows, opened, share, width), "ngram-links"))
 

@@ -124,6 +124,19 @@ def test_salted_tokens_and_leaders_lose_no_link(spark, monkeypatch):
     check_groups(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_only_torn_tokens_are_listed_for_the_exchange(spark, monkeypatch):
+    index = spark.createDataFrame([(i, 3, [i, -7, 1 << 60], [i, 2, 3], None) for i in range(1000)], "id long, n int, tokens array<long>, leaders array<long>, leader long")
+    asked = spark.createDataFrame([(-7,), (3,)], "id long")
+    mask = ngram_join.filter_over(asked, 16)
+    got = index.select("id", "n", "tokens").mapInArrow(ngram_join._listed(mask, 16), "id long, n int, token long").collect()
+    assert {tuple(r) for r in got} >= {(i, 3, -7) for i in range(1000)} | {(3, 3, 3)} and len(got) < 1100
+    kept = [r["id"] for r in index.mapInArrow(ngram_join._among(mask, 16), index.schema).collect()]
+    assert 3 in kept and len(kept) < 50
+    # filters that let nothing out change no result
+    monkeypatch.setattr(ngram_join, "filter_bits", lambda n: 3)
+    check_groups(edited_family(spark, 40, 90, 10))
+
+
 def test_no_documents(nothing):
     assert ngram_join.ngram_groups(nothing).count() == 0
     assert ngram_join.drop_near_copies(nothing).count() == 0
