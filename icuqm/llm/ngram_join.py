@@ -30,6 +30,8 @@ LOOSER = 4
 PIVOTS = 32
 QUERIES = 4000
 LEVEL_STEP = 8
+#: Groups are merged while documents would meet more than this many groups per token that they hold.
+SPARE = 2
 #: Digests that a task remembers to spot copies early; beyond it they are indexed as any text.
 SEEN = 500_000
 
@@ -433,24 +435,65 @@ def torn_tokens(index: DataFrame, salted: DataFrame, group: DataFrame) -> DataFr
     return torn.union(several).distinct()
 
 
-def near_groups(index: DataFrame, salted: DataFrame, group: DataFrame, share: int) -> DataFrame:
-    """``(id, other)``: documents with the further groups that they may link with.
-
-    The token-group matrix holds, per token and group, the range of set sizes. Of two
-    similar documents in different groups, one finds at least ``hits_needed`` of its
-    prefix tokens in the other's row, so groups with fewer are not opened for it.
-    """
+def owned_tokens(index: DataFrame, salted: DataFrame, group: DataFrame, share: int) -> DataFrame:
+    """``(token, id, n, own)``: torn tokens of documents that hold enough of them for a link into another group."""
     tokens = write_stage(torn_tokens(index, salted, group), "ngram-torn")
     # few tokens are torn, so the others are left out before the exchange
     bits = filter_bits(tokens.count())
     listed = index.select("id", "n", "tokens").mapInArrow(_listed(filter_over(tokens.select(F.col("token").alias("id")), bits), bits), "id long, n int, token long")
     owned = listed.join(tokens, "token").join(group, "id", "left")
-    owned = write_stage(owned.select("token", "id", "n", F.coalesce("component", "id").alias("own")), "ngram-owned")
-    # documents with too few tokens in other groups ask for none
-    asking = owned.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= _wanted("n", "n", share)).select("id")
-    owned = write_stage(owned.join(asking.distinct(), "id", "left_semi"), "ngram-asking")
-    matrix = owned.groupBy("token", F.col("own").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    fits = (F.col("own") < F.col("other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
+    return asking(write_stage(owned.select("token", "id", "n", F.coalesce("component", "id").alias("own")), "ngram-owned"), share)
+
+
+def asking(owned: DataFrame, share: int) -> DataFrame:
+    """``owned`` without documents that have too few tokens in other groups."""
+    enough = owned.groupBy("id", "n").agg(F.count("*").alias("hits")).where(F.col("hits") >= _wanted("n", "n", share)).select("id")
+    return write_stage(owned.join(enough.distinct(), "id", "left_semi"), "ngram-asking")
+
+
+def merged_groups(owned: DataFrame, group: DataFrame, share: int) -> tuple[DataFrame, DataFrame]:
+    """``(owned, group)`` after groups of one family have become one.
+
+    Where a family of near copies lies in many groups, each of its documents would meet each
+    of those under every token. Instead a document's group then joins the heaviest group of
+    a token, the one with which it shares most, so a round costs one row per document and
+    token. Merging loses no link, as members of a group all meet.
+    """
+    while True:
+        weights = owned.groupBy("own").agg(F.count("*").alias("weight"))
+        cells = owned.groupBy("token", "own").agg(F.count("*").alias("docs")).join(weights, "own").withColumn("rank", F.struct("weight", "own"))
+        leads = cells.groupBy("token").agg(F.sum("docs").alias("docs"), F.max_by("docs", "rank").alias("led"), F.count("*").alias("groups"), F.max("rank").alias("lead"))
+        leads = write_stage(leads.select("token", "docs", "led", "groups", F.col("lead.own").alias("lead")), "ngram-leads")
+        # the heaviest group asks no other, so its documents make no rows
+        meet = leads.agg(F.sum((F.col("docs") - F.col("led")) * (F.col("groups") - 1)).alias("rows"), F.sum("docs").alias("held")).first()
+        if (meet["rows"] or 0) <= SPARE * (meet["held"] or 0):
+            return owned, group
+        hits = owned.join(leads.select("token", "lead"), "token").where("own <> lead").groupBy("id", "n", "own", "lead").agg(F.count("*").alias("hits"))
+        hits = hits.where(F.col("hits") * LOOSER >= _wanted("n", "n", share))
+        edges = hits.groupBy("id", "own").agg(F.max_by("lead", F.struct("hits", "lead")).alias("lead"))
+        edges = write_stage(edges.select(F.col("own").alias("a"), F.col("lead").alias("b")).distinct(), "ngram-merging")
+        if edges.isEmpty():
+            return owned, group
+        fresh = components(edges, "ngram-merged")
+        to = fresh.select(F.col("id").alias("was"), F.col("component").alias("to"))
+        renamed = group.join(to, group["component"] == to["was"], "left").select("id", F.coalesce("to", "component").alias("component"))
+        group = write_stage(renamed.union(fresh.join(group, "id", "left_anti").select("id", "component")), "ngram-regrouped")
+        owned = write_stage(owned.join(to, owned["own"] == to["was"], "left").select("token", "id", "n", F.coalesce("to", "own").alias("own")), "ngram-owned")
+        torn = owned.groupBy("token").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("token")
+        owned = asking(owned.join(torn, "token", "left_semi"), share)
+
+
+def near_groups(owned: DataFrame, share: int) -> DataFrame:
+    """``(id, other)``: documents with the further groups that they may link with.
+
+    The token-group matrix holds, per token and group, the range of set sizes. Of two
+    similar documents in different groups, one finds at least ``hits_needed`` of its
+    prefix tokens in the other's row, so groups with fewer are not opened for it. The one in
+    the lighter group asks, so that a great group's documents do not each ask the small ones.
+    """
+    owned = write_stage(owned.join(owned.groupBy("own").agg(F.count("*").alias("weight")), "own"), "ngram-weighed")
+    matrix = owned.groupBy("token", F.col("own").alias("other"), F.col("weight").alias("heavier")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (F.struct("weight", "own") < F.struct("heavier", "other")) & (F.col("least") * share <= F.col("n") * 100) & (F.col("n") * share <= F.col("most") * 100)
     near = owned.join(matrix, "token").where(fits).groupBy("id", "n", "other").agg(F.count("*").alias("hits"), F.min("least").alias("least"))
     smallest = F.greatest("least", -F.floor(-F.col("n") * share / 100))
     return near.where(F.col("hits") >= 1 + F.floor(F.least("n", smallest) / SLACK)).select("id", "other").distinct()
@@ -472,7 +515,8 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
        union cannot reach the similarity opens nothing, any other is compared with all
        members at once.
     4. The token-group matrix tells which further groups a document may link with
-       (``near_groups``); it is sent to those as a query.
+       (``near_groups``); it is sent to those as a query. Groups among which there would be
+       many such meetings are merged before (``merged_groups``).
     5. Parts of one group share some members, which connect most of it. Members outside
        the largest component are then sent to the other parts.
 
@@ -508,8 +552,9 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
     index = write_stage(gather(rows, share), "ngram-index")
     best = index.where("leader is not null").select(F.col("leader").alias("a"), F.col("id").alias("b"))
     group = components(best.union(leaders_of_salts(rows, share)), "ngram-groups")
+    owned, group = merged_groups(owned_tokens(index, rows.where("salt > 0"), group, share), group, share)
     members = write_stage(split_groups(group, index.groupBy("id").agg(F.max("n").alias("n"))), "ngram-members")
-    near = write_stage(near_groups(index, rows.where("salt > 0"), group, share), "ngram-near")
+    near = write_stage(near_groups(owned, share), "ngram-near")
 
     # members of groups, single documents that are asked for, and queries
     parts = members.select("grp", "parts").distinct()

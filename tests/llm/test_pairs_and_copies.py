@@ -118,6 +118,39 @@ def test_documents_link_across_groups(spark, monkeypatch):
     check_groups(edited_family(spark, 40, 90, 10))
 
 
+def counted_stages(monkeypatch):
+    """Rows of each stage that a call writes."""
+    rows, write = defaultdict(list), ngram_join.write_stage
+
+    def counted(df, name):
+        out = write(df, name)
+        rows[name].append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "write_stage", counted)
+    return rows
+
+
+def test_family_in_many_groups_is_merged(spark, monkeypatch):
+    rows = counted_stages(monkeypatch)
+    # every document a group of its own: some 60 * 59 / 2 meetings unless groups are merged
+    monkeypatch.setattr(ngram_join, "components", lambda edges, name: components(edges if name != "ngram-groups" else edges.where("false"), name))
+    check_groups(edited_family(spark, 60, 90, 4))
+    assert sum(rows["ngram-near"]) <= 60
+    # and without merging all links come from queries, as before
+    monkeypatch.setattr(ngram_join, "SPARE", 1 << 40)
+    check_groups(edited_family(spark, 40, 90, 10))
+
+
+def test_small_groups_ask_the_great_one(spark, monkeypatch):
+    rows = counted_stages(monkeypatch)
+    # the family but its last three documents is one group
+    monkeypatch.setattr(ngram_join, "components", lambda edges, name: components(edges if name != "ngram-groups" else edges.where("a < 57 and b < 57"), name))
+    monkeypatch.setattr(ngram_join, "SPARE", 1 << 40)
+    check_groups(edited_family(spark, 60, 90, 4))
+    assert 0 < sum(rows["ngram-near"]) < 12
+
+
 def test_salted_tokens_and_leaders_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PER_TASK", 2)
     rows = [(i, " ".join(f"w{k}" for k in range(40)) + f" tail{i}") for i in range(30)]
