@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.llm.components import components
-from icuqm.llm.text import WIDTH, batches_of, byte_texts, mixed, shingle_keys
+from icuqm.llm.text import SPREAD, WIDTH, batches_of, byte_texts, mixed, shingle_keys
 from icuqm.session import write_stage
 
 SHARE = 75
@@ -23,6 +23,9 @@ SLACK = 16
 CHUNK_BITS = 16
 #: Rows of one token that one task takes before they are salted.
 PER_TASK = 100_000
+#: Prefix tokens that a task packs at once, bytes of text whose prefix tokens one task takes.
+PACKED = 1 << 20
+PART_BYTES = 1 << 24
 #: Tokens of one part of a group, members that all parts of a group share, queries to one part that one task takes.
 TOKENS = 1 << 19
 #: A document joins a leader's group from this part of the tokens on that a link takes.
@@ -113,18 +116,59 @@ def _levels(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _prefixes(levels, bits: int, share: int, width: int):
-    """Rows ``(token, salt, id, n, head)``: the rarest tokens of each set under one order for all documents.
+def _salts(tokens: np.ndarray, ids: np.ndarray, per_task: int) -> np.ndarray:
+    """Tokens of more documents than one task takes are dealt over several salts from 1 on, all others have salt 0."""
+    spread = (2.0 ** ((tokens.view(np.uint64) >> np.uint64(56)).astype(np.float64) / LEVEL_STEP) // per_task).astype(np.uint64) + np.uint64(1)
+    return np.where(spread > 1, np.uint64(1) + mixed(ids.astype(np.uint64)) % spread, np.uint64(0)).astype(np.int32)
+
+
+def _packed_rows(tokens: np.ndarray, ids: np.ndarray, sizes: np.ndarray, pack: zstandard.ZstdCompressor) -> bytes:
+    """The three columns byte by byte, ids as steps, which takes half of what such rows take in an exchange."""
+    steps = np.diff(ids, prepend=np.int64(0))
+    return pack.compress(b"".join(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), -1).T.tobytes() for x in (tokens, steps, sizes)))
+
+
+def _unpacked_rows(data: bytes, unpack: zstandard.ZstdDecompressor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    raw = np.frombuffer(unpack.decompress(data), dtype=np.uint8).reshape(20, -1)
+    tokens, steps, sizes = (np.ascontiguousarray(raw[at:to].T).view(kind).ravel() for at, to, kind in ((0, 8, np.int64), (8, 16, np.int64), (16, 20, np.int32)))
+    return tokens, np.cumsum(steps), sizes
+
+
+def _prefixes(levels, bits: int, share: int, width: int, parts: int):
+    """Rows ``(part, id, head, packed)``: the rarest tokens of each set under one order for all documents.
 
     Order: frequency level, then key. Of two sets with the wanted similarity, the prefixes of
-    ``n - needed(n) + hits_needed(n)`` tokens share at least the smaller ``hits_needed``. A
+    ``n - needed(n) + hits_needed(n)`` tokens share at least the smaller ``hits_needed``. Rows
+    ``(token, id, n)`` of one token and salt go to one part, those of a part are packed. A
     copy met again in the same task is not indexed; its row names the first one as ``head``.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, seen = levels.value, {}
+        table, seen, pack = levels.value, {}, zstandard.ZstdCompressor(level=1)
+        held, copies, heads, n_held = [], [], [], 0
+
+        def flush():
+            to, own, packed = np.zeros(0, dtype=np.int64), [], []
+            if held:
+                tokens, ids, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+                salts = _salts(tokens, ids, PER_TASK)
+                to = (mixed(tokens.view(np.uint64) + salts.astype(np.uint64) * SPREAD) % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(to, kind="stable")
+                tokens, ids, sizes = tokens[order], ids[order], sizes[order]
+                own, starts = np.unique(to[order], return_index=True)
+                ends = np.append(starts[1:], len(order))
+                packed = [_packed_rows(tokens[x:y], ids[x:y], sizes[x:y], pack) for x, y in zip(starts, ends, strict=True)]
+            k = len(copies)
+            columns = [
+                pa.array([*own, *(i % parts for i in copies)], pa.int32()),
+                pa.array([*[None] * len(packed), *copies], pa.int64()),
+                pa.array([*[None] * len(packed), *heads], pa.int64()),
+                pa.array([*packed, *[None] * k], pa.binary()),
+            ]
+            held.clear(), copies.clear(), heads.clear()
+            return pa.RecordBatch.from_arrays(columns, ["part", "id", "head", "packed"])
+
         for frame in batches_of(frames):
-            tokens, salts, ids, sizes, copies, heads = [], [], [], [], [], []
             for doc_id, data in zip(frame.column("doc_id").to_pylist(), byte_texts(frame.column("text")), strict=True):
                 keys = shingle_keys(data, width)
                 if doc_id is None or len(keys) == 0:
@@ -142,23 +186,52 @@ def _prefixes(levels, bits: int, share: int, width: int):
                 if take < len(keys):
                     # ties at the border all stay
                     order = order[order <= np.partition(order, take - 1)[take - 1]]
-                spread = (2.0 ** ((order >> np.uint64(56)).astype(np.float64) / LEVEL_STEP) // PER_TASK).astype(np.int64) + 1
-                tokens.append(order.view(np.int64))
-                salts.append(np.where(spread > 1, 1 + hash(doc_id) % spread, 0))
-                ids.append(np.full(len(order), doc_id, dtype=np.int64))
-                sizes.append(np.full(len(order), len(keys), dtype=np.int32))
-            names = ["token", "salt", "id", "n", "head"]
-            if tokens:
-                columns = [pa.array(np.concatenate(x)) for x in (tokens, salts, ids, sizes)]
-                columns[1] = columns[1].cast(pa.int32())
-                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(columns[0]), pa.int64())], names)
-            if copies:
-                none = pa.array([0] * len(copies), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(copies, pa.int64()), none, pa.array(copies, pa.int64()), none, pa.array(heads, pa.int64())], names)
+                held.append((order.view(np.int64), np.full(len(order), doc_id, dtype=np.int64), np.full(len(order), len(keys), dtype=np.int32)))
+                n_held += len(order)
+            if n_held >= PACKED:
+                yield flush()
+                n_held = 0
+        yield flush()
+
+    return run
+
+
+def _shared(per_task: int):
+    """Rows of one part: tokens that several documents hold or that are salted, with the smallest document of each token and salt, and copies."""
+
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, held = zstandard.ZstdDecompressor(), []
+        names = ["token", "salt", "id", "n", "head", "leader", "m"]
+        for frame in frames:
+            held += [_unpacked_rows(x, unpack) for x in frame.column("packed").to_pylist() if x is not None]
+            copies = frame.filter(frame.column("head").is_valid())
+            ids, none = copies.column("id"), pa.array(np.zeros(copies.num_rows, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([ids, none, ids, none, copies.column("head"), ids, none], names)
+        if not held:
+            return
+        tokens, ids, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        salts = _salts(tokens, ids, per_task)
+        order = np.lexsort((sizes, ids, salts, tokens))
+        tokens, salts, ids, sizes = tokens[order], salts[order], ids[order], sizes[order]
+        first = np.flatnonzero(np.append(True, (tokens[1:] != tokens[:-1]) | (salts[1:] != salts[:-1])))
+        many = np.diff(np.append(first, len(tokens)))
+        stays = np.repeat(ids[first] != ids[first + many - 1], many) | (salts > 0)
+        leaders, least = np.repeat(ids[first], many)[stays], np.repeat(sizes[first], many)[stays]
+        columns = [pa.array(x) for x in (tokens[stays], salts[stays], ids[stays], sizes[stays])]
+        rows = pa.RecordBatch.from_arrays([*columns, pa.nulls(len(leaders), pa.int64()), pa.array(leaders), pa.array(least)], names)
+        yield from batches_of([rows], 1 << 16)
 
     return run
 
 
+def shared_tokens(docs: DataFrame, levels, bits: int, share: int, width: int, n_bytes: int) -> DataFrame:
+    """``(token, salt, id, n, head, leader, m)``: prefix tokens of several documents, and copies with their ``head``."""
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_bytes // PART_BYTES)
+    tokens = docs.mapInArrow(_prefixes(levels, bits, share, width, parts), "part int, id long, head long, packed binary")
+    return tokens.repartitionById(parts, "part").mapInArrow(_shared(PER_TASK), "token long, salt int, id long, n int, head long, leader long, m int")
+
+
 def _filter_places(ids: np.ndarray, bits: int) -> np.ndarray:
     """Two places of each id in the filter."""
     keys = mixed(ids.astype(np.uint64))
@@ -539,14 +612,7 @@ def ngram_groups(docs: DataFrame, share: int = SHARE, width: int = WIDTH) -> Dat
         level[row["part"]] = np.frombuffer(row["level"], dtype=np.uint8)
     held = spark.sparkContext.broadcast(level.ravel())
 
-    tokens = docs.mapInArrow(_prefixes(held, bits, share, width), "token long, salt int, id long, n int, head long")
-    led = tokens.withColumns(
-        {k: F.expr(f"{f} over (partition by token, salt)") for k, f in (("leader", "min(struct(id, n))"), ("last", "max(id)"))}
-    )
-    shared = write_stage(
-        led.where("head is not null or leader.id <> last or salt > 0").select("token", "salt", "id", "n", "head", F.col("leader.id").alias("leader"), F.col("leader.n").alias("m")),
-        "ngram-shared",
-    )
+    shared = write_stage(shared_tokens(docs, held, bits, share, width, held_bytes), "ngram-shared")
     copies = shared.where("head is not null").select(F.col("head").alias("a"), F.col("id").alias("b"))
     rows = shared.where("head is null")
     index = write_stage(gather(rows, share), "ngram-index")

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import zstandard
 from pyspark.sql import functions as F
 
 from icuqm.llm import exact_dedup, ngram_join
@@ -151,6 +152,38 @@ def test_small_groups_ask_the_great_one(spark, monkeypatch):
     assert 0 < sum(rows["ngram-near"]) < 12
 
 
+def test_prefix_tokens_are_exchanged_packed(spark):
+    docs = edited_family(spark, 400, 150, 9)
+    levels = spark.sparkContext.broadcast(np.zeros(1 << 16, dtype=np.uint8))
+    got = docs.mapInArrow(ngram_join._prefixes(levels, 16, 75, 5, 4), "part int, id long, head long, packed binary").collect()
+    rows = [ngram_join._unpacked_rows(r["packed"], zstandard.ZstdDecompressor()) for r in got if r["head"] is None]
+    n_rows = sum(len(tokens) for tokens, _, _ in rows)
+    copied = {r["id"] for r in got if r["head"] is not None}
+    assert {int(i) for _, ids, _ in rows for i in ids} | copied == set(range(400)) and n_rows > 40 * (400 - len(copied))
+    # a row per task and part, not per token
+    assert len(rows) <= 8 * 4 and sum(len(r["packed"]) for r in got if r["packed"]) < 12 * n_rows
+    parts = [{int(t) for t in tokens} for tokens, _, _ in rows]
+    of = defaultdict(set)
+    for r, tokens in zip([r for r in got if r["head"] is None], parts, strict=True):
+        for t in tokens:
+            of[t].add(r["part"])
+    assert all(len(x) == 1 for x in of.values())
+
+
+def test_packed_rows_keep_every_number():
+    tokens = np.array([0, -1, 2**63 - 1, -(2**63), 5], dtype=np.int64)
+    ids = np.array([-(2**63), 2**63 - 1, 0, -1, -1], dtype=np.int64)
+    sizes = np.array([1, 2**31 - 1, 300, 7, 7], dtype=np.int32)
+    back = ngram_join._unpacked_rows(ngram_join._packed_rows(tokens, ids, sizes, zstandard.ZstdCompressor(level=1)), zstandard.ZstdDecompressor())
+    assert all((x == y).all() for x, y in zip((tokens, ids, sizes), back, strict=True))
+
+
+def test_packing_in_many_pieces_loses_no_link(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PACKED", 100)
+    monkeypatch.setattr(ngram_join, "PART_BYTES", 1000)
+    check_groups(edited_family(spark, 40, 90, 10))
+
+
 def test_salted_tokens_and_leaders_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "PER_TASK", 2)
     rows = [(i, " ".join(f"w{k}" for k in range(40)) + f" tail{i}") for i in range(30)]
