@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, micros
-from icuqm.operators.ordered import along, last_seen
+from icuqm.operators.ordered import Crowd, along, last_seen
 
 
 def asof_join(
@@ -21,6 +21,7 @@ def asof_join(
     tiebreak: Sequence[str] = (),
     strict: bool = False,
     width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Left rows with the columns of the latest right row of the same key.
 
@@ -53,7 +54,7 @@ def asof_join(
         F.struct(*[c for c in left.columns if c not in by]).alias("_left"),
     )
     both = asked.unionByName(points, allowMissingColumns=True)
-    found = along(both, by, "_t", {"_match": last_seen(F.col("_right"))}, ["_side", "_order"], width).where("_side = 1")
+    found = along(both, by, "_t", {"_match": last_seen(F.col("_right"))}, ["_side", "_order"], width, crowd=crowd).where("_side = 1")
     keep = F.col("_match")
     if tolerance is not None:
         keep = F.when(F.col("_t") - F.col("_match.at") <= F.lit(tolerance), keep)

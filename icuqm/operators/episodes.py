@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, HOUR, micros, minutes
-from icuqm.operators.ordered import _AT, RUN, along, following_at, mark_runs, next_seen, previous, running_min
+from icuqm.operators.ordered import _AT, RUN, Crowd, along, following_at, mark_runs, next_seen, previous, running_min
 
 
 def runs(
@@ -21,7 +21,7 @@ def runs(
 
 
 def episodes(
-    df: DataFrame, by: Sequence[str], on: str, state: str, trail: int = HOUR, tiebreak: Sequence[str] = (), width: int = DAY
+    df: DataFrame, by: Sequence[str], on: str, state: str, trail: int = HOUR, tiebreak: Sequence[str] = (), width: int = DAY, crowd: Crowd | None = None
 ) -> DataFrame:
     """Consecutive rows of one state as ``[start, end)`` with the state before (T-EPI).
 
@@ -30,12 +30,12 @@ def episodes(
     """
     by = list(by)
     slim = df.select(*by, on, *[c for c in tiebreak if c not in (on, state)], state)
-    marked = mark_runs(slim, by, on, state, lambda was, now: ~was["v"].eqNullSafe(now["v"]), tiebreak, width)
+    marked = mark_runs(slim, by, on, state, lambda was, now: ~was["v"].eqNullSafe(now["v"]), tiebreak, width, crowd)
     # a run's state is that of any of its rows; the struct keeps a state of NULL
     eps = marked.groupBy(*by, RUN).agg(F.first(F.struct(state)).alias("_state"), F.max(_AT).alias("_last"))
     order = F.col(RUN).getField(_AT)
     eps = eps.select(*by, order.alias("start"), RUN, "_state", "_last")
-    near = along(eps, by, "start", {"_was": previous(F.col("_state")), "_next": following_at()}, [RUN], width)
+    near = along(eps, by, "start", {"_was": previous(F.col("_state")), "_next": following_at()}, [RUN], width, crowd=crowd)
     return near.select(
         *by,
         F.col(f"_state.{state}").alias(state),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY, HOUR, local_day, micros, midnight, minutes
-from icuqm.operators.ordered import BUCKET, along, following_at, last_seen, previous_at, running_sum
+from icuqm.operators.ordered import BUCKET, Crowd, along, following_at, last_seen, previous_at, running_sum
 from icuqm.operators.overlap import Span, list_buckets, points_in_intervals
 
 
@@ -21,12 +21,14 @@ def carry_forward(
     width: int = DAY,
     lead: tuple[int, int] | None = None,
     placed: bool = False,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Latest non-NULL value per entry, blanked once older than its window (T-CF, T-CO).
 
     ``carries`` maps a new column to (value, window in microseconds or None for no limit). To carry a
     value seen together with another one, pass it masked: ``F.when(other.isNotNull(), value)``.
-    ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI). ``placed`` is that of ``along``.
+    ``lead=(max_gap, trail)`` also builds the row's interval, in the same pass (T-LI). ``placed`` and
+    ``crowd`` are those of ``along``.
     """
     with_at = df.withColumn("_cf_at", micros(df, on))
     # only a value that ages needs its time
@@ -36,7 +38,7 @@ def carry_forward(
     }
     if lead:
         stamped["_next"] = following_at()
-    seen = along(with_at, by, on, stamped, tiebreak, width, placed)
+    seen = along(with_at, by, on, stamped, tiebreak, width, placed, crowd)
     out = {}
     for name, (_, window) in carries.items():
         if window is not None:
@@ -62,11 +64,26 @@ def lead_intervals(
 
 
 def step_segments(
-    df: DataFrame, by: Sequence[str], on: str, cap: int = DAY, active: Column | None = None, tiebreak: Sequence[str] = (), width: int = DAY
+    df: DataFrame,
+    by: Sequence[str],
+    on: str,
+    cap: int = DAY,
+    active: Column | None = None,
+    tiebreak: Sequence[str] = (),
+    width: int = DAY,
+    crowd: Crowd | None = None,
+    found: str | None = None,
 ) -> DataFrame:
-    """Step function: a row holds until the next one, only the last row ends at ``cap`` (T-SEG, T-ACT)."""
+    """Step function: a row holds until the next one, only the last row ends at ``cap`` (T-SEG, T-ACT).
+
+    ``found`` names the column with the time of the next row, by the same order, where an earlier pass along
+    the rows has found it; rows without a key or a time are then gone already.
+    """
     stamped = df.withColumn("start", micros(df, on))
-    ahead = along(stamped, by, on, {"_next": following_at()}, tiebreak, width)
+    if found:
+        ahead = stamped.withColumnRenamed(found, "_next")
+    else:
+        ahead = along(stamped, by, on, {"_next": following_at()}, tiebreak, width, crowd=crowd)
     out = ahead.withColumn("end", F.coalesce(F.col("_next"), F.col("start") + F.lit(cap))).drop("_next")
     if active is not None:
         out = out.withColumn("active", F.coalesce(active, F.lit(False)))
@@ -165,7 +182,7 @@ def qualify_holds(gaps: DataFrame, keys: Sequence[str], floor: int) -> DataFrame
 
 
 def count_before(
-    days: DataFrame, events: DataFrame, by: Sequence[str], at: str, on: str, name: str, width: int = DAY
+    days: DataFrame, events: DataFrame, by: Sequence[str], at: str, on: str, name: str, width: int = DAY, crowd: Crowd | None = None
 ) -> DataFrame:
     """Events of the key strictly before each row's time, by a running count."""
     by = list(by)
@@ -174,7 +191,7 @@ def count_before(
     )
     seen = events.select(*by, micros(events, on).alias("_t"), F.lit(1).alias("_hit"))
     both = asked.unionByName(seen, allowMissingColumns=True)
-    counted = along(both, by, "_t", {name: running_sum(F.col("_hit"))}, ["_hit"], width)
+    counted = along(both, by, "_t", {name: running_sum(F.col("_hit"))}, ["_hit"], width, crowd=crowd)
     return counted.where("_hit = 0").select(
         *[F.col(c) if c in by else F.col(f"_row.{c}").alias(c) for c in days.columns], F.col(name).cast("bigint").alias(name)
     )

@@ -6,6 +6,9 @@ each bucket is summarised to one row, the summaries (at most one per bucket of t
 whatever the row count) are scanned per entity, and the carried value joins back to the rows
 by (entity, bucket). The rows are shuffled once, as for a plain window. Latest and earliest known
 values are summarised from the rows that have one: filled grids and as-of questions are mostly without.
+
+Where it is known which keys have many rows (``Crowd``), only those are split into buckets. All others are
+ordered whole, so their rows need no summary and no join, and later steps by the same key no exchange.
 """
 
 from __future__ import annotations
@@ -21,6 +24,34 @@ from icuqm.functions.time import DAY, micros
 
 BUCKET = "_bucket"
 _AT = "_at"
+#: Rows of one key that one task orders whole.
+MANY = 200_000
+
+
+@dataclass(frozen=True)
+class Crowd:
+    """The values of one key column that have more than ``MANY`` rows: at most one for as many rows of the input."""
+
+    key: str
+    values: tuple = ()
+
+    def holds(self) -> Column:
+        return F.col(self.key).isin(*self.values) if self.values else F.lit(False)
+
+
+def crowd_of(df: DataFrame, key: str, n: Column | None = None, many: int = MANY) -> Crowd:
+    """Counts the rows of every key, or adds up ``n``; runs a job."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg((F.count(F.lit(1)) if n is None else F.sum(n)).alias("_n"))
+    return Crowd(key, tuple(r[0] for r in counted.where(F.col("_n") > F.lit(many)).select(key).collect()))
+
+
+def place(rows: DataFrame, bucket: Column, crowd: Crowd | None) -> tuple[DataFrame, list[str]]:
+    """Rows with their bucket, and its name; without one where every key is ordered whole. Of no crowd nothing is known."""
+    if crowd is None:
+        return rows.withColumn(BUCKET, bucket), [BUCKET]
+    if not crowd.values:
+        return rows, []
+    return rows.withColumn(BUCKET, F.when(crowd.holds(), bucket).otherwise(F.lit(0))), [BUCKET]
 
 
 @dataclass(frozen=True)
@@ -86,24 +117,28 @@ def along(
     tiebreak: Sequence[str] = (),
     width: int = DAY,
     placed: bool = False,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Add one column per entry of ``values``, ordered by ``on`` (then ``tiebreak``) inside ``by``.
 
     Rows without a key or a time have no place on a timeline and are dropped. Rows that are ``placed`` come with
-    their bucket of this ``width``, so that an exchange by it before the call serves here, too.
+    their bucket of this ``width``, so that an exchange by it before the call serves here, too. The key of a
+    ``crowd`` is one of ``by``.
     """
     by = list(by)
     present = F.col(on).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
     rows = df.where(present).withColumn(_AT, micros(df, on))
-    if not placed:
-        rows = rows.withColumn(BUCKET, bucket_of(F.col(_AT), width))
+    if placed:
+        split = [BUCKET] if crowd is None or crowd.values else []
+    else:
+        rows, split = place(rows, bucket_of(F.col(_AT), width), crowd)
     order = [F.col(_AT), *[F.col(c) for c in tiebreak]]
     rank = F.struct(*order) if tiebreak else F.col(_AT)
 
-    local = Window.partitionBy(*by, BUCKET).orderBy(*order)
-    local_back = Window.partitionBy(*by, BUCKET).orderBy(*[c.desc() for c in order])
+    local = Window.partitionBy(*by, *split).orderBy(*order)
+    local_back = Window.partitionBy(*by, *split).orderBy(*[c.desc() for c in order])
     entity = Window.partitionBy(*by).orderBy(BUCKET)
     entity_back = Window.partitionBy(*by).orderBy(F.col(BUCKET).desc())
     upto, before = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
@@ -164,15 +199,18 @@ def along(
             case other:
                 raise ValueError(other)
 
+    if not split:
+        return rows.withColumns(inside).withColumns({n: F.lit(None) for n in carried}).withColumns(final).drop(_AT, *inside, *carried)
+    summed = rows if crowd is None else rows.where(crowd.holds())
     # what every row adds to hash-aggregates; the latest value is sorted for, so only rows that have one go there
     whole = [c.alias(n) for n, c in summary.items() if n not in known]
-    per_bucket = rows.groupBy(*by, BUCKET).agg(*whole) if whole else rows.select(*by, BUCKET).distinct()
+    per_bucket = summed.groupBy(*by, BUCKET).agg(*whole) if whole else summed.select(*by, BUCKET).distinct()
     if known:
-        having = rows.where(reduce(lambda a, b: a | b, known.values()))
+        having = summed.where(reduce(lambda a, b: a | b, known.values()))
         found = having.groupBy(*by, BUCKET).agg(*[summary[n].alias(n) for n in known])
         per_bucket = per_bucket.join(found, [*by, BUCKET], "left")
     carries = per_bucket.select(*by, BUCKET, *[c.alias(n) for n, c in carried.items()])
-    joined = rows.withColumns(inside).join(carries, [*by, BUCKET], "inner")
+    joined = rows.withColumns(inside).join(carries, [*by, BUCKET], "inner" if crowd is None else "left")
     return joined.withColumns(final).drop(_AT, BUCKET, *inside, *carried)
 
 
@@ -180,7 +218,14 @@ RUN = "_run"
 
 
 def mark_runs(
-    df: DataFrame, by: Sequence[str], on: str, value: str, breaks: Callable[[Column, Column], Column], tiebreak: Sequence[str] = (), width: int = DAY
+    df: DataFrame,
+    by: Sequence[str],
+    on: str,
+    value: str,
+    breaks: Callable[[Column, Column], Column],
+    tiebreak: Sequence[str] = (),
+    width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Add ``_run``: the order columns of the first row of the row's run.
 
@@ -193,18 +238,23 @@ def mark_runs(
     present = F.col(on).isNotNull()
     for key in by:
         present = present & F.col(key).isNotNull()
-    rows = df.where(present).withColumn(_AT, micros(df, on))
-    rows = rows.withColumn(BUCKET, bucket_of(F.col(_AT), width))
+    rows, split = place(df.where(present).withColumn(_AT, micros(df, on)), bucket_of(micros(df, on), width), crowd)
     order = [F.col(_AT), *[F.col(c) for c in tiebreak]]
-    place = F.struct(*order)
+    spot = F.struct(*order)
     here = F.struct(F.col(_AT).alias("at"), F.col(value).alias("v"))
-    local = Window.partitionBy(*by, BUCKET).orderBy(*order)
+    local = Window.partitionBy(*by, *split).orderBy(*order)
     upto = Window.unboundedPreceding, 0
     inside = rows.withColumn("_before", F.lag(here).over(local))
-    starts = F.when(F.col("_before").isNotNull() & breaks(F.col("_before"), here), place)
+    first = F.col("_before").isNull()
+    # the first row of a key that is ordered whole starts a run, that of a bucket may go on with one
+    whole = F.lit(False) if crowd is None else ~crowd.holds()
+    starts = F.when((first & whole) | (~first & breaks(F.col("_before"), here)), spot)
     inside = inside.withColumn("_own", F.last(starts, ignorenulls=True).over(local.rowsBetween(*upto)))
-    summary = inside.groupBy(*by, BUCKET).agg(
-        F.min_by(here, place).alias("_first"), F.min(place).alias("_head"), F.max_by(here, place).alias("_last"), F.max("_own").alias("_tail")
+    if not split:
+        return inside.withColumnRenamed("_own", RUN).drop("_before")
+    summed = inside if crowd is None else inside.where(crowd.holds())
+    summary = summed.groupBy(*by, BUCKET).agg(
+        F.min_by(here, spot).alias("_first"), F.min(spot).alias("_head"), F.max_by(here, spot).alias("_last"), F.max("_own").alias("_tail")
     )
     entity = Window.partitionBy(*by).orderBy(BUCKET)
     summary = summary.withColumn("_was", F.lag("_last").over(entity))
@@ -212,4 +262,5 @@ def mark_runs(
     summary = summary.withColumn("_head", head)
     carried = F.last(F.coalesce("_tail", "_head"), ignorenulls=True).over(entity.rowsBetween(Window.unboundedPreceding, -1))
     summary = summary.select(*by, BUCKET, F.coalesce("_head", carried).alias("_open"))
-    return inside.join(summary, [*by, BUCKET]).withColumn(RUN, F.coalesce("_own", "_open")).drop("_before", "_own", "_open", BUCKET)
+    joined = inside.join(summary, [*by, BUCKET], "inner" if crowd is None else "left")
+    return joined.withColumn(RUN, F.coalesce("_own", "_open")).drop("_before", "_own", "_open", BUCKET)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY
-from icuqm.operators.ordered import BUCKET, along, bucket_of, running_sum
+from icuqm.operators.ordered import BUCKET, Crowd, along, bucket_of, running_sum
 
 Span = tuple[str, str]
 LEVEL = "_level"
@@ -68,7 +68,7 @@ def intersect_intervals(
     """Every overlapping pair with the shared part as ``start``, ``end`` (J8, T-INT).
 
     The shorter side of a pair looks the other one up at that one's level, and the pair is kept in the bucket
-    where its overlap starts.
+    where its overlap starts. Intervals that are too short for any of the other side to be shorter are not listed.
     """
     by = list(by)
     start = F.greatest(F.col(a_span[0]), F.col(b_span[0]))
@@ -80,7 +80,10 @@ def intersect_intervals(
         usable = probe.where(F.col(probe_span[1]) > F.col(probe_span[0]))
         asked = usable.join(levels, (own <= F.col(LEVEL)) if equal else (own < F.col(LEVEL)))
         asked = asked.withColumn(BUCKET, F.explode(_touched(probe_span, width)))
-        return asked.join(list_levels(held, held_span, width), [*by, LEVEL, BUCKET])
+        least = F.broadcast(usable.agg(F.min(own).alias("_least")))
+        level = level_of(held_span, width)
+        met = held.join(least, (level >= F.col("_least")) if equal else (level > F.col("_least"))).drop("_least")
+        return asked.join(list_levels(met, held_span, width), [*by, LEVEL, BUCKET])
 
     kept = [*by, *[c for c in a.columns if c not in by], *[c for c in b.columns if c not in by], LEVEL, BUCKET]
     both = side(a, a_span, b, b_span, True).select(kept).unionAll(side(b, b_span, a, a_span, False).select(kept))
@@ -154,7 +157,7 @@ def overlap_aggregate(
 _BEFORE, _ASKED, _AFTER = 0, 1, 2
 
 
-def _counted(asked: DataFrame, spans: DataFrame, by: Sequence[str], span: Span, starts_at: int, sums: bool, width: int) -> DataFrame:
+def _counted(asked: DataFrame, spans: DataFrame, by: Sequence[str], span: Span, starts_at: int, sums: bool, width: int, crowd: Crowd | None = None) -> DataFrame:
     """``asked`` (by, ``_t``, ``_row``) with counts, and sums of times, of the starts and ends before each time.
 
     An end counts from its own time on. A start does with ``starts_at`` ``_BEFORE``, else only after it.
@@ -170,17 +173,18 @@ def _counted(asked: DataFrame, spans: DataFrame, by: Sequence[str], span: Span,
         # sums of times outgrow 64 bits
         line["_start_sum"] = running_sum((F.col("_s") * F.col("_t")).cast("decimal(38,0)"))
         line["_end_sum"] = running_sum((F.col("_e") * F.col("_t")).cast("decimal(38,0)"))
-    return along(rows, by, "_t", line, ["_side"], width).where(F.col("_side") == _ASKED)
+    return along(rows, by, "_t", line, ["_side"], width, crowd=crowd).where(F.col("_side") == _ASKED)
 
 
 def overlap_flag(
-    days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY
+    days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Whether any interval overlaps the row's window (J11): more start before its end than end by its start."""
     keys = [*by, *key]
     real = days.where(F.col(window[1]) > F.col(window[0]))
     ask = lambda c, last: real.select(*by, F.col(c).alias("_t"), F.struct(*key, F.lit(last).alias("_last")).alias("_row"))
-    seen = _counted(ask(window[0], False).unionAll(ask(window[1], True)), spans, by, span, _AFTER, False, width)
+    seen = _counted(ask(window[0], False).unionAll(ask(window[1], True)), spans, by, span, _AFTER, False, width, crowd)
     last = F.col("_row._last")
     found = seen.groupBy(*by, *[F.col(f"_row.{c}").alias(c) for c in key]).agg(
         (F.max(F.when(last, F.col("_starts"))) > F.max(F.when(~last, F.col("_ends")))).alias(name)
@@ -189,7 +193,8 @@ def overlap_flag(
 
 
 def overlap_minutes(
-    days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY
+    days: DataFrame, spans: DataFrame, by: Sequence[str], key: Sequence[str], window: Span, span: Span, name: str, width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Minutes of all intervals inside the row's window.
 
@@ -199,7 +204,7 @@ def overlap_minutes(
     keys = [*by, *key]
     real = days.where(F.col(window[1]) > F.col(window[0]))
     ask = lambda c, last: real.select(*by, F.col(c).alias("_t"), F.struct(*key, F.lit(last).alias("_last")).alias("_row"))
-    seen = _counted(ask(window[0], False).unionAll(ask(window[1], True)), spans, by, span, _AFTER, True, width)
+    seen = _counted(ask(window[0], False).unionAll(ask(window[1], True)), spans, by, span, _AFTER, True, width, crowd)
     spent = F.col("_t").cast("decimal(19,0)") * (F.col("_starts") - F.col("_ends")).cast("decimal(18,0)") - F.col("_start_sum") + F.col("_end_sum")
     signed = F.when(F.col("_row._last"), spent).otherwise(-spent)
     found = seen.groupBy(*by, *[F.col(f"_row.{c}").alias(c) for c in key]).agg((F.sum(signed).cast("bigint") / F.lit(60_000_000.0)).alias(name))

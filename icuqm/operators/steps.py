@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from icuqm.functions.time import DAY
 from icuqm.operators.asof import asof_join
-from icuqm.operators.ordered import along, last_seen, next_seen
+from icuqm.operators.ordered import Crowd, along, last_seen, next_seen
 
 
 def sum_steps(
@@ -22,6 +22,7 @@ def sum_steps(
     assessable: str | None = None,
     close_at_cap: bool = False,
     width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Sum, over the named series, of the value in force at each change time (T-SUM).
 
@@ -37,7 +38,7 @@ def sum_steps(
     if close_at_cap:
         ends = named.select(*by, F.col("end").alias("start")).distinct().join(wide.select(*by, "start"), [*by, "start"], "left_anti")
         wide = wide.unionByName(ends, allowMissingColumns=True)
-    held = along(wide, by, "start", {f"_h{i}": last_seen(F.col(f"_v{i}")) for i in range(len(values))}, width=width)
+    held = along(wide, by, "start", {f"_h{i}": last_seen(F.col(f"_v{i}")) for i in range(len(values))}, width=width, crowd=crowd)
     running = [F.col("start") < F.col(f"_h{i}.end") for i in range(len(values))]
     parts = [F.when(run, F.col(f"_h{i}.v")).otherwise(F.lit(0.0)) for i, run in enumerate(running)]
     fine = [~(F.coalesce(run, F.lit(False)) & ~F.col(f"_h{i}.ok")) for i, run in enumerate(running)]
@@ -73,6 +74,7 @@ def normalise_dose(
     not_per_kg: Sequence[str] = (),
     weight: str = "weight_kg",
     width: int = DAY,
+    crowd: Crowd | None = None,
 ) -> DataFrame:
     """Equivalent dose per kg and whether it can be known (T-UC).
 
@@ -82,7 +84,7 @@ def normalise_dose(
     scale = F.create_map(*[x for k, (f, _) in unit_scale.items() for x in (F.lit(k), F.lit(float(f)))])
     per_kg = F.col(unit).isin(*[k for k, (_, flag) in unit_scale.items() if flag])
     factor = F.coalesce(F.create_map(*[x for k, v in factors.items() for x in (F.lit(k), F.lit(float(v)))])[F.col(drug)], F.lit(0.0))
-    joined = asof_join(doses, weights.select(*by, F.col(weight_on).alias("_w_at"), weight), by, on, "_w_at", tiebreak=[weight], width=width)
+    joined = asof_join(doses, weights.select(*by, F.col(weight_on).alias("_w_at"), weight), by, on, "_w_at", tiebreak=[weight], width=width, crowd=crowd)
     base = F.col(dose) * scale[F.col(unit)]
     whole = F.col(drug).isin(*not_per_kg) if not_per_kg else F.lit(False)
     direct = whole | per_kg
