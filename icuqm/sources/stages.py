@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 import hashlib
 import json
 import uuid
@@ -117,6 +118,10 @@ class StageGraph:
             self.built.append(name)
             self._publish(folder, {"name": name, "generation": generation, "data": data, "schema": df.schema.jsonValue(), "of": {n: self.keys[n] for n in of}})
             manifest = self._manifest(folder)
+            # Spark deletes shuffle files once the driver has collected the plan that wrote them
+            del df
+            gc.collect()
+            self._jvm.System.gc()
         return self.spark.read.schema(StructType.fromJson(manifest["schema"])).parquet(f"{folder}/{manifest['data']}")
 
     def depend_on(self, name: str) -> set[str]:

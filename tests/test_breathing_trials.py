@@ -1,5 +1,7 @@
 """What the breathing trials' shared stages move, and that rows are ordered alike whole and in buckets."""
 
+import time
+
 import pytest
 from helpers import DAY0, HOUR, rows
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from icuqm.operators.ordered import (
 )
 from icuqm.operators.overlap import intersect_intervals, overlap_minutes
 from icuqm.plans import common, sbt
+from icuqm.sources.stages import StageGraph
 
 DAY = 24 * HOUR
 CFG = BreathingTrial()
@@ -150,6 +153,22 @@ def test_intervals_too_short_to_be_asked_are_not_listed(spark):
     assert intersect_intervals(short, long.where("i < 0"), ["k"], ("s", "e"), ("i", "o")).count() == 0
 
 
+def test_a_built_stage_leaves_no_shuffle_files(spark, tmp_path):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager
+
+    def shuffled():
+        found = files().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+    graph, before = StageGraph(spark, str(tmp_path / "stages")), shuffled()
+    out = graph.keep("spread", lambda: spark.range(50_000).repartition(7, "id"))
+    until = time.time() + 3
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.5)
+    assert not shuffled() - before
+    assert out.count() == 50_000
+
+
 def test_stages_of_the_derived_tables_do_not_depend_on_crowds(spark, monkeypatch):
     """All keys split into buckets give the rows that whole keys give."""
     folder = "/root/testdata/sf0.001"
