@@ -75,12 +75,13 @@ def distinct_cube(
 ) -> DataFrame:
     """Distinct entities per slice and mask (A7); these overlap between slices and never add up.
 
-    Days first collapse to one row per (finest slice, entity) with its masks, then to one per
-    (slice, entity). A slice with most of the entities is still counted by partial sums.
+    Days first collapse to one row per (finest slice, entity) with its masks. These lie together by entity before
+    they are repeated for the coarser slices, so each (slice, entity) is made one row where it is listed. A slice with
+    most of the entities is still counted by partial sums.
     """
     finest = [unit, *([name] if name else []), *grains, entity]
     fine = days.where(F.col(entity).isNotNull()).groupBy(*finest).agg(*[F.max(m.cast("int")).alias(n) for n, m in masks.items()])
-    listed = fine.select(entity, *masks, F.explode(_slices(grains, unit, name)).alias("_s")).select(entity, "_s.*", *masks)
+    listed = fine.repartition(entity).select(entity, *masks, F.explode(_slices(grains, unit, name)).alias("_s")).select(entity, "_s.*", *masks)
     once = listed.groupBy(*SLICE, entity).agg(*[F.max(n).alias(n) for n in masks])
     return once.groupBy(*SLICE).agg(*[F.sum(n).cast("bigint").alias(n) for n in masks])
 

@@ -27,6 +27,7 @@ from icuqm.operators.ordered import (
     running_sum,
 )
 from icuqm.operators.overlap import intersect_intervals, overlap_minutes
+from icuqm.operators.slices import distinct_cube
 from icuqm.plans import common, sbt
 from icuqm.sources.stages import StageGraph
 
@@ -136,6 +137,16 @@ def test_only_hours_of_patient_days_are_carried_to(spark):
     assert not any("_level" in text and "Join" in text for text in lines[:carried])
 
 
+def test_people_are_told_apart_before_slices_are_listed(spark):
+    df = spark.createDataFrame([("p", "u", "n", "2024-01", "w1"), ("p", "u", "m", "2024-01", "w2"), ("q", "u", "n", "2024-01", "w1"), (None, "u", "n", "2024-01", "w1")], "person string, unit string, unit_name string, month string, week string")
+    cube = distinct_cube(df, "person", {"n": F.lit(True)})
+    assert rows(cube.where("granularity = 'all'"), "unit", "n") == [("__ALL__", 2), ("m", 1), ("n", 2), ("u", 2)]
+    lines = plan(cube).splitlines()
+    listed = next(i for i, text in enumerate(lines) if "Generate explode" in text)
+    assert any("RepartitionByExpression [person" in text for text in lines[listed:])
+    assert not any("Exchange hashpartitioning(unit" in text and "person" in text for text in cube._jdf.queryExecution().executedPlan().toString().splitlines() if "unit_name" not in text)
+
+
 def test_stays_of_a_person_are_stitched_in_one_exchange(spark):
     df = spark.createDataFrame([("p", "s1", 0, 2), ("p", "s2", 5, 9), ("p", "s3", 40, 50), ("q", "s4", 1, 3)], "person string, stay string, i bigint, o bigint")
     out = stitch_stays(df.withColumns({c: F.col(c) * HOUR + DAY0 for c in "io"}), "person", "stay", "i", "o")
