@@ -24,12 +24,13 @@ def majority_nested(rows: DataFrame, by: Sequence[str], outer: str, inner: str)
 def longest_piece_nested(pieces: DataFrame, by: Sequence[str], outer: str, inner: str, span: tuple[str, str] = ("start", "end"), unknown: str = "unknown") -> DataFrame:
     """Unit of the longest single piece, then the name with most time inside it, with the day window.
 
-    Pieces without a unit are skipped for the choice but count in the totals.
+    Pieces without a unit are skipped for the choice but count in the totals. Once there is a row per key, unit and
+    name, a key's rows are brought together, so that units and keys are told without a further exchange.
     """
     length = F.col(span[1]) - F.col(span[0])
     named = pieces.groupBy(*by, outer, inner).agg(
         F.max(length).alias("_top"), F.sum(length).alias("_sum"), F.min(span[0]).alias("_in"), F.max(span[1]).alias("_out")
-    )
+    ).repartition(*by)
     per_unit = named.groupBy(*by, outer).agg(
         F.max("_top").alias("_top"),
         F.min(F.when(F.col(inner).isNotNull(), F.struct(-F.col("_sum"), F.col(inner)))).alias("_best"),

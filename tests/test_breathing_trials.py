@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from icuqm.catalog.base import Tables
 from icuqm.catalog.roles import stored
 from icuqm.config import BreathingTrial
+from icuqm.operators.attribution import longest_piece_nested
 from icuqm.operators.episodes import episodes
 from icuqm.operators.grid import hour_spans, hourly_scaffold, stitch_stays
 from icuqm.operators.intervals import step_segments
@@ -212,3 +213,10 @@ def test_stages_of_the_derived_tables_do_not_depend_on_crowds(spark, monkeypatch
         got.append(sorted(map(repr, sbt.stages(tables, CFG, graph.keep)["observation"].collect())))
         assert "sbt_observation" in graph.built
     assert len(got[0]) > 100 and got[0] == got[1]
+
+
+def test_units_of_a_day_are_told_in_two_exchanges(spark):
+    pieces = spark.createDataFrame([("b", 1, "u", "n", 0, 50), ("b", 1, "v", "m", 50, 80), ("b", 1, "v", "k", 80, 120), ("c", 1, None, None, 0, 9)], "b string, d int, unit string, name string, start bigint, end bigint")
+    out = longest_piece_nested(pieces, ["b", "d"], "unit", "name")
+    assert rows(out, "b", "unit", "name", "day_in", "day_out") == [("b", "u", "n", 0, 120), ("c", "unknown", "unknown", 0, 9)]
+    assert exchanges(out) == 2
